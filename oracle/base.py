@@ -178,3 +178,40 @@ def with_model(select_sql: str, **extra: str) -> str:
     keyword order, after the model)."""
     ctes = [f"{name} AS ({body}\n)" for name, body in {**CLEAN, **MODEL, **extra}.items()]
     return "WITH " + ",\n".join(ctes) + "\n" + select_sql
+
+
+RAW = {
+    "raw_customers": """
+  SELECT CAST(c_custkey AS VARCHAR) AS customerID, c_name AS companyName,
+         CASE WHEN c_custkey % 7 = 0 THEN NULL
+              ELSE ' Contact ' || CAST(c_custkey AS VARCHAR) || ' ' END AS contactName,
+         c_mktsegment AS contactTitle, r_name AS city, n_name AS country,
+         TIMESTAMP '2024-01-01 00:00:00' AS ingestion_timestamp
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+       LEFT JOIN region ON n_regionkey = r_regionkey""",
+    "raw_order_details": """
+  SELECT CAST(l_orderkey AS VARCHAR) AS orderID, CAST(l_partkey AS VARCHAR) AS productID,
+         CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS VARCHAR) AS unitPrice,
+         CAST(CAST(trunc(l_quantity) AS INT) AS VARCHAR) AS quantity,
+         CAST(CAST(l_discount AS DECIMAL(5,4)) AS VARCHAR) AS discount,
+         TIMESTAMP '2024-01-01 00:00:00' AS ingestion_timestamp
+  FROM lineitem""",
+    "raw_products": f"""
+  SELECT CAST(p_partkey AS VARCHAR) AS productID, p_name AS productName,
+         CAST(p_size AS VARCHAR) AS quantityPerUnit,
+         CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) AS unitPrice,
+         CASE WHEN p_partkey % 10 = 0 THEN '1' ELSE '0' END AS discontinued,
+         CAST({CATEGORY_CASE} AS VARCHAR) AS categoryID,
+         TIMESTAMP '2024-01-01 00:00:00' AS ingestion_timestamp
+  FROM part""",
+}
+
+
+def with_raw(select_sql: str, **extra: str) -> str:
+    return with_model(select_sql, **RAW, **extra)
+
+
+def check_row(name: str, failed: str, total: str, source: str, table: str | None = None) -> str:
+    t = f"'{table}' AS \"table\", " if table else ""
+    return (f"SELECT {t}'{name}' AS \"check\", CAST({failed} AS BIGINT) AS failed, "
+            f"CAST({total} AS BIGINT) AS total, ({failed}) = 0 AS passed FROM {source}")

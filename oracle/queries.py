@@ -214,3 +214,108 @@ ORACLE["gold_monthly_trends_order_grain"] = with_model(_MONTH_FINAL, m=f"""
          p.monthly_sales AS prev
   FROM m LEFT JOIN (SELECT year_month, monthly_sales FROM m) p
     ON p.year_month = CAST(m.year_month - INTERVAL 1 MONTH AS DATE)""")
+
+# ------------------------------------------------------------------ table operators
+from oracle.base import check_row, hash_of, sk, with_raw  # noqa: E402
+
+_CUST_RAW = "customerID, companyName, contactName, contactTitle, city, country"
+ORACLE["util_audit_columns"] = with_raw(
+    f"SELECT {_CUST_RAW}, 'crm_feed' AS _source, TRUE AS same_clock, TRUE AS stamped "
+    "FROM raw_customers")
+ORACLE["util_change_hash"] = with_raw(
+    f"SELECT customerID, {hash_of(['customerID', 'companyName', 'contactName', 'city', 'country'])}"
+    " AS _change_hash FROM raw_customers")
+ORACLE["util_change_hash_all"] = with_raw(
+    "SELECT orderID, productID, "
+    f"{hash_of(['orderID', 'productID', 'unitPrice', 'quantity', 'discount', 'ingestion_timestamp'])}"
+    " AS _row_hash FROM raw_order_details")
+ORACLE["util_standardize_columns"] = """
+SELECT o_orderkey AS order_key, o_custkey AS cust_key, o_orderdate AS order_date,
+       o_orderpriority AS priority FROM orders"""
+ORACLE["util_trim_strings"] = with_raw(
+    "SELECT customerID, trim(companyName) AS companyName, trim(contactName) AS contactName, "
+    "trim(contactTitle) AS contactTitle, trim(city) AS city, trim(country) AS country "
+    "FROM raw_customers")
+ORACLE["util_fill_nulls"] = with_raw(
+    "SELECT customerID, companyName, coalesce(contactName, 'Unknown') AS contactName, "
+    "contactTitle, city, country FROM raw_customers")
+_LI_REST = ["l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate"]
+ORACLE["util_dedupe_first"] = (
+    "SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY "
+    + ", ".join(f"{c} ASC NULLS FIRST" for c in _LI_REST) + ") = 1")
+ORACLE["util_dedupe_last"] = (
+    "SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY "
+    + ", ".join(f"{c} DESC NULLS LAST" for c in _LI_REST) + ") = 1")
+ORACLE["util_dedupe_full_row"] = "SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders"
+ORACLE["util_surrogate_key"] = (
+    f"SELECT l_orderkey, l_linenumber, {sk(['l_orderkey', 'l_linenumber'])} AS line_sk FROM lineitem")
+ORACLE["util_version_columns"] = with_model(
+    "SELECT customer_id, CAST(NULL AS TIMESTAMP) AS _end_date, TRUE AS _is_current, "
+    "TRUE AS has_effective_date FROM dim_customers")
+
+# ------------------------------------------------------------------ data quality
+ORACLE["dq_not_null"] = with_model("\nUNION ALL\n".join(
+    check_row(f"not_null:{c}", f"count(*) FILTER (WHERE {c} IS NULL)", "count(*)", "orders_clean")
+    for c in ("orderid", "customerid", "employeeid", "orderdate", "shippeddate")))
+ORACLE["dq_type_valid"] = with_raw("\nUNION ALL\n".join(
+    check_row(f"type_valid:{c}:{t}",
+              f"count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {t.upper()}) IS NULL)",
+              "count(*)", "raw_products")
+    for c, t in (("productID", "bigint"), ("unitPrice", "decimal(10,2)"), ("discontinued", "int"),
+                 ("quantityPerUnit", "int"), ("productName", "int"))))
+_RULES = [("unit_price_non_negative", "unitprice >= 0"), ("quantity_non_negative", "quantity >= 0"),
+          ("discount_at_most_one", "discount <= 1.0")]
+ORACLE["dq_business_rules"] = with_model("\nUNION ALL\n".join(
+    check_row(n, f"count(*) FILTER (WHERE NOT coalesce({p}, FALSE))", "count(*)",
+              "order_details_clean") for n, p in _RULES))
+_LIMIT = "TIMESTAMP '2024-01-02 12:00:00' - INTERVAL 24 HOUR"
+ORACLE["dq_freshness"] = with_model("\nUNION ALL\n".join([
+    check_row("freshness:_loaded_at",
+              f"CASE WHEN coalesce(max(TIMESTAMP '2024-01-02 00:00:00') >= {_LIMIT}, FALSE) THEN 0 ELSE 1 END",
+              "1", "customers_clean"),
+    check_row("freshness:ingestion_timestamp",
+              f"CASE WHEN coalesce(max(TIMESTAMP '2024-01-01 00:00:00') >= {_LIMIT}, FALSE) THEN 0 ELSE 1 END",
+              "1", "customers_clean"),
+    check_row("row_count_positive", "CASE WHEN count(*) > 0 THEN 0 ELSE 1 END", "1",
+              "customers_clean"),
+]))
+ORACLE["dq_row_count"] = with_model("\nUNION ALL\n".join(
+    check_row("row_count_positive", "CASE WHEN count(*) > 0 THEN 0 ELSE 1 END", "1",
+              f"{t}_clean", table=f"{t}_clean")
+    for t in ("categories", "products", "customers", "employees", "orders", "order_details",
+              "shippers")))
+
+
+def _dup(table, keys, source):
+    return check_row(f"unique_key:{keys}", "count(*) FILTER (WHERE n > 1)", "count(*)",
+                     f"(SELECT {keys}, count(*) AS n FROM {source} GROUP BY {keys}) k", table=table)
+
+
+ORACLE["dq_duplicate_keys"] = with_raw("\nUNION ALL\n".join([
+    _dup("order_details_raw", "orderID,productID", "raw_order_details"),
+    _dup("order_details_clean", "orderid,productid", "order_details_clean"),
+    _dup("orders_clean", "orderid", "orders_clean"),
+]))
+
+
+def _fk(table, col, parent, pcol):
+    src = (f"(SELECT c.{col}, p.{pcol} AS pk FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL) c "
+           f"LEFT JOIN (SELECT DISTINCT {pcol} FROM {parent}) p ON c.{col} = p.{pcol}) j")
+    return check_row(f"foreign_key:{col}", "count(*) FILTER (WHERE pk IS NULL)", "count(*)", src,
+                     table=table)
+
+
+ORACLE["dq_referential_integrity"] = with_model("\nUNION ALL\n".join([
+    _fk("fact_sales", "customer_id", "dim_customers", "customer_id"),
+    _fk("fact_sales", "product_id", "dim_products", "product_id"),
+    _fk("fact_sales", "employee_id", "dim_employees", "employee_id"),
+    _fk("fact_sales", "shipper_id", "dim_shippers", "shipper_id"),
+    _fk("order_details_clean", "orderid", "orders_clean", "orderid"),
+]))
+_Q = [("freight_non_negative", "freight >= 0"), ("ordered_before_required", "orderdate <= requireddate"),
+      ("shipped", "shippeddate IS NOT NULL")]
+_QF = "concat_ws(',', " + ", ".join(
+    f"CASE WHEN NOT coalesce({p}, FALSE) THEN '{n}' END" for n, p in _Q) + ")"
+ORACLE["dq_quarantine"] = with_model(
+    f"SELECT orderid, {_QF} AS _dq_failures, {_QF} <> '' AS _quarantined FROM orders_clean")

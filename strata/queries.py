@@ -91,3 +91,186 @@ _MARTS = {
 for _name, _builder in _MARTS.items():
     register(_name)(_mart(_builder, "line"))
     register(f"{_name}_order_grain")(_mart(_builder, "order"))
+
+
+# ---------------------------------------------------------------- table operators
+from pyspark.sql import functions as F  # noqa: E402
+
+from strata.operators import columns as ops  # noqa: E402
+from strata.operators import quality as dq  # noqa: E402
+from strata.operators.dedupe import remove_duplicates  # noqa: E402
+from strata.sources.tables import Tables  # noqa: E402
+
+CUSTOMER_RAW = ["customerID", "companyName", "contactName", "contactTitle", "city", "country"]
+
+
+@register("util_audit_columns")
+def q_util_audit_columns(spark, base):
+    df = ops.add_audit_columns(Layers(spark, base).raw("customers"), source="crm_feed")
+    return df.select(*CUSTOMER_RAW, "_source",
+                     (F.col("_loaded_at") == F.col("_processing_timestamp")).alias("same_clock"),
+                     F.col("_loaded_at").isNotNull().alias("stamped"))
+
+
+@register("util_change_hash")
+def q_util_change_hash(spark, base):
+    df = ops.create_hash_column(Layers(spark, base).raw("customers"),
+                                ["customerID", "companyName", "contactName", "city", "country"])
+    return df.select("customerID", "_change_hash")
+
+
+@register("util_change_hash_all")
+def q_util_change_hash_all(spark, base):
+    df = ops.create_hash_column(Layers(spark, base).raw("order_details"), None, "_row_hash")
+    return df.select("orderID", "productID", "_row_hash")
+
+
+@register("util_standardize_columns")
+def q_util_standardize_columns(spark, base):
+    o = Tables(spark, base).orders.select(
+        F.col("o_orderkey").alias("Order Key"), F.col("o_custkey").alias("Cust-Key"),
+        F.col("o_orderdate").alias("Order.Date"), F.col("o_orderpriority").alias("PRIORITY"))
+    return ops.standardize_columns(o)
+
+
+@register("util_trim_strings")
+def q_util_trim_strings(spark, base):
+    df = ops.normalize_strings(Layers(spark, base).raw("customers"), exclude_cols=["customerID"])
+    return df.select(*CUSTOMER_RAW)
+
+
+@register("util_fill_nulls")
+def q_util_fill_nulls(spark, base):
+    df = ops.handle_nulls(Layers(spark, base).raw("customers"),
+                          {"contactName": "Unknown", "no_such_column": 0, "city": None})
+    return df.select(*CUSTOMER_RAW)
+
+
+@register("util_dedupe_first")
+def q_util_dedupe_first(spark, base):
+    return remove_duplicates(Tables(spark, base).lineitem, ["l_orderkey", "l_partkey"], "first")
+
+
+@register("util_dedupe_last")
+def q_util_dedupe_last(spark, base):
+    return remove_duplicates(Tables(spark, base).lineitem, ["l_orderkey", "l_partkey"], "last")
+
+
+@register("util_dedupe_full_row")
+def q_util_dedupe_full_row(spark, base):
+    o = Tables(spark, base).orders.select("o_custkey", "o_orderstatus", "o_orderpriority")
+    return remove_duplicates(o)
+
+
+@register("util_surrogate_key")
+def q_util_surrogate_key(spark, base):
+    li = Tables(spark, base).lineitem.select("l_orderkey", "l_linenumber")
+    return ops.create_surrogate_key(li, ["l_orderkey", "l_linenumber"], "line_sk")
+
+
+@register("util_version_columns")
+def q_util_version_columns(spark, base):
+    d = Layers(spark, base).dim_customers
+    return d.select("customer_id", "_end_date", "_is_current",
+                    F.col("_effective_date").isNotNull().alias("has_effective_date"))
+
+
+# ---------------------------------------------------------------- data quality
+DQ_AS_OF = "2024-01-02 12:00:00"
+
+
+@register("dq_not_null")
+def q_dq_not_null(spark, base):
+    o = Layers(spark, base).clean("orders")
+    return dq.evaluate(o, [dq.not_null(c) for c in
+                           ("orderid", "customerid", "employeeid", "orderdate", "shippeddate")])
+
+
+@register("dq_type_valid")
+def q_dq_type_valid(spark, base):
+    p = Layers(spark, base).raw("products")
+    return dq.evaluate(p, [dq.type_valid("productID", "bigint"),
+                           dq.type_valid("unitPrice", "decimal(10,2)"),
+                           dq.type_valid("discontinued", "int"),
+                           dq.type_valid("quantityPerUnit", "int"),
+                           dq.type_valid("productName", "int")])
+
+
+BUSINESS_RULES = [
+    ("unit_price_non_negative", "unitprice >= 0"),
+    ("quantity_non_negative", "quantity >= 0"),
+    ("discount_at_most_one", "discount <= 1.0"),
+]
+
+
+@register("dq_business_rules")
+def q_dq_business_rules(spark, base):
+    od = Layers(spark, base).clean("order_details")
+    return dq.evaluate(od, [dq.rule(n, p) for n, p in BUSINESS_RULES])
+
+
+@register("dq_freshness")
+def q_dq_freshness(spark, base):
+    c = Layers(spark, base, as_of=ops.FIXED_CLOCK).clean("customers")
+    return dq.evaluate(c, [dq.freshness("_loaded_at", DQ_AS_OF),
+                           dq.freshness("ingestion_timestamp", DQ_AS_OF),
+                           dq.row_count()])
+
+
+def _per_table(frames):
+    out = None
+    for name, df in frames:
+        df = df.select(F.lit(name).alias("table"), "*")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@register("dq_row_count")
+def q_dq_row_count(spark, base):
+    L = Layers(spark, base)
+    return _per_table((f"{t}_clean", dq.evaluate(L.clean(t), [dq.row_count()]))
+                      for t in ("categories", "products", "customers", "employees", "orders",
+                                "order_details", "shippers"))
+
+
+@register("dq_duplicate_keys")
+def q_dq_duplicate_keys(spark, base):
+    L = Layers(spark, base)
+    return _per_table([
+        ("order_details_raw", dq.evaluate(L.raw("order_details"),
+                                          [dq.unique_key(["orderID", "productID"])])),
+        ("order_details_clean", dq.evaluate(L.clean("order_details"),
+                                            [dq.unique_key(["orderid", "productid"])])),
+        ("orders_clean", dq.evaluate(L.clean("orders"), [dq.unique_key(["orderid"])])),
+    ])
+
+
+@register("dq_referential_integrity")
+def q_dq_referential_integrity(spark, base):
+    L = Layers(spark, base)
+    fact = L.fact_sales
+    checks = [
+        dq.foreign_key(["customer_id"], L.dim_customers, ["customer_id"]),
+        dq.foreign_key(["product_id"], L.dim_products, ["product_id"]),
+        dq.foreign_key(["employee_id"], L.dim_employees, ["employee_id"]),
+        dq.foreign_key(["shipper_id"], L.dim_shippers, ["shipper_id"]),
+    ]
+    lines = dq.evaluate(L.clean("order_details"),
+                        [dq.foreign_key(["orderid"], L.clean("orders"), ["orderid"])])
+    return _per_table([("fact_sales", dq.evaluate(fact, checks)),
+                       ("order_details_clean", lines)])
+
+
+QUARANTINE_RULES = [
+    ("freight_non_negative", "freight >= 0"),
+    ("ordered_before_required", "orderdate <= requireddate"),
+    ("shipped", "shippeddate IS NOT NULL"),
+]
+
+
+@register("dq_quarantine")
+def q_dq_quarantine(spark, base):
+    o = Layers(spark, base).clean("orders")
+    flagged = dq.flag_rows(o, [dq.rule(n, p) for n, p in QUARANTINE_RULES])
+    return flagged.select("orderid", "_dq_failures",
+                          (F.col("_dq_failures") != "").alias("_quarantined"))
