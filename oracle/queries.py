@@ -319,3 +319,85 @@ _QF = "concat_ws(',', " + ", ".join(
     f"CASE WHEN NOT coalesce({p}, FALSE) THEN '{n}' END" for n, p in _Q) + ")"
 ORACLE["dq_quarantine"] = with_model(
     f"SELECT orderid, {_QF} AS _dq_failures, {_QF} <> '' AS _quarantined FROM orders_clean")
+
+# ------------------------------------------------------------------ history and CDC
+from oracle.base import CLEAN, MODEL  # noqa: E402
+
+_HIST = {
+    "ev_pick": """
+  SELECT user_id, ts, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id
+  FROM events GROUP BY user_id, ts""",
+    "ev_hash": f"SELECT *, {hash_of(['event_type'])} AS _change_hash FROM ev_pick",
+    "ev_changes": """
+  SELECT * FROM ev_hash
+  QUALIFY lag(_change_hash) OVER (PARTITION BY user_id ORDER BY ts) IS DISTINCT FROM _change_hash""",
+    "ev_history": f"""
+  SELECT user_id, event_type, event_id, _change_hash, ts AS _effective_date,
+         lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS _end_date,
+         lead(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL AS _is_current,
+         {sk(['user_id', 'ts'])} AS version_sk
+  FROM ev_changes""",
+}
+
+
+def _with_hist(sql: str, **extra: str) -> str:
+    ctes = [f"{n} AS ({b}\n)" for n, b in {**_HIST, **extra}.items()]
+    return "WITH " + ",\n".join(ctes) + "\n" + sql
+
+
+ORACLE["scd2_history_events"] = _with_hist("SELECT * FROM ev_history")
+ORACLE["scd2_apply_batch"] = ORACLE["scd2_history_events"]
+ORACLE["asof_dim_join"] = _with_hist("""
+SELECT e.event_id, e.user_id, e.ts, e.value, h.version_sk AS v_version_sk,
+       h.event_type AS v_event_type, h._effective_date AS v__effective_date,
+       h._end_date AS v__end_date
+FROM events e LEFT JOIN ev_history h
+  ON e.user_id = h.user_id AND h._effective_date <= e.ts
+ AND (h._end_date IS NULL OR e.ts < h._end_date)""")
+
+_STATE_HASH = ("md5(concat_ws('|', coalesce(CAST(event_type AS VARCHAR), 'NULL_VALUE'), "
+               "coalesce(CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR), 'NULL_VALUE')))")
+
+
+def _state(where: str = "TRUE", deletes: bool = False) -> str:
+    keep = "WHERE NOT coalesce(event_type = 'error', FALSE)" if deletes else ""
+    return f"""
+  SELECT *, {_STATE_HASH} AS _change_hash FROM (
+    SELECT user_id, event_id, ts, event_type, value FROM events WHERE {where}
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1) s
+  {keep}"""
+
+
+ORACLE["cdc_apply_latest"] = (
+    "WITH st AS (" + _state(deletes=True) + ")\n"
+    "SELECT user_id, event_id, ts, event_type, value FROM st")
+ORACLE["snapshot_diff"] = (
+    "WITH old AS (" + _state("ts < TIMESTAMP '2024-01-16 00:00:00'") + "),\n"
+    "new AS (" + _state(deletes=True) + ")\n" + """
+SELECT coalesce(o.user_id, n.user_id) AS user_id,
+       CASE WHEN o._change_hash IS NULL AND n._change_hash IS NOT NULL THEN 'insert'
+            WHEN n._change_hash IS NULL AND o._change_hash IS NOT NULL THEN 'delete'
+            WHEN o._change_hash = n._change_hash THEN 'unchanged' ELSE 'update' END AS change
+FROM old o FULL OUTER JOIN new n ON o.user_id = n.user_id""")
+ORACLE["cdc_soft_delete"] = (
+    "WITH t AS (" + _state() + "),\nn AS (" + _state(deletes=True) + ")\n" + """
+SELECT t.user_id, t.event_id, t.ts, t.event_type, t.value,
+       NOT EXISTS (SELECT 1 FROM n WHERE n.user_id = t.user_id) AS _is_deleted
+FROM t""")
+
+_LAST_DETAILS = CLEAN["order_details_clean"].replace(
+    "ORDER BY unitprice NULLS FIRST,\n          quantity NULLS FIRST, discount NULLS FIRST",
+    "ORDER BY unitprice DESC NULLS LAST,\n          quantity DESC NULLS LAST, discount DESC NULLS LAST")
+assert _LAST_DETAILS != CLEAN["order_details_clean"]
+_FACT_LAST = MODEL["fact_sales"].replace("order_details_clean d", "order_details_last d")
+ORACLE["cdc_upsert_fact"] = with_model("""
+SELECT f.*, 'keep' AS _cdc_action FROM fact_sales f
+WHERE NOT EXISTS (SELECT 1 FROM fact_last l WHERE l.orderid = f.orderid
+                  AND l.product_id = f.product_id AND l._change_hash IS DISTINCT FROM f._change_hash)
+UNION ALL
+SELECT l.*, CASE WHEN EXISTS (SELECT 1 FROM fact_sales f WHERE l.orderid = f.orderid
+                              AND l.product_id = f.product_id) THEN 'update' ELSE 'insert' END
+FROM fact_last l
+WHERE NOT EXISTS (SELECT 1 FROM fact_sales f WHERE l.orderid = f.orderid
+                  AND l.product_id = f.product_id AND l._change_hash IS NOT DISTINCT FROM f._change_hash)""",
+    order_details_last=_LAST_DETAILS, fact_last=_FACT_LAST)

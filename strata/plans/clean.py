@@ -122,8 +122,12 @@ INGEST_COL = "ingestion_timestamp"
 BOOKKEEPING = {INGEST_COL, "_loaded_at", "_source", "_processing_timestamp", "_change_hash"}
 
 
-def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = False) -> DataFrame:
-    """Run the cleaning chain on one raw feed."""
+def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = False,
+          keep: str = "first") -> DataFrame:
+    """Run the cleaning chain on one raw feed.
+
+    ``keep="last"`` keeps the last row of a key instead (the last re-sent
+    version of a record)."""
     ops.validate_required_columns(raw, spec.required)
     df = ops.standardize_columns(raw)
     if spec.trim:
@@ -136,8 +140,8 @@ def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = Fals
     df = ops.create_hash_column(df, spec.hash_columns)
     # newest ingest first; then every business column ascending, nulls first
     order = [f"-{INGEST_COL}"] if INGEST_COL in df.columns else []
-    return remove_duplicates(df, subset=spec.key, keep="first", order_by=order)
+    return remove_duplicates(df, subset=spec.key, keep=keep, order_by=order)
 
 
-def clean_table(raw: DataFrame, feed: str, as_of=None) -> DataFrame:
-    return clean(raw, SPECS[feed], as_of=as_of)
+def clean_table(raw: DataFrame, feed: str, as_of=None, keep: str = "first") -> DataFrame:
+    return clean(raw, SPECS[feed], as_of=as_of, keep=keep)

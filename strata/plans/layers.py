@@ -28,8 +28,8 @@ class Layers:
     def raw(self, feed: str) -> DataFrame:
         return feeds.raw_feed(self.tables, feed)
 
-    def clean(self, feed: str) -> DataFrame:
-        return cleaning.clean_table(self.raw(feed), feed, as_of=self.as_of)
+    def clean(self, feed: str, keep: str = "first") -> DataFrame:
+        return cleaning.clean_table(self.raw(feed), feed, as_of=self.as_of, keep=keep)
 
     # dimensional -----------------------------------------------------------
     @cached_property

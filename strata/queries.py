@@ -274,3 +274,100 @@ def q_dq_quarantine(spark, base):
     flagged = dq.flag_rows(o, [dq.rule(n, p) for n, p in QUARANTINE_RULES])
     return flagged.select("orderid", "_dq_failures",
                           (F.col("_dq_failures") != "").alias("_quarantined"))
+
+
+# ---------------------------------------------------------------- history and CDC
+import datetime as _dt  # noqa: E402
+
+from strata.functions import hashing  # noqa: E402
+from strata.operators import cdc  # noqa: E402
+from strata.operators import history  # noqa: E402
+from strata.plans import dims as dimplans  # noqa: E402
+from strata.session import materialize  # noqa: E402
+
+EVENT_KEYS = ["user_id"]
+DELETE_RULE = "event_type = 'error'"
+SNAPSHOT_CUT = _dt.datetime(2024, 1, 16)
+
+
+def event_history(events):
+    return history.scd2_from_log(events, EVENT_KEYS, "ts", ["event_type"], tiebreak="event_id")
+
+
+@register("scd2_history_events")
+def q_scd2_history_events(spark, base):
+    return event_history(Tables(spark, base).events)
+
+
+def weekly_batches(events):
+    """[lo, hi) week bounds covering every event (from a one-row aggregate)."""
+    span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    if span["lo"] is None:
+        return []
+    start = _dt.datetime.combine(span["lo"].date(), _dt.time())
+    bounds = []
+    while start <= span["hi"]:
+        bounds.append((start, start + _dt.timedelta(days=7)))
+        start += _dt.timedelta(days=7)
+    return bounds
+
+
+@register("scd2_apply_batch")
+def q_scd2_apply_batch(spark, base):
+    """History maintained batch by batch (one batch per week of events);
+    each applied state is checkpointed, like a stored table version."""
+    ev = Tables(spark, base).events
+    hist = None
+    for lo, hi in weekly_batches(ev):
+        batch = ev.where((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi)))
+        hist = (event_history(batch) if hist is None else
+                history.scd2_apply(hist, batch.select("user_id", "ts", "event_type", "event_id"),
+                                   EVENT_KEYS, "ts", ["event_type"], tiebreak="event_id"))
+        hist = materialize(hist)
+    return hist
+
+
+@register("asof_dim_join")
+def q_asof_dim_join(spark, base):
+    ev = Tables(spark, base).events
+    facts = ev.select("event_id", "user_id", "ts", "value")
+    return history.asof_join(facts, event_history(ev), EVENT_KEYS, "ts",
+                             ["version_sk", "event_type"], prefix="v_")
+
+
+def _event_state(events, delete_when=None):
+    st = cdc.apply_changes(events.select("user_id", "event_id", "ts", "event_type", "value"),
+                           EVENT_KEYS, "ts", "event_id", delete_when)
+    return st.withColumn("_change_hash", hashing.change_hash(
+        ["event_type", F.col("value").cast("decimal(12,2)")]))
+
+
+@register("cdc_apply_latest")
+def q_cdc_apply_latest(spark, base):
+    return _event_state(Tables(spark, base).events, DELETE_RULE).drop("_change_hash")
+
+
+@register("snapshot_diff")
+def q_snapshot_diff(spark, base):
+    ev = Tables(spark, base).events
+    old = _event_state(ev.where(F.col("ts") < F.lit(SNAPSHOT_CUT)))
+    new = _event_state(ev, DELETE_RULE)
+    return cdc.snapshot_diff(old, new, EVENT_KEYS)
+
+
+@register("cdc_soft_delete")
+def q_cdc_soft_delete(spark, base):
+    ev = Tables(spark, base).events
+    return cdc.soft_delete(_event_state(ev), _event_state(ev, DELETE_RULE), EVENT_KEYS) \
+        .drop("_change_hash")
+
+
+@register("cdc_upsert_fact")
+def q_cdc_upsert_fact(spark, base):
+    """The fact upserted with re-sent order lines: the source is the fact
+    rebuilt from the last copy of every line; changed lines are replaced."""
+    L = Layers(spark, base)
+    target = L.fact_sales
+    source = dimplans.fact_sales(L.clean("order_details", keep="last"), L.clean("orders"))
+    out = cdc.cdc_upsert(target, source, ["orderid", "product_id"], action_col="_cdc_action")
+    return _stable(out)
