@@ -207,6 +207,39 @@ RAW = {
 }
 
 
+RAW.update({
+    "raw_categories": f"""
+  SELECT DISTINCT CAST({CATEGORY_CASE} AS VARCHAR) AS categoryID, p_type AS categoryName,
+         CAST(NULL AS VARCHAR) AS description
+  FROM part""",
+    "raw_employees": """
+  SELECT CAST(s_suppkey AS VARCHAR) AS employeeID, s_name AS employeeName,
+         CASE WHEN s_acctbal < 0 THEN NULL WHEN s_acctbal < 5000 THEN 'Representative'
+              ELSE 'Manager' END AS title,
+         r_name AS city, n_name AS country,
+         CASE WHEN s_suppkey = 0 THEN NULL
+              ELSE CAST(CAST(floor(s_suppkey / 10) AS BIGINT) AS VARCHAR) END AS reportsTo
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+       LEFT JOIN region ON n_regionkey = r_regionkey""",
+    "raw_orders": """
+  SELECT CAST(o_orderkey AS VARCHAR) AS orderID, CAST(o_custkey AS VARCHAR) AS customerID,
+         CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS employeeID,
+         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS orderDate,
+         CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY AS DATE) AS VARCHAR) AS requiredDate,
+         CASE WHEN o_orderstatus = 'F'
+              THEN CAST(CAST(CAST(o_orderdate AS DATE) + INTERVAL 7 DAY AS DATE) AS VARCHAR)
+         END AS shippedDate,
+         left(o_orderpriority, 1) AS shipperID,
+         CAST(CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.01 AS DECIMAL(3,2))
+              AS DECIMAL(10,2)) AS VARCHAR) AS freight
+  FROM orders""",
+    "raw_shippers": """
+  SELECT DISTINCT left(o_orderpriority, 1) AS shipperID,
+         substring(o_orderpriority, 3) AS companyName
+  FROM orders""",
+})
+
+
 def with_raw(select_sql: str, **extra: str) -> str:
     return with_model(select_sql, **RAW, **extra)
 

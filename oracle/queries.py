@@ -401,3 +401,13 @@ FROM fact_last l
 WHERE NOT EXISTS (SELECT 1 FROM fact_sales f WHERE l.orderid = f.orderid
                   AND l.product_id = f.product_id AND l._change_hash IS NOT DISTINCT FROM f._change_hash)""",
     order_details_last=_LAST_DETAILS, fact_last=_FACT_LAST)
+
+# ------------------------------------------------------------------ streaming ingest
+for _f in ("categories", "products", "customers", "employees", "orders", "order_details",
+           "shippers"):
+    ORACLE[f"bronze_{_f}"] = with_raw(
+        f"SELECT * EXCLUDE (ingestion_timestamp) FROM raw_{_f}"
+        if _f in ("products", "customers", "order_details") else f"SELECT * FROM raw_{_f}")
+ORACLE["ingest_stream_csv"] = "SELECT * FROM events"
+ORACLE["ingest_stream_incremental"] = "SELECT * FROM events"
+ORACLE["cdc_stream_apply"] = ORACLE["cdc_apply_latest"]

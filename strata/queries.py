@@ -371,3 +371,74 @@ def q_cdc_upsert_fact(spark, base):
     source = dimplans.fact_sales(L.clean("order_details", keep="last"), L.clean("orders"))
     out = cdc.cdc_upsert(target, source, ["orderid", "product_id"], action_col="_cdc_action")
     return _stable(out)
+
+
+# ---------------------------------------------------------------- streaming ingest
+from strata.session import scratch_path  # noqa: E402
+from strata.sources.feeds import FEEDS  # noqa: E402
+from strata.streaming import changes as stream_changes  # noqa: E402
+from strata.streaming import ingest  # noqa: E402
+
+EVENT_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                "value DOUBLE, props STRING")
+
+
+def _stage_events(spark, base, where=None, path=None):
+    """Drop the events as CSV files, one folder per day of ``ts``."""
+    ev = Tables(spark, base).events
+    if where is not None:
+        ev = ev.where(where)
+    path = path or scratch_path(spark, "events-csv")
+    ingest.write_csv_files(ev.withColumn("day", F.to_date("ts")), path, split_by="day")
+    return path
+
+
+def _bronze(feed):
+    def q(spark, base):
+        src = scratch_path(spark, f"{feed}-csv")
+        ingest.write_csv_files(Layers(spark, base).raw(feed).drop("ingestion_timestamp"), src)
+        target, ckpt = scratch_path(spark, f"bronze-{feed}"), scratch_path(spark, f"ckpt-{feed}")
+        ingest.run_to_end(ingest.write_incremental(ingest.raw_feed_stream(spark, src, feed),
+                                                   target, ckpt))
+        return ingest.read_table(spark, target).drop("ingestion_timestamp")
+    return q
+
+
+for _feed in FEEDS:
+    register(f"bronze_{_feed}")(_bronze(_feed))
+
+
+@register("ingest_stream_csv")
+def q_ingest_stream_csv(spark, base):
+    src = _stage_events(spark, base)
+    target, ckpt = scratch_path(spark, "bronze-events"), scratch_path(spark, "ckpt-events")
+    stream = ingest.stamp(ingest.csv_stream(spark, src, EVENT_SCHEMA))
+    ingest.run_to_end(ingest.write_incremental(stream, target, ckpt))
+    return ingest.read_table(spark, target).drop("ingestion_timestamp")
+
+
+@register("ingest_stream_incremental")
+def q_ingest_stream_incremental(spark, base):
+    """Two runs on one checkpoint: the second sees only the newly dropped
+    files; the table ends with every event exactly once."""
+    src = scratch_path(spark, "events-csv")
+    target, ckpt = scratch_path(spark, "bronze-events"), scratch_path(spark, "ckpt-events")
+    cut = F.col("ts") < F.lit(SNAPSHOT_CUT)
+    for part in (cut, ~cut):
+        _stage_events(spark, base, where=part, path=src)
+        stream = ingest.stamp(ingest.csv_stream(spark, src, EVENT_SCHEMA))
+        ingest.run_to_end(ingest.write_incremental(stream, target, ckpt))
+    return ingest.read_table(spark, target).drop("ingestion_timestamp")
+
+
+@register("cdc_stream_apply")
+def q_cdc_stream_apply(spark, base):
+    """Change feed applied micro-batch by micro-batch (a week of daily files
+    per batch) into a versioned state; final state = latest per key."""
+    src = _stage_events(spark, base)
+    target, ckpt = scratch_path(spark, "state-users"), scratch_path(spark, "ckpt-state")
+    stream = ingest.csv_stream(spark, src, EVENT_SCHEMA, max_files_per_trigger=7).drop("props")
+    ingest.run_to_end(stream_changes.apply_stream(stream, target, ckpt, EVENT_KEYS, "ts",
+                                                  "event_id", DELETE_RULE))
+    return stream_changes.read_state(spark, target).select(
+        "user_id", "event_id", "ts", "event_type", "value")
