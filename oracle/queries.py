@@ -411,3 +411,109 @@ for _f in ("categories", "products", "customers", "employees", "orders", "order_
 ORACLE["ingest_stream_csv"] = "SELECT * FROM events"
 ORACLE["ingest_stream_incremental"] = "SELECT * FROM events"
 ORACLE["cdc_stream_apply"] = ORACLE["cdc_apply_latest"]
+
+# ------------------------------------------------------------------ documented marts
+ORACLE["gold_monthly_yoy"] = with_model(f"""
+SELECT m.year_month, CAST(year(m.year_month) AS INT) AS year, CAST(month(m.year_month) AS INT) AS month,
+       m.monthly_sales, p.monthly_sales AS prev_year_sales,
+       {pct('m.monthly_sales - p.monthly_sales', 'p.monthly_sales', num_scale=2, den_scale=2)} AS yoy_sales_change,
+       'gold_monthly_yoy' AS _source
+FROM mm m LEFT JOIN mm p ON p.year_month = CAST(m.year_month - INTERVAL 12 MONTH AS DATE)""", mm=f"""
+  SELECT CAST(date_trunc('month', order_date) AS DATE) AS year_month,
+         CAST(sum(line_total) AS {MONEY}) AS monthly_sales
+  FROM fact_sales GROUP BY 1""")
+_EMP_TOT = """
+  SELECT employee_id, sum(ot) AS sales, sum(q) AS units, count(*) AS orders
+  FROM (SELECT employee_id, orderid, sum(line_total) AS ot, sum(order_quantity) AS q
+        FROM fact_sales GROUP BY employee_id, orderid) x GROUP BY employee_id"""
+ORACLE["gold_team_summary"] = with_model(f"""
+SELECT manager_name, count(*) AS team_members, count(t.sales) AS members_with_sales,
+       coalesce(CAST(sum(t.sales) AS {MONEY}), CAST(0 AS {MONEY})) AS team_sales,
+       coalesce(CAST(sum(t.orders) AS BIGINT), 0) AS team_orders,
+       CAST(max(t.sales) AS DECIMAL(22,2)) AS top_member_sales,
+       {mean('coalesce(sum(t.sales), 0)', 'count(*)')} AS avg_member_sales,
+       'gold_team_summary' AS _source
+FROM (SELECT employee_id, manager_name FROM dim_employees WHERE _is_current) e
+LEFT JOIN et t USING (employee_id)
+GROUP BY manager_name""", et=_EMP_TOT)
+ORACLE["gold_territory_rollup"] = with_model(f"""
+SELECT country, city, CAST(grouping(country, city) AS INT) AS grouping_level,
+       CAST(sum(sales) AS {MONEY}) AS total_sales, CAST(sum(units) AS BIGINT) AS total_quantity,
+       CAST(sum(orders) AS BIGINT) AS total_orders, count(*) AS employees,
+       'gold_territory_rollup' AS _source
+FROM et JOIN (SELECT employee_id, country, city FROM dim_employees WHERE _is_current) e
+  USING (employee_id)
+GROUP BY ROLLUP (country, city)""", et=_EMP_TOT)
+_PERF = f"""
+  SELECT d.product_id, d.product_name, d.category_name,
+         CAST(sum(line_total) AS {MONEY}) AS total_sales
+  FROM fact_sales f JOIN (SELECT * FROM dim_products WHERE _is_current) d
+    ON f.product_id = d.product_id
+  GROUP BY d.product_id, d.product_name, d.category_name"""
+ORACLE["gold_category_top_bottom"] = with_model("""
+SELECT category_name, product_id, product_name, total_sales, rank_in_category, position,
+       'gold_category_top_bottom' AS _source
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY category_name
+              ORDER BY total_sales DESC NULLS LAST, product_id) AS INT) AS rank_in_category,
+             'top' AS position FROM perf) t WHERE rank_in_category <= 5
+UNION ALL
+SELECT category_name, product_id, product_name, total_sales, rank_in_category, position,
+       'gold_category_top_bottom' AS _source
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY category_name
+              ORDER BY total_sales ASC NULLS LAST, product_id) AS INT) AS rank_in_category,
+             'bottom' AS position FROM perf) b WHERE rank_in_category <= 5""", perf=_PERF)
+_AVG_C = ratio("(SELECT sum(total_sales) FROM bc)", "(SELECT count(*) FROM bc)", num_scale=2)
+ORACLE["gold_country_comparison"] = with_model(f"""
+SELECT country, total_sales,
+       {pct('total_sales', '(SELECT sum(total_sales) FROM bc)', num_scale=2, den_scale=2)} AS share_of_total,
+       {_AVG_C} AS mean_country_sales,
+       CAST(total_sales - {_AVG_C} AS {MONEY}) AS diff_to_mean,
+       'gold_country_comparison' AS _source
+FROM bc""", bc=f"""
+  SELECT country, CAST(sum(line_total) AS {MONEY}) AS total_sales
+  FROM fact_sales JOIN (SELECT customer_id, country FROM dim_customers WHERE _is_current) c
+    USING (customer_id) GROUP BY country""")
+ORACLE["gold_order_frequency"] = with_model(f"""
+SELECT customer_id, count(*) AS order_count, CAST(sum(ot) AS {MONEY}) AS total_sales,
+       {mean('sum(ot)', 'count(ot)')} AS avg_order_value,
+       min(d) AS first_order_date, max(d) AS last_order_date,
+       CAST(datediff('day', min(d), max(d)) AS INT) AS active_days,
+       'gold_order_frequency' AS _source
+FROM (SELECT customer_id, orderid, sum(line_total) AS ot, min(order_date) AS d
+      FROM fact_sales GROUP BY customer_id, orderid) o
+GROUP BY customer_id""")
+ORACLE["gold_orders_by_weekday"] = with_model(f"""
+SELECT day_of_week, is_weekend, orders, total_sales,
+       {pct('orders', '(SELECT sum(orders) FROM pd)')} AS share_of_orders,
+       'gold_orders_by_weekday' AS _source
+FROM pd""", pd=f"""
+  SELECT day_of_week, is_weekend, count(*) AS orders, CAST(sum(ot) AS {MONEY}) AS total_sales
+  FROM (SELECT orderid, order_date, sum(line_total) AS ot FROM fact_sales
+        GROUP BY orderid, order_date) o
+  JOIN dim_dates d ON d.full_date = o.order_date
+  GROUP BY day_of_week, is_weekend""")
+ORACLE["gold_product_net_revenue"] = with_model(f"""
+SELECT *, CAST(rank() OVER (ORDER BY net_revenue DESC NULLS LAST) AS INT) AS net_rank,
+       'gold_product_net_revenue' AS _source
+FROM (SELECT d.product_id, d.product_name, d.category_name,
+             CAST(sum(line_total) AS {MONEY}) AS gross_revenue,
+             CAST(sum(discount_amount) AS {MONEY}) AS total_discount,
+             CAST(sum(line_total - discount_amount) AS {MONEY}) AS net_revenue
+      FROM fact_sales f JOIN (SELECT * FROM dim_products WHERE _is_current) d
+        ON f.product_id = d.product_id
+      GROUP BY d.product_id, d.product_name, d.category_name) p""")
+ORACLE["dim_dates_calendar"] = with_model("""
+SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS date_key, d AS full_date,
+       CAST(year(d) AS INT) AS year, CAST(quarter(d) AS INT) AS quarter,
+       CAST(month(d) AS INT) AS month, CAST(dayofweek(d) + 1 AS INT) AS day_of_week,
+       CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend, 0 AS is_holiday
+FROM (SELECT CAST(unnest(generate_series(min(orderdate), max(orderdate), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM orders_clean) c""")
+ORACLE["fact_sales_with_sks"] = with_model(f"""
+SELECT *, {sk(['customer_id'])} AS dim_customer_sk, {sk(['employee_id'])} AS dim_employee_sk,
+       {sk(['product_id'])} AS dim_product_sk, {sk(['shipper_id'])} AS dim_shipper_sk,
+       CAST(strftime(order_date, '%Y%m%d') AS INT) AS order_date_key
+FROM fact_sales""")
+ORACLE["fact_partition_roundtrip"] = with_model("""
+SELECT *, CAST(year(order_date) AS INT) AS order_year, CAST(month(order_date) AS INT) AS order_month
+FROM fact_sales""")

@@ -378,3 +378,143 @@ def monthly_trends(fact: DataFrame, grain: str = "line", frame: str = "3m",
             num_scale=2, den_scale=2).alias("mom_sales_change"),
     )
     return _stamp(df, "gold_monthly_trends", as_of)
+
+
+# --------------------------------------------------------------------- G7
+def monthly_yoy(fact: DataFrame, grain: str = "line", as_of=None) -> DataFrame:
+    """Each month against the same calendar month one year earlier (NULL
+    when that month has no sales): an equi join on ``add_months(ym, 12)``,
+    safe with gaps in the months where ``lag(12)`` would not be."""
+    m = monthly_base(fact, grain).select("year_month", "year", "month", "monthly_sales")
+    prev = m.select(F.add_months("year_month", 12).alias("year_month"),
+                    F.col("monthly_sales").alias("prev_year_sales"))
+    df = m.join(prev, "year_month", "left").select(
+        "year_month", "year", "month", "monthly_sales", "prev_year_sales",
+        pct(F.col("monthly_sales") - F.col("prev_year_sales"), F.col("prev_year_sales"),
+            num_scale=2, den_scale=2).alias("yoy_sales_change"))
+    return _stamp(df, "gold_monthly_yoy", as_of)
+
+
+# --------------------------------------------------------------------- G8
+def _employee_totals(fact: DataFrame) -> DataFrame:
+    """Per employee: sales, units, lines and distinct orders (an order has
+    one employee, so per-employee distinct orders add up across teams)."""
+    f = _line_measures(fact)
+    per_order = f.groupBy("employee_id", "orderid").agg(
+        F.sum("line_total").alias("_ot"), F.sum("order_quantity").alias("_q"))
+    return per_order.groupBy("employee_id").agg(
+        F.sum("_ot").alias("_sales"), F.sum("_q").alias("_units"),
+        F.count(F.lit(1)).alias("_orders"))
+
+
+def team_summary(fact: DataFrame, dim_employees: DataFrame, as_of=None) -> DataFrame:
+    """Sales of each manager's team (direct reports); the top of the tree
+    (no manager) is the group with a NULL manager."""
+    emp = current_rows(dim_employees).select("employee_id", "manager_name")
+    df = emp.join(_employee_totals(fact), "employee_id", "left").groupBy("manager_name").agg(
+        F.count(F.lit(1)).alias("team_members"),
+        F.count("_sales").alias("members_with_sales"),
+        F.coalesce(_money_sum("_sales"), F.lit(0).cast(MONEY)).alias("team_sales"),
+        F.coalesce(F.sum("_orders"), F.lit(0).cast("bigint")).alias("team_orders"),
+        F.max("_sales").cast("decimal(22,2)").alias("top_member_sales"),
+        F.sum("_sales").alias("_s"))
+    df = df.select("manager_name", "team_members", "members_with_sales", "team_sales",
+                   "team_orders", "top_member_sales",
+                   mean(F.coalesce(F.col("_s"), F.lit(0)), "team_members").alias("avg_member_sales"))
+    return _stamp(df, "gold_team_summary", as_of)
+
+
+def territory_rollup(fact: DataFrame, dim_employees: DataFrame, as_of=None) -> DataFrame:
+    """Sales by employee country and city with country subtotals and a grand
+    total (``rollup``); ``grouping_level`` 0 = city, 1 = country, 3 = all."""
+    emp = current_rows(dim_employees).select("employee_id", "country", "city")
+    per_emp = _employee_totals(fact).join(emp, "employee_id")
+    df = per_emp.rollup("country", "city").agg(
+        F.grouping_id().cast("int").alias("grouping_level"),
+        _money_sum("_sales").alias("total_sales"),
+        F.sum("_units").alias("total_quantity"),
+        F.sum("_orders").alias("total_orders"),
+        F.count(F.lit(1)).alias("employees"))
+    return _stamp(df, "gold_territory_rollup", as_of)
+
+
+# --------------------------------------------------------------------- G9
+def category_top_bottom(fact: DataFrame, dim_products: DataFrame, n: int = 5,
+                        as_of=None) -> DataFrame:
+    """The ``n`` best and ``n`` worst selling products of every category
+    (``row_number`` per category, ties broken by product id).  Each limit
+    is a per-partition top-n before the shuffle (WindowGroupLimit), so a
+    category with very many products never sorts in one task."""
+    perf = product_performance(fact, dim_products, "line").select(
+        "category_name", "product_id", "product_name", "total_sales")
+    parts = []
+    for position, order in (("top", F.col("total_sales").desc_nulls_last()),
+                            ("bottom", F.col("total_sales").asc_nulls_last())):
+        w = Window.partitionBy("category_name").orderBy(order, F.col("product_id").asc())
+        parts.append(perf.withColumn("rank_in_category", F.row_number().over(w))
+                     .where(F.col("rank_in_category") <= n)
+                     .withColumn("position", F.lit(position)))
+    return _stamp(parts[0].unionByName(parts[1]), "gold_category_top_bottom", as_of)
+
+
+# --------------------------------------------------------------------- G10
+def country_comparison(fact: DataFrame, dim_customers: DataFrame, as_of=None) -> DataFrame:
+    """Each country's share of all sales and its distance to the mean
+    country (grand total and country count are scalar subqueries)."""
+    by_country = sales_by_country(fact, dim_customers, "line").select("country", "total_sales")
+    grand = by_country.agg(F.sum("total_sales")).scalar()
+    n = by_country.agg(F.count(F.lit(1))).scalar()
+    avg_country = ratio(grand, n, scale=2, num_scale=2)
+    df = by_country.select(
+        "country", "total_sales",
+        pct(F.col("total_sales"), grand, num_scale=2, den_scale=2).alias("share_of_total"),
+        avg_country.alias("mean_country_sales"),
+        (F.col("total_sales") - avg_country).cast(MONEY).alias("diff_to_mean"))
+    return _stamp(df, "gold_country_comparison", as_of)
+
+
+# --------------------------------------------------------------------- G11
+def order_frequency(fact: DataFrame, as_of=None) -> DataFrame:
+    """Orders per customer: count, value and first/last order date."""
+    f = _line_measures(fact)
+    orders = f.groupBy("customer_id", "orderid").agg(
+        F.sum("line_total").alias("_ot"), F.min("order_date").alias("_d"))
+    df = orders.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("order_count"),
+        _money_sum("_ot").alias("total_sales"),
+        F.sum("_ot").alias("_s"), F.count("_ot").alias("_n"),
+        F.min("_d").alias("first_order_date"), F.max("_d").alias("last_order_date"))
+    df = df.select("customer_id", "order_count", "total_sales",
+                   mean("_s", "_n").alias("avg_order_value"),
+                   "first_order_date", "last_order_date",
+                   F.datediff("last_order_date", "first_order_date").alias("active_days"))
+    return _stamp(df, "gold_order_frequency", as_of)
+
+
+def orders_by_weekday(fact: DataFrame, dim_dates: DataFrame, as_of=None) -> DataFrame:
+    """Orders and sales per day of week (joined to the date dimension)."""
+    f = _line_measures(fact)
+    orders = f.groupBy("orderid", "order_date").agg(F.sum("line_total").alias("_ot"))
+    dates = dim_dates.select(F.col("full_date").alias("order_date"), "day_of_week", "is_weekend")
+    per_day = orders.join(dates, "order_date").groupBy("day_of_week", "is_weekend").agg(
+        F.count(F.lit(1)).alias("orders"), _money_sum("_ot").alias("total_sales"))
+    total = per_day.agg(F.sum("orders")).scalar()
+    df = per_day.select("day_of_week", "is_weekend", "orders", "total_sales",
+                        pct(F.col("orders"), total).alias("share_of_orders"))
+    return _stamp(df, "gold_orders_by_weekday", as_of)
+
+
+# --------------------------------------------------------------------- G12
+def product_net_revenue(fact: DataFrame, dim_products: DataFrame, as_of=None) -> DataFrame:
+    """Net revenue (line totals less discounts; no cost column exists) per
+    product, ranked over all products without a one-partition sort."""
+    prod = current_rows(dim_products).select("product_id", "product_name", "category_name")
+    f = _line_measures(fact)
+    agg = f.groupBy("product_id").agg(
+        _money_sum("line_total").alias("gross_revenue"),
+        _money_sum("discount_amount").alias("total_discount"),
+        _money_sum(F.col("line_total") - F.col("discount_amount")).alias("net_revenue"))
+    df = with_global_rank(agg.join(prod, "product_id"), "net_revenue", "net_rank")
+    df = df.select("product_id", "product_name", "category_name", "gross_revenue",
+                   "total_discount", "net_revenue", "net_rank")
+    return _stamp(df, "gold_product_net_revenue", as_of)

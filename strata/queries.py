@@ -442,3 +442,40 @@ def q_cdc_stream_apply(spark, base):
                                                   "event_id", DELETE_RULE))
     return stream_changes.read_state(spark, target).select(
         "user_id", "event_id", "ts", "event_type", "value")
+
+
+# ---------------------------------------------------------------- documented marts
+from strata.plans import storage  # noqa: E402
+
+_MORE = {
+    "gold_monthly_yoy": lambda L: marts.monthly_yoy(L.fact_sales),
+    "gold_team_summary": lambda L: marts.team_summary(L.fact_sales, L.dim_employees),
+    "gold_territory_rollup": lambda L: marts.territory_rollup(L.fact_sales, L.dim_employees),
+    "gold_category_top_bottom": lambda L: marts.category_top_bottom(L.fact_sales, L.dim_products),
+    "gold_country_comparison": lambda L: marts.country_comparison(L.fact_sales, L.dim_customers),
+    "gold_order_frequency": lambda L: marts.order_frequency(L.fact_sales),
+    "gold_orders_by_weekday": lambda L: marts.orders_by_weekday(L.fact_sales, L.dim_dates),
+    "gold_product_net_revenue": lambda L: marts.product_net_revenue(L.fact_sales, L.dim_products),
+}
+for _name, _builder in _MORE.items():
+    register(_name)((lambda b: lambda spark, base: _stable(b(Layers(spark, base))))(_builder))
+
+
+@register("dim_dates_calendar")
+def q_dim_dates_calendar(spark, base):
+    return dimplans.dim_dates_calendar(Layers(spark, base).clean("orders"))
+
+
+@register("fact_sales_with_sks")
+def q_fact_sales_with_sks(spark, base):
+    return _stable(dimplans.fact_with_dimension_keys(Layers(spark, base).fact_sales))
+
+
+@register("fact_partition_roundtrip")
+def q_fact_partition_roundtrip(spark, base):
+    """The fact written partitioned by order year/month (clustered by
+    customer and date inside each partition) and read back whole."""
+    path = scratch_path(spark, "fact-sales")
+    storage.write_fact(_stable(Layers(spark, base).fact_sales), path,
+                       cluster_by=["customer_id", "order_date"])
+    return storage.read_fact(spark, path)
