@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.operators.columns import drop_bookkeeping
 from strata.plans import marts
 from strata.plans.layers import Layers
+from strata.plans.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,7 +76,7 @@ def q_fact_sales(spark, base):
 # ---------------------------------------------------------------- marts
 def _mart(builder, grain):
     def q(spark, base):
-        return _stable(builder(Layers(spark, base), grain))
+        return _stable(builder(Warehouse(spark, base), grain))
     return q
 
 
@@ -247,7 +248,7 @@ def q_dq_duplicate_keys(spark, base):
 
 @register("dq_referential_integrity")
 def q_dq_referential_integrity(spark, base):
-    L = Layers(spark, base)
+    L = Warehouse(spark, base)
     fact = L.fact_sales
     checks = [
         dq.foreign_key(["customer_id"], L.dim_customers, ["customer_id"]),
@@ -458,7 +459,7 @@ _MORE = {
     "gold_product_net_revenue": lambda L: marts.product_net_revenue(L.fact_sales, L.dim_products),
 }
 for _name, _builder in _MORE.items():
-    register(_name)((lambda b: lambda spark, base: _stable(b(Layers(spark, base))))(_builder))
+    register(_name)((lambda b: lambda spark, base: _stable(b(Warehouse(spark, base))))(_builder))
 
 
 @register("dim_dates_calendar")
