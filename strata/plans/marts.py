@@ -24,6 +24,7 @@ from strata.functions.exact import mean, pct, ratio
 from strata.operators import columns as ops
 from strata.operators.ranks import top_by, with_global_rank
 from strata.plans.dims import current_rows
+from strata.session import materialize
 
 MONEY = "decimal(28,2)"
 
@@ -163,7 +164,9 @@ def sales_by_employee(fact: DataFrame, dim_employees: DataFrame, grain: str = "l
                 F.sum("_order_total").alias("_v_sum"),
                 F.count("_order_total").alias("_v_n")),
             "employee_id")
-    df = per_emp.join(emp, "employee_id")
+    # one row per employee, written once: the rank, the count and the output
+    # all read it instead of re-running the fact aggregation
+    df = materialize(per_emp.join(emp, "employee_id"))
     n_emp = df.agg(F.count(F.lit(1))).scalar()
     df = with_global_rank(df, "total_sales", "sales_rank")
     df = df.select(
@@ -228,7 +231,8 @@ def top_products(fact: DataFrame, dim_products: DataFrame, grain: str = "line",
     quantity and popularity ranks are ranks over *all* products, computed
     by ``with_global_rank`` and joined to the survivors.
     """
-    perf = product_performance(fact, dim_products, grain)
+    # one row per product, written once and read by the three rankings
+    perf = materialize(product_performance(fact, dim_products, grain))
     top = top_by(perf, "total_sales", k, out="rank_by_sales")
     by_qty = with_global_rank(perf.select("product_id", "total_quantity"), "total_quantity",
                               "rank_by_quantity").select("product_id", "rank_by_quantity")
@@ -461,7 +465,8 @@ def category_top_bottom(fact: DataFrame, dim_products: DataFrame, n: int = 5,
 def country_comparison(fact: DataFrame, dim_customers: DataFrame, as_of=None) -> DataFrame:
     """Each country's share of all sales and its distance to the mean
     country (grand total and country count are scalar subqueries)."""
-    by_country = sales_by_country(fact, dim_customers, "line").select("country", "total_sales")
+    by_country = materialize(
+        sales_by_country(fact, dim_customers, "line").select("country", "total_sales"))
     grand = by_country.agg(F.sum("total_sales")).scalar()
     n = by_country.agg(F.count(F.lit(1))).scalar()
     avg_country = ratio(grand, n, scale=2, num_scale=2)
@@ -514,7 +519,7 @@ def product_net_revenue(fact: DataFrame, dim_products: DataFrame, as_of=None) ->
         _money_sum("line_total").alias("gross_revenue"),
         _money_sum("discount_amount").alias("total_discount"),
         _money_sum(F.col("line_total") - F.col("discount_amount")).alias("net_revenue"))
-    df = with_global_rank(agg.join(prod, "product_id"), "net_revenue", "net_rank")
+    df = with_global_rank(materialize(agg.join(prod, "product_id")), "net_revenue", "net_rank")
     df = df.select("product_id", "product_name", "category_name", "gross_revenue",
                    "total_discount", "net_revenue", "net_rank")
     return _stamp(df, "gold_product_net_revenue", as_of)

@@ -367,9 +367,9 @@ def q_cdc_soft_delete(spark, base):
 def q_cdc_upsert_fact(spark, base):
     """The fact upserted with re-sent order lines: the source is the fact
     rebuilt from the last copy of every line; changed lines are replaced."""
-    L = Layers(spark, base)
-    target = L.fact_sales
+    L = Warehouse(spark, base)
     source = dimplans.fact_sales(L.clean("order_details", keep="last"), L.clean("orders"))
+    target = L.fact_sales.select(*source.columns)   # the stored fact
     out = cdc.cdc_upsert(target, source, ["orderid", "product_id"], action_col="_cdc_action")
     return _stable(out)
 
