@@ -3,10 +3,14 @@
 One generic chain, table differences as data (``CleanSpec``):
 
     required columns -> standard names -> trim -> typed casts -> null fills
-    -> derived columns -> audit stamp -> change hash -> dedupe on the key
-
-Everything up to the dedupe is one Project; the dedupe is one aggregate
-(partial on the map side, one shuffle on the primary key).
+    -> dedupe on the key -> derived columns -> audit stamp -> change hash
+
+Derived, audit and hash columns are functions of the business columns (or
+constants of the run), so deduplicating before computing them keeps the
+same winner and result while the aggregate carries only the business
+columns, and md5 runs on surviving rows only.  The steps before and after
+the dedupe are single Projects; the dedupe is one aggregate (partial on the
+map side, one shuffle on the primary key).
 """
 
 from __future__ import annotations
@@ -134,13 +138,13 @@ def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = Fals
         df = ops.normalize_strings(df)
     df = ops.cast_columns(df, spec.casts, strict=strict_casts)
     df = ops.handle_nulls(df, spec.fills)
+    # newest ingest first; then every business column ascending, nulls first
+    order = [f"-{INGEST_COL}"] if INGEST_COL in df.columns else []
+    df = remove_duplicates(df, subset=spec.key, keep=keep, order_by=order)
     if spec.derive is not None:
         df = spec.derive(df)
     df = ops.add_audit_columns(df, source=spec.source_tag, as_of=as_of)
-    df = ops.create_hash_column(df, spec.hash_columns)
-    # newest ingest first; then every business column ascending, nulls first
-    order = [f"-{INGEST_COL}"] if INGEST_COL in df.columns else []
-    return remove_duplicates(df, subset=spec.key, keep=keep, order_by=order)
+    return ops.create_hash_column(df, spec.hash_columns)
 
 
 def clean_table(raw: DataFrame, feed: str, as_of=None, keep: str = "first") -> DataFrame:

@@ -77,14 +77,25 @@ class Warehouse(Layers):
         else:
             df.write.mode("overwrite").parquet(tmp)
         fs, jvm = _fs(self.spark, final)
-        dst = jvm.org.apache.hadoop.fs.Path(final)
+        dst, src = jvm.org.apache.hadoop.fs.Path(final), jvm.org.apache.hadoop.fs.Path(tmp)
         if fs.exists(dst):
+            if not force:          # another session finished first: keep its copy
+                fs.delete(src, True)
+                return
             fs.delete(dst, True)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), dst)
-
-    def build_all(self, force: bool = False) -> None:
-        for name in STORED:
-            self.build(name, force)
+        fs.rename(src, dst)
+
+    def build_all(self, force: bool = False, parallel: bool = True) -> None:
+        """Build every stored table.  The tables are independent, so their
+        jobs are submitted together and share the cluster's task slots."""
+        if not parallel:
+            for name in STORED:
+                self.build(name, force)
+            return
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(STORED)) as pool:
+            for f in [pool.submit(self.build, name, force) for name in STORED]:
+                f.result()
 
     def _stored(self, name: str) -> DataFrame:
         self.build(name)
