@@ -60,6 +60,7 @@ def main(argv):
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "16g")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)

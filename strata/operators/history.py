@@ -61,13 +61,13 @@ def scd2_from_log(log: DataFrame, keys: Sequence[str], seq: str, tracked: Sequen
     df = df.withColumn("_change_hash", F.when(F.col("_is_delete"), F.lit(DELETED))
                        .otherwise(hashing.change_hash(tracked)))
 
-    with_prev = seqops.previous_values(df, keys, [seq], ["_change_hash"])
+    with_prev = seqops.previous_values(df, keys, [seq], ["_change_hash"], keep_slice=True)
     prev = F.col("_prev__change_hash")
     changes = with_prev.where(prev.isNull() | (prev != F.col("_change_hash")))
     # a leading delete (nothing to close) is not a change either
     changes = changes.where(~(F.col("_is_delete") & prev.isNull())).drop("_prev__change_hash")
 
-    with_next = seqops.next_values(changes, keys, [seq], [seq])
+    with_next = seqops.next_values(changes, keys, [seq], [seq], presliced=True)
     versions = with_next.where(~F.col("_is_delete"))
     end = F.col(f"_next_{seq}")
     if end_inclusive == "day":

@@ -53,9 +53,14 @@ def _carry_join(local: DataFrame, carry: DataFrame, keys, first_col: str, pairs)
 
 
 def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    cols: Sequence[str], prefix: str = "_prev_", presliced: bool = False) -> DataFrame:
+                    cols: Sequence[str], prefix: str = "_prev_", presliced: bool = False,
+                    keep_slice: bool = False) -> DataFrame:
     """``lag(c, 1)`` of each ``c`` in ``cols`` within ``keys`` by ``order``
-    (a total order inside the key), as ``prefix + c``."""
+    (a total order inside the key), as ``prefix + c``.
+
+    ``keep_slice`` keeps the ``_slice`` column so a following neighbour
+    step over a filtered subset can reuse the slices (``presliced=True``):
+    filtering keeps every key's rows in a contiguous run of slices."""
     s = df if presliced else sliced(df, keys, order)
     w = _within(keys, order)
     local = s.withColumns({
@@ -65,7 +70,8 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     last = s.groupBy(*keys, SLICE).agg(
         F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
     carry = last.select(*keys, SLICE, F.lag("_last").over(_across(keys)).alias("_carry"))
-    return _carry_join(local, carry, keys, "_edge", [(prefix + c, c) for c in cols]).drop(SLICE)
+    out = _carry_join(local, carry, keys, "_edge", [(prefix + c, c) for c in cols])
+    return out if keep_slice else out.drop(SLICE)
 
 
 def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
