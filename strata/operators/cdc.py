@@ -26,8 +26,10 @@ def apply_changes(feed: DataFrame, keys: Sequence[str], seq: str, tiebreak: str
     removes the key."""
     keys = list(keys)
     payload = [c for c in feed.columns if c not in keys]
-    order = F.struct(F.col(seq), F.col(tiebreak)) if tiebreak else F.col(seq)
-    latest = feed.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_w"))
+    # total order: seq, tiebreak, then every other column (deterministic ties)
+    first = [seq] + ([tiebreak] if tiebreak else [])
+    fields = first + [c for c in payload if c not in first]
+    latest = feed.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_w"))
     state = latest.select(*keys, *[F.col("_w")[c].alias(c) for c in payload])
     if delete_when is not None:
         state = state.where(~F.coalesce(_cond(delete_when), F.lit(False)))

@@ -26,11 +26,10 @@ DELETED = "__deleted__"
 
 def _latest_per_instant(log: DataFrame, keys, seq, tracked, tiebreak, extra=()) -> DataFrame:
     """One row per (key, seq): the one with the largest tiebreak."""
-    payload = [*tracked, *extra] + ([tiebreak] if tiebreak else [])
-    if not tiebreak:
-        return log.select(*keys, seq, *payload).dropDuplicates([*keys, seq])
-    picked = log.groupBy(*keys, seq).agg(
-        F.max_by(F.struct(*payload), F.col(tiebreak)).alias("_p"))
+    payload = ([tiebreak] if tiebreak else []) + [*tracked, *extra]
+    # the largest (tiebreak, tracked...) wins: a total order, so the pick does
+    # not depend on input order; an aggregate, so it combines map-side
+    picked = log.groupBy(*keys, seq).agg(F.max(F.struct(*payload)).alias("_p"))
     return picked.select(*keys, seq, *[F.col("_p")[c].alias(c) for c in payload])
 
 

@@ -69,8 +69,9 @@ def merge_latest(state: DataFrame | None, batch: DataFrame, keys: Sequence[str],
         "_deleted", F.coalesce(cond, F.lit(False)) if cond is not None else F.lit(False))
     allrows = incoming if state is None else state.unionByName(incoming)
     payload = [c for c in allrows.columns if c not in keys]
-    order = F.struct(F.col(seq), F.col(tiebreak)) if tiebreak else F.col(seq)
-    latest = allrows.groupBy(*keys).agg(F.max_by(F.struct(*payload), order).alias("_w"))
+    first = [seq] + ([tiebreak] if tiebreak else [])
+    fields = first + [c for c in payload if c not in first]
+    latest = allrows.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_w"))
     return latest.select(*keys, *[F.col("_w")[c].alias(c) for c in payload])
 
 

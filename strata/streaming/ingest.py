@@ -41,7 +41,9 @@ def write_csv_files(df: DataFrame, path: str, split_by: str | None = None,
     value when given, e.g. one per day, as a source system would)."""
     w = df
     if split_by:
-        w = df.repartition(split_by)
+        # one task per value, except that AQE splits a value holding a large
+        # share of the rows (REBALANCE) instead of writing it from one task
+        w = df.hint("rebalance", split_by)
     writer = w.write.mode(mode).options(**CSV_OPTIONS)
     if split_by:
         writer = writer.partitionBy(split_by)
