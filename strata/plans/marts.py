@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.exact import mean, pct, ratio
 from strata.operators import columns as ops
-from strata.operators.ranks import top_by, with_global_rank
+from strata.operators.ranks import top_by, with_global_rank, with_probe_rank
 from strata.plans.dims import current_rows
 from strata.session import materialize
 
@@ -229,16 +229,14 @@ def top_products(fact: DataFrame, dim_products: DataFrame, grain: str = "line",
 
     ``rank_by_sales <= k`` is taken first (a per-partition limit); the
     quantity and popularity ranks are ranks over *all* products, computed
-    by ``with_global_rank`` and joined to the survivors.
+    only for the survivors' values (``with_probe_rank``; the full
+    range-sliced rank when ties leave too many survivors).
     """
     # one row per product, written once and read by the three rankings
     perf = materialize(product_performance(fact, dim_products, grain))
     top = top_by(perf, "total_sales", k, out="rank_by_sales")
-    by_qty = with_global_rank(perf.select("product_id", "total_quantity"), "total_quantity",
-                              "rank_by_quantity").select("product_id", "rank_by_quantity")
-    by_pop = with_global_rank(perf.select("product_id", "unique_customers"), "unique_customers",
-                              "rank_by_popularity").select("product_id", "rank_by_popularity")
-    df = top.join(by_qty, "product_id").join(by_pop, "product_id")
+    df = with_probe_rank(top, perf, "total_quantity", "rank_by_quantity")
+    df = with_probe_rank(df, perf, "unique_customers", "rank_by_popularity")
     status = (F.when(F.col("discontinued") == 1, F.lit("Discontinued"))
               .when(F.col("order_count") == 0, F.lit("No Sales"))
               .otherwise(F.lit("Active")))
