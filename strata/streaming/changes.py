@@ -1,13 +1,22 @@
-"""Streaming change application: each micro-batch is merged into a
-versioned state table.
-
-``foreachBatch`` receives (batch DataFrame, batch id).  The new state is
-"latest change per key" over the previous state plus the batch (the same
-aggregate as ``cdc.apply_changes``) and is written to ``<target>/v=<id>``;
-then a small marker file naming that version is written last.  Replaying a
-batch id rewrites the same version from the same inputs, so a retried or
-restarted batch is idempotent; readers only follow the marker, so they never
-see a half-written version.
+"""Streaming change application: each micro-batch is merged into a state
+table partitioned by key-hash bucket.
+
+``foreachBatch`` receives (batch DataFrame, batch id).  For each batch:
+
+1. the buckets its keys fall in are found (``pmod(xxhash64(keys), n)``);
+2. only those bucket folders of the state are read: a semi-join on the
+   partition column, which dynamic partition pruning turns into a folder
+   filter;
+3. the new rows per key are "latest change wins" over old + new (the same
+   aggregate as ``cdc.apply_changes``, combined map-side);
+   ``n_buckets`` should put a few hundred MB of state in each bucket;
+4. the result is checkpointed to the shared folder (the write below
+   replaces folders the plan reads from) and written with dynamic partition
+   overwrite: only the touched bucket folders are replaced.
+
+The cost of a batch grows with the buckets it touches, not with the whole
+state.  Latest-change-wins is idempotent, so a batch replayed after a
+failure (same batch id, same files) produces the same state.
 
 Deletes are kept as tombstones in the state (so a late, older event cannot
 resurrect a deleted key) and filtered out on read.
@@ -15,49 +24,30 @@ resurrect a deleted key) and filtered out on read.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MARKER = "_current.json"
+from strata.session import materialize
 
+BUCKET = "_bucket"
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
+def bucket_of(keys: Sequence[str], n_buckets: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
-def write_marker(spark: SparkSession, target: str, version: str) -> None:
-    fs, _, jvm = _hadoop_fs(spark, target)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{target}/{MARKER}.tmp")
-    final = jvm.org.apache.hadoop.fs.Path(f"{target}/{MARKER}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(json.dumps({"version": version}).encode()))
-    out.close()
-    fs.delete(final, False)
-    fs.rename(tmp, final)
 
-
-def current_version(spark: SparkSession, target: str) -> str | None:
-    fs, _, jvm = _hadoop_fs(spark, target)
-    p = jvm.org.apache.hadoop.fs.Path(f"{target}/{MARKER}")
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
-    text = reader.readLine()
-    reader.close()
-    return json.loads(text)["version"]
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def read_state(spark: SparkSession, target: str, include_tombstones: bool = False):
-    v = current_version(spark, target)
-    if v is None:
+    if not _exists(spark, target):
         return None
-    df = spark.read.parquet(f"{target}/{v}")
+    df = spark.read.parquet(target).drop(BUCKET)
     return df if include_tombstones else df.where(~F.col("_deleted")).drop("_deleted")
 
 
@@ -75,20 +65,31 @@ def merge_latest(state: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     return latest.select(*keys, *[F.col("_w")[c].alias(c) for c in payload])
 
 
+def merge_batch(batch: DataFrame, target: str, keys: Sequence[str], seq: str,
+                tiebreak: str | None = None, delete_when=None, n_buckets: int = 16) -> None:
+    """Merge one batch of changes into the bucketed state at ``target``."""
+    spark = batch.sparkSession
+    keys = list(keys)
+    touched = batch.select(bucket_of(keys, n_buckets).alias(BUCKET)).distinct()
+    state = None
+    if _exists(spark, target):
+        state = (spark.read.parquet(target).join(touched, BUCKET, "left_semi").drop(BUCKET))
+    merged = merge_latest(state, batch, keys, seq, tiebreak, delete_when)
+    # one task (one file) per bucket: the state holds one row per key, so a
+    # bucket is bounded by its share of the keys, never by a hot key's changes
+    merged = materialize(merged.withColumn(BUCKET, bucket_of(keys, n_buckets))
+                         .repartition(BUCKET))
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(target))
+
+
 def apply_stream(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], seq: str,
-                 tiebreak: str | None = None, delete_when=None, available_now: bool = True):
+                 tiebreak: str | None = None, delete_when=None, n_buckets: int = 16,
+                 available_now: bool = True):
     """Start the streaming merge; returns the query."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        version = f"v={batch_id:09d}"
-        prev = current_version(spark, target)
-        if prev == version:  # already committed: replay is a no-op
-            return
-        state = None if prev is None else spark.read.parquet(f"{target}/{prev}")
-        merged = merge_latest(state, batch, keys, seq, tiebreak, delete_when)
-        merged.write.mode("overwrite").parquet(f"{target}/{version}")
-        write_marker(spark, target, version)
+        merge_batch(batch, target, keys, seq, tiebreak, delete_when, n_buckets)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
