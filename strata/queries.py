@@ -284,7 +284,7 @@ from strata.functions import hashing  # noqa: E402
 from strata.operators import cdc  # noqa: E402
 from strata.operators import history  # noqa: E402
 from strata.plans import dims as dimplans  # noqa: E402
-from strata.session import materialize  # noqa: E402
+from strata.session import materialize, scratch_path  # noqa: E402
 
 EVENT_KEYS = ["user_id"]
 DELETE_RULE = "event_type = 'error'"
@@ -315,17 +315,16 @@ def weekly_batches(events):
 
 @register("scd2_apply_batch")
 def q_scd2_apply_batch(spark, base):
-    """History maintained batch by batch (one batch per week of events);
-    each applied state is checkpointed, like a stored table version."""
-    ev = Tables(spark, base).events
-    hist = None
+    """History maintained batch by batch (one batch per week of events) in
+    a stored table partitioned by key bucket; each batch rewrites only the
+    buckets of the keys it touches."""
+    ev = Tables(spark, base).events.select("user_id", "ts", "event_type", "event_id")
+    target = scratch_path(spark, "history-users")
     for lo, hi in weekly_batches(ev):
         batch = ev.where((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi)))
-        hist = (event_history(batch) if hist is None else
-                history.scd2_apply(hist, batch.select("user_id", "ts", "event_type", "event_id"),
-                                   EVENT_KEYS, "ts", ["event_type"], tiebreak="event_id"))
-        hist = materialize(hist)
-    return hist
+        history.apply_to_table(spark, target, batch, EVENT_KEYS, "ts", ["event_type"],
+                               tiebreak="event_id")
+    return spark.read.parquet(target).drop("_bucket")
 
 
 @register("asof_dim_join")

@@ -128,3 +128,37 @@ def test_snapshot_diff_and_upsert_and_soft_delete(spark):
     assert up == [(1, "h1", "keep"), (2, "h2", "keep"), (3, "H3", "update"), (4, "h4", "insert")]
     sd = rows(cdc.soft_delete(old, new, ["k"]))
     assert sd == [(1, "h1", True), (2, "h2", False), (3, "h3", False)]
+
+
+def test_apply_is_idempotent_and_order_free(spark):
+    log = _random_log(spark, 300, seed=21)
+    full = history.scd2_from_log(log, ["id"], "ts", ["name"], tiebreak="eid")
+    late = log.where(F.col("ts") < D(2024, 1, 3))
+    early = log.where(F.col("ts") >= D(2024, 1, 3))
+    h = history.scd2_from_log(early, ["id"], "ts", ["name"], tiebreak="eid")   # later batch first
+    h = history.scd2_apply(h, late, ["id"], "ts", ["name"], tiebreak="eid")   # then the older one
+    h = history.scd2_apply(h, late, ["id"], "ts", ["name"], tiebreak="eid")   # replayed
+    cols = ["id", "name", "_effective_date", "_end_date", "_is_current", "version_sk"]
+    assert rows(h, *cols) == rows(full, *cols)
+
+
+def test_apply_keeps_deletes(spark):
+    a = _log(spark, [("a", D(2024, 1, 1), "x", 1), ("a", D(2024, 1, 2), "DEL", 2)])
+    b = _log(spark, [("a", D(2024, 1, 3), "y", 3)])
+    h = history.scd2_from_log(a, ["id"], "ts", ["name"], tiebreak="eid", delete_when="name = 'DEL'")
+    h = history.scd2_apply(h, b, ["id"], "ts", ["name"], tiebreak="eid", delete_when="name = 'DEL'")
+    assert rows(h, "name", "_effective_date", "_end_date") == [
+        ("x", D(2024, 1, 1), D(2024, 1, 2)), ("y", D(2024, 1, 3), None)]
+
+
+def test_apply_to_bucketed_table(spark):
+    from strata.session import scratch_path
+    log = _random_log(spark, 200, seed=4)
+    full = history.scd2_from_log(log, ["id"], "ts", ["name"], tiebreak="eid")
+    target = scratch_path(spark, "hist")
+    for lo, hi in [(D(2024, 1, 1), D(2024, 1, 3)), (D(2024, 1, 3), D(2024, 1, 6))]:
+        b = log.where((F.col("ts") >= lo) & (F.col("ts") < hi))
+        history.apply_to_table(spark, target, b, ["id"], "ts", ["name"], tiebreak="eid", n_buckets=4)
+    got = spark.read.parquet(target).drop("_bucket")
+    cols = ["id", "name", "_effective_date", "_end_date", "_is_current", "version_sk"]
+    assert rows(got, *cols) == rows(full, *cols)
