@@ -517,3 +517,12 @@ FROM fact_sales""")
 ORACLE["fact_partition_roundtrip"] = with_model("""
 SELECT *, CAST(year(order_date) AS INT) AS order_year, CAST(month(order_date) AS INT) AS order_month
 FROM fact_sales""")
+
+ORACLE["dq_fact_build_checks"] = with_model("\nUNION ALL\n".join(
+    [check_row(f"not_null:{c}", f"count(*) FILTER (WHERE {c} IS NULL)", "count(*)", "fact_sales")
+     for c in ("orderid", "customer_id", "product_id", "order_date")]
+    + [check_row(n, f"count(*) FILTER (WHERE NOT coalesce({p}, FALSE))", "count(*)", "fact_sales")
+       for n, p in (("unit_price_non_negative", "unit_price >= 0"),
+                    ("quantity_non_negative", "order_quantity >= 0"),
+                    ("discount_at_most_one", "discount_rate <= 1.0"))]
+    + [check_row("row_count_positive", "CASE WHEN count(*) > 0 THEN 0 ELSE 1 END", "1", "fact_sales")]))

@@ -173,3 +173,40 @@ def flag_rows(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Every row with ``_dq_failures`` ('' when it passes all row rules)."""
     names = [F.when(~_passes(c), F.lit(c.name)) for c in checks if c.kind == "row"]
     return df.withColumn("_dq_failures", F.concat_ws(",", *names) if names else F.lit(""))
+
+
+def observe(df: DataFrame, checks: Sequence[Check], name: str = "dq"):
+    """Attach row-level checks to ``df`` as observed metrics.
+
+    Returns ``(observed_df, observation)``; the metrics are computed by
+    whatever action runs ``observed_df`` (typically the table write), so the
+    checks cost no extra scan.  Only ``row`` and ``row_count`` checks can be
+    observed; keyed checks need their own shuffle (use ``evaluate``).
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("_total")]
+    for i, c in enumerate(checks):
+        if c.kind == "row":
+            metrics.append(F.count_if(~_passes(c)).alias(f"_f{i}"))
+        elif c.kind != "row_count":
+            raise ValueError(f"check {c.name!r} ({c.kind}) cannot be observed")
+    return df.observe(obs, *metrics), obs
+
+
+def observed_results(obs, checks: Sequence[Check]) -> list[tuple]:
+    """(check, failed, total, passed) rows from a completed observation."""
+    m = obs.get
+    total = int(m["_total"])
+    out = []
+    for i, c in enumerate(checks):
+        if c.kind == "row":
+            failed, n = int(m[f"_f{i}"]), total
+        else:
+            failed, n = (0 if total > 0 else 1), 1
+        out.append((c.name, failed, n, failed == 0))
+    return out
+
+
+RESULT_SCHEMA = "check string, failed bigint, total bigint, passed boolean"

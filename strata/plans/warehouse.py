@@ -18,12 +18,26 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.operators import quality
 from strata.plans import storage
 from strata.plans.layers import Layers
 from strata.session import shared_dir
 
 STORED = ("dim_customers", "dim_products", "dim_employees", "dim_shippers", "dim_dates",
           "fact_sales")
+
+# Row rules observed while a stored table is written (no extra scan); the
+# results land in <root>/<table>/_quality (ignored by readers of the table).
+BUILD_CHECKS = {
+    "fact_sales": lambda: [
+        quality.not_null("orderid"), quality.not_null("customer_id"),
+        quality.not_null("product_id"), quality.not_null("order_date"),
+        quality.rule("unit_price_non_negative", "unit_price >= 0"),
+        quality.rule("quantity_non_negative", "order_quantity >= 0"),
+        quality.rule("discount_at_most_one", "discount_rate <= 1.0"),
+        quality.row_count(),
+    ],
+}
 INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -72,10 +86,17 @@ class Warehouse(Layers):
             return
         tmp = f"{final}.tmp-{uuid.uuid4().hex[:12]}"
         df = self._computed(name)
+        checks = BUILD_CHECKS[name]() if name in BUILD_CHECKS else None
+        if checks:
+            df, obs = quality.observe(df, checks, f"build_{name}_{uuid.uuid4().hex[:6]}")
         if name == "fact_sales":
             storage.write_fact(df, tmp)
         else:
             df.write.mode("overwrite").parquet(tmp)
+        if checks:
+            results = quality.observed_results(obs, checks)
+            (self.spark.createDataFrame(results, quality.RESULT_SCHEMA).coalesce(1)
+             .write.mode("overwrite").parquet(f"{tmp}/_quality"))
         fs, jvm = _fs(self.spark, final)
         dst, src = jvm.org.apache.hadoop.fs.Path(final), jvm.org.apache.hadoop.fs.Path(tmp)
         if fs.exists(dst):
@@ -103,6 +124,14 @@ class Warehouse(Layers):
         # callers filtering on them read only the matching folders
         return self.spark.read.parquet(self.path(name))
 
+    def quality(self, name: str) -> DataFrame:
+        """Check results recorded while ``name`` was written."""
+        self.build(name)
+        path = f"{self.path(name)}/_quality"
+        if not _exists(self.spark, path):  # stored by a build without checks
+            return quality.evaluate(self._stored(name), BUILD_CHECKS[name]())
+        return self.spark.read.parquet(path)
+
     @cached_property
     def dim_customers(self) -> DataFrame:
         return self._stored("dim_customers")

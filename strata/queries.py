@@ -479,3 +479,9 @@ def q_fact_partition_roundtrip(spark, base):
     fact = Warehouse(spark, base).fact_sales.drop(*storage.PARTITION_COLUMNS)
     storage.write_fact(_stable(fact), path, cluster_by=["customer_id", "order_date"])
     return storage.read_fact(spark, path)
+
+
+@register("dq_fact_build_checks")
+def q_dq_fact_build_checks(spark, base):
+    """Rule results observed while the stored fact was written."""
+    return Warehouse(spark, base).quality("fact_sales")

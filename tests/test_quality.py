@@ -56,3 +56,12 @@ def test_quarantine_split(spark):
     assert [r["id"] for r in good.collect()] == [1]
     assert sorted(r["id"] for r in bad.collect()) == [2, 3]
     assert {r["_dq_failures"] for r in bad.collect()} == {"q_non_negative"}
+
+
+def test_observed_checks_match_evaluate(spark):
+    df = spark.createDataFrame([(1, 5.0), (None, -1.0), (3, None)], "id int, price double")
+    checks = [dq.not_null("id"), dq.rule("price_ok", "price >= 0"), dq.row_count()]
+    observed, obs = dq.observe(df, checks)
+    observed.write.format("noop").mode("overwrite").save()
+    got = {c: (f, t, p) for c, f, t, p in dq.observed_results(obs, checks)}
+    assert got == _result(dq.evaluate(df, checks))
