@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata.sources.tables import Tables
 
 # Fixed values of the fixture (shared with the oracle SQL):
-#   * ingestion stamp of every fixture row: 2024-01-01 00:00:00 UTC
+#   * ingestion stamp of every fixture row: 2024-01-01 00:00:00 (no time zone)
 #   * category id per part type: ECONOMY 1, LARGE 2, MEDIUM 3, PROMO 4,
 #     SMALL 5, STANDARD 6
 #   * a product is discontinued when its key is a multiple of 10
@@ -67,7 +67,9 @@ def _category_id(p_type: Column) -> Column:
 
 
 def _stamp(df: DataFrame) -> DataFrame:
-    return df.withColumn("ingestion_timestamp", F.lit(FIXTURE_INGEST_TS).cast("timestamp"))
+    # written as text so the stamp does not depend on any time zone
+    stamp = F.lit(FIXTURE_INGEST_TS.isoformat(sep=" ")).cast("timestamp_ntz")
+    return df.withColumn("ingestion_timestamp", stamp)
 
 
 def _location(t: Tables) -> DataFrame:

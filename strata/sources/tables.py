@@ -27,10 +27,13 @@ SPREAD_MIN_BYTES = 2 << 20
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+    except Exception:  # no JVM access: treat as small
+        return 0
 
 
 def spread_small_scan(df: DataFrame, size_bytes: int) -> DataFrame:
@@ -43,10 +46,14 @@ def spread_small_scan(df: DataFrame, size_bytes: int) -> DataFrame:
     no-op and no shuffle is added; column pruning still reaches the parquet
     reader below the repartition.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if size_bytes >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    if size_bytes < SPREAD_MIN_BYTES:
+        return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. Spark Connect): leave the scan as is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 class Tables:
