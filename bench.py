@@ -6,7 +6,7 @@ Each query is executed in full with the ``noop`` sink (every row is
 computed, nothing is collected to the driver).  ``layers_build`` is the
 time to (re)build the stored dimensions and fact that the marts read.  Every
 query first runs once untimed (code generation, JIT, file listing); the
-reported time is the median of ``BENCH_RUNS`` warm runs (default 1).
+reported time is the median of ``BENCH_RUNS`` warm runs (default 3).
 ``value`` is the sum of the per-query times.
 """
 
@@ -48,7 +48,7 @@ def run(spark, fn, base):
 def main(argv):
     base = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     from pyspark.sql import SparkSession
 
     from strata.queries import QUERIES

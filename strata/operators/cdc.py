@@ -36,14 +36,6 @@ def apply_changes(feed: DataFrame, keys: Sequence[str], seq: str, tiebreak: str
     return state
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys):
-    cond = None
-    for k in keys:
-        e = left[k].eqNullSafe(right[k])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
                   hash_col: str = "_change_hash") -> DataFrame:
     """key + ``change`` in insert / update / delete / unchanged."""

@@ -65,11 +65,6 @@ def top_by(df: DataFrame, value: str, k: int, out: str = "rank", descending: boo
     return df.withColumn(out, F.rank().over(w)).where(F.col(out) <= k)
 
 
-def share_of_total(df: DataFrame, value: str):
-    """The grand total of ``value`` as a scalar subquery column."""
-    return df.agg(F.sum(value)).scalar()
-
-
 MAX_PROBES = 1000
 
 

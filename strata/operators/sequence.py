@@ -14,7 +14,9 @@ task.  These helpers split the ordered data into *range slices* first:
    second, tiny window over slices.
 
 A key's rows occupy a contiguous run of slices, so the previous slice of a
-key in slice order is the one just before it.
+key in slice order is the one just before it.  AQE may merge adjacent range
+partitions up to the advisory partition size; merged slices are still
+contiguous ranges, and their size stays bounded by that advisory size.
 """
 
 from __future__ import annotations

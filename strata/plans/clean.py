@@ -123,7 +123,6 @@ SPECS: dict[str, CleanSpec] = {
 }
 
 INGEST_COL = "ingestion_timestamp"
-BOOKKEEPING = {INGEST_COL, "_loaded_at", "_source", "_processing_timestamp", "_change_hash"}
 
 
 def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = False,

@@ -103,3 +103,25 @@ def test_probe_rank_fallback_counts_rows(spark, monkeypatch):
     df = spark.createDataFrame([(i, v) for i, v in enumerate([5, 5, 3, 3, 3, 1])], "id int, v int")
     got = rows(ranks.with_probe_rank(df, df, "v", "r"), "id", "r")
     assert got == [(0, 1), (1, 1), (2, 3), (3, 3), (4, 3), (5, 6)]
+
+
+def test_ratio_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(-10**6, 10**6)),
+                    min_size=1, max_size=20))
+    def check(pairs):
+        df = spark.createDataFrame(pairs, "n long, d long")
+        got = [r[0] for r in df.select(ratio("n", "d", scale=3, factor=7)).collect()]
+        for (n, d), g in zip(pairs, got):
+            assert g == (None if d == 0 else _half_up_signed(n, d, 3, 7))
+
+    check()
+
+
+def _half_up_signed(n, d, scale, factor):
+    from decimal import ROUND_HALF_UP
+    return (Decimal(n) * factor / Decimal(d)).quantize(Decimal(1).scaleb(-scale),
+                                                       rounding=ROUND_HALF_UP)
