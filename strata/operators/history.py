@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import hashing
 from strata.operators import sequence as seqops
+from strata.session import materialize
 
 DELETED = "__deleted__"
 
@@ -67,6 +68,9 @@ def scd2_from_log(log: DataFrame, keys: Sequence[str], seq: str, tracked: Sequen
     # a leading delete (nothing to close) is not a change either
     changes = changes.where(~(F.col("_is_delete") & prev.isNull())).drop("_prev__change_hash")
 
+    # the change rows feed two consumers (local lead and slice summaries):
+    # write them once; they keep their slices, so no second range sampling
+    changes = materialize(changes)
     with_next = seqops.next_values(changes, keys, [seq], [seq], presliced=True)
     versions = with_next.where(~F.col("_is_delete"))
     end = F.col(f"_next_{seq}")
