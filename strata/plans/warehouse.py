@@ -1,8 +1,9 @@
-"""Stored layers: dimensions and fact written once, read by every mart.
+"""Stored layers: clean tables, dimensions and fact written once.
 
-Layers talk through stored tables: the marts do not recompute cleaning,
-deduplication and the fact join for every report; they read the stored
-fact (partitioned by order year/month) and dimensions.  The store lives in
+Layers talk through stored tables: dimensions and fact are built from the
+stored clean tables, and the marts and quality checks read stored tables
+instead of recomputing cleaning, deduplication and the fact join for every
+report.  The fact is partitioned by order year/month.  The store lives in
 the session's shared checkpoint folder, under a key derived from the input
 tables' location, size and modification time, so a change of the inputs
 builds a fresh store.  A table is written to a temporary folder and renamed
@@ -23,8 +24,12 @@ from strata.plans import storage
 from strata.plans.layers import Layers
 from strata.session import shared_dir
 
-STORED = ("dim_customers", "dim_products", "dim_employees", "dim_shippers", "dim_dates",
-          "fact_sales")
+from strata.sources.feeds import FEEDS  # noqa: E402
+
+CLEAN_STORED = tuple(f"{feed}_clean" for feed in FEEDS)
+MODEL_STORED = ("dim_customers", "dim_products", "dim_employees", "dim_shippers", "dim_dates",
+                "fact_sales")
+STORED = CLEAN_STORED + MODEL_STORED
 
 # Row rules observed while a stored table is written (no extra scan); the
 # results land in <root>/<table>/_quality (ignored by readers of the table).
@@ -78,8 +83,17 @@ class Warehouse(Layers):
         return f"{self.root}/{name}"
 
     def _computed(self, name: str) -> DataFrame:
+        if name in CLEAN_STORED:
+            return Layers.clean(self, name[: -len("_clean")])
         return getattr(Layers, name).func(self)
 
+    def clean(self, feed: str, keep: str = "first") -> DataFrame:
+        """The stored clean table (the default dedupe); other variants are
+        computed from the raw feed."""
+        if keep != "first":
+            return Layers.clean(self, feed, keep)
+        return self._stored(f"{feed}_clean")
+
     def build(self, name: str, force: bool = False) -> None:
         final = self.path(name)
         if not force and _exists(self.spark, f"{final}/_SUCCESS"):
@@ -107,16 +121,18 @@ class Warehouse(Layers):
         fs.rename(src, dst)
 
     def build_all(self, force: bool = False, parallel: bool = True) -> None:
-        """Build every stored table.  The tables are independent, so their
-        jobs are submitted together and share the cluster's task slots."""
-        if not parallel:
-            for name in STORED:
-                self.build(name, force)
-            return
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=len(STORED)) as pool:
-            for f in [pool.submit(self.build, name, force) for name in STORED]:
-                f.result()
+        """Build every stored table: the clean layer, then dimensions and
+        fact from it.  Tables of one layer are independent, so their jobs
+        are submitted together and share the cluster's task slots."""
+        for layer in (CLEAN_STORED, MODEL_STORED):
+            if not parallel:
+                for name in layer:
+                    self.build(name, force)
+                continue
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=len(layer)) as pool:
+                for f in [pool.submit(self.build, name, force) for name in layer]:
+                    f.result()
 
     def _stored(self, name: str) -> DataFrame:
         self.build(name)

@@ -182,7 +182,7 @@ DQ_AS_OF = "2024-01-02 12:00:00"
 
 @register("dq_not_null")
 def q_dq_not_null(spark, base):
-    o = Layers(spark, base).clean("orders")
+    o = Warehouse(spark, base).clean("orders")
     return dq.evaluate(o, [dq.not_null(c) for c in
                            ("orderid", "customerid", "employeeid", "orderdate", "shippeddate")])
 
@@ -206,7 +206,7 @@ BUSINESS_RULES = [
 
 @register("dq_business_rules")
 def q_dq_business_rules(spark, base):
-    od = Layers(spark, base).clean("order_details")
+    od = Warehouse(spark, base).clean("order_details")
     return dq.evaluate(od, [dq.rule(n, p) for n, p in BUSINESS_RULES])
 
 
@@ -228,7 +228,7 @@ def _per_table(frames):
 
 @register("dq_row_count")
 def q_dq_row_count(spark, base):
-    L = Layers(spark, base)
+    L = Warehouse(spark, base)
     return _per_table((f"{t}_clean", dq.evaluate(L.clean(t), [dq.row_count()]))
                       for t in ("categories", "products", "customers", "employees", "orders",
                                 "order_details", "shippers"))
@@ -236,7 +236,7 @@ def q_dq_row_count(spark, base):
 
 @register("dq_duplicate_keys")
 def q_dq_duplicate_keys(spark, base):
-    L = Layers(spark, base)
+    L = Warehouse(spark, base)
     return _per_table([
         ("order_details_raw", dq.evaluate(L.raw("order_details"),
                                           [dq.unique_key(["orderID", "productID"])])),
@@ -271,7 +271,7 @@ QUARANTINE_RULES = [
 
 @register("dq_quarantine")
 def q_dq_quarantine(spark, base):
-    o = Layers(spark, base).clean("orders")
+    o = Warehouse(spark, base).clean("orders")
     flagged = dq.flag_rows(o, [dq.rule(n, p) for n, p in QUARANTINE_RULES])
     return flagged.select("orderid", "_dq_failures",
                           (F.col("_dq_failures") != "").alias("_quarantined"))
@@ -284,7 +284,7 @@ from strata.functions import hashing  # noqa: E402
 from strata.operators import cdc  # noqa: E402
 from strata.operators import history  # noqa: E402
 from strata.plans import dims as dimplans  # noqa: E402
-from strata.session import materialize, scratch_path  # noqa: E402
+from strata.session import scratch_path  # noqa: E402
 
 EVENT_KEYS = ["user_id"]
 DELETE_RULE = "event_type = 'error'"
