@@ -71,3 +71,26 @@ def test_top_products_tie_at_the_cut(spark):
     og = {r["product_id"]: r["product_status"]
           for r in marts.top_products(f, p, "order", k=10).collect()}
     assert og[4] == "No Sales" and og[1] == "Active"
+
+
+def test_calendar_flags_holidays_and_weekends(spark):
+    from strata.plans.dims import dim_dates_calendar
+    orders = spark.createDataFrame([(dt.date(2024, 12, 23),), (dt.date(2024, 12, 27),)], "orderdate date")
+    hol = spark.createDataFrame([(dt.date(2024, 12, 25),)], "holiday_date date")
+    cal = {r["full_date"]: (r["is_holiday"], r["is_weekend"], r["day_of_week"])
+           for r in dim_dates_calendar(orders, hol).collect()}
+    assert len(cal) == 5
+    assert cal[dt.date(2024, 12, 25)][0] == 1 and cal[dt.date(2024, 12, 24)][0] == 0
+    assert cal[dt.date(2024, 12, 23)][2] == 2          # Monday (Sunday = 1)
+
+
+def test_manager_lookup_keeps_the_root(spark):
+    from strata.plans.dims import dim_employees
+    emp = spark.createDataFrame(
+        [(1, "Boss", "CEO", "c", "x", -1, None, "s", None, "h1"),
+         (2, "Ann", "Rep", "c", "x", 1, None, "s", None, "h2")],
+        "employeeid long, employeename string, title string, city string, country string, "
+        "reportsto long, _loaded_at timestamp, _source string, _processing_timestamp timestamp, "
+        "_change_hash string")
+    got = rows(dim_employees(emp), "employee_id", "reports_to_id", "manager_name")
+    assert got == [(1, -1, None), (2, 1, "Boss")]
