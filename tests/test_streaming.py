@@ -63,3 +63,24 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark):
     assert len(changed) == 1                      # only the bucket of key 3 was rewritten
     state = {r["k"]: r["v"] for r in changes.read_state(spark, target).collect()}
     assert len(state) == 40 and state[3] == "b" and state[4] == "a"
+
+
+def test_stream_events_are_logged(spark):
+    import time
+
+    from strata.streaming import progress
+    src, target, ckpt = (scratch_path(spark, n) for n in ("src", "tgt", "ckpt"))
+    _drop(spark, src, [(1, D(2024, 1, 1, 1), "a"), (2, D(2024, 1, 2, 2), "b")])
+    log = progress.attach(spark)
+    try:
+        ingest.run_to_end(ingest.write_incremental(
+            ingest.stamp(ingest.csv_stream(spark, src, SCHEMA)), target, ckpt))
+        for _ in range(50):                      # listener events arrive asynchronously
+            if any(e["event_type"] == "END" for e in log.events()):
+                break
+            time.sleep(0.1)
+        kinds = [e["event_type"] for e in log.events()]
+        assert kinds[0] == "START" and "END" in kinds
+        assert sum(e.get("input_rows") or 0 for e in log.events()) == 2
+    finally:
+        progress.detach(spark, log)
