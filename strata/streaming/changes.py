@@ -77,8 +77,9 @@ def merge_batch(batch: DataFrame, target: str, keys: Sequence[str], seq: str,
     merged = merge_latest(state, batch, keys, seq, tiebreak, delete_when)
     # one task (one file) per bucket: the state holds one row per key, so a
     # bucket is bounded by its share of the keys, never by a hot key's changes
-    merged = materialize(merged.withColumn(BUCKET, bucket_of(keys, n_buckets))
-                         .repartition(BUCKET))
+    merged = merged.withColumn(BUCKET, bucket_of(keys, n_buckets)).repartition(BUCKET)
+    if state is not None:  # the write replaces folders this plan reads
+        merged = materialize(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(BUCKET).parquet(target))
 

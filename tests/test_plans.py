@@ -39,3 +39,23 @@ def test_mart_reads_stored_fact_pruned_and_filtered(spark):
 def test_top_k_uses_a_per_partition_limit(spark):
     df = spark.range(1000).withColumnRenamed("id", "v")
     assert "WindowGroupLimit" in plan(top_by(df, "v", 5))
+
+
+def test_keyed_picks_are_map_side_combined_aggregates(spark):
+    from strata.operators.cdc import apply_changes
+    from strata.operators.dedupe import remove_duplicates
+    ev = spark.read.parquet(f"{SMALL}/events.parquet")
+    for df in (remove_duplicates(ev, ["user_id"], order_by=["-ts"]),
+               apply_changes(ev, ["user_id"], "ts", "event_id")):
+        p = plan(df)
+        assert "partial_" in p and "Window" not in p
+
+
+def test_marts_never_sort_the_fact_in_one_partition(spark):
+    for name in ("gold_sales_by_employee", "gold_top_products", "gold_product_net_revenue"):
+        p = plan(QUERIES[name](spark, SMALL))
+        # the only single-partition exchanges feed per-partition top-k results,
+        # slice totals or one-row aggregates, never a full-table sort
+        for seg in p.split("Exchange SinglePartition")[1:]:
+            head = seg.split("\n")[1] if "\n" in seg else seg
+            assert "Scan parquet" not in head
