@@ -49,6 +49,13 @@ def _per_order(df: DataFrame, keys) -> DataFrame:
     )
 
 
+def _join_groups(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Join two per-group aggregates on their group key, NULL group included
+    (``GROUP BY`` keeps a NULL group; a plain equi-join would drop it)."""
+    b2 = b.withColumnRenamed(key, "_gk")
+    return a.join(b2, a[key].eqNullSafe(b2["_gk"])).drop("_gk")
+
+
 def _stamp(df: DataFrame, name: str, as_of=None) -> DataFrame:
     return ops.add_audit_columns(df, source=name, as_of=as_of)
 
@@ -120,7 +127,7 @@ def sales_by_category(fact: DataFrame, dim_products: DataFrame, grain: str = "li
             F.max("discontinued").alias("_d")).groupBy("category_name").agg(
             F.count_if(F.col("_d") == 0).alias("active_products"),
             F.count_if(F.col("_d") == 1).alias("discontinued_products"))
-        df = lines.join(orders, "category_name").join(prods, "category_name")
+        df = _join_groups(_join_groups(lines, orders, "category_name"), prods, "category_name")
     grand = df.agg(F.sum("total_sales")).scalar()
     df = df.select(
         "category_name", "total_sales", "total_quantity", "total_orders",
@@ -341,12 +348,12 @@ def monthly_base(fact: DataFrame, grain: str = "line") -> DataFrame:
     else:
         orders = f.groupBy("year_month", "orderid", "customer_id").agg(
             F.sum("line_total").alias("_ot"))
-        m = f.groupBy("year_month").agg(*common).join(
-            orders.groupBy("year_month").agg(
-                F.count(F.lit(1)).alias("monthly_orders"),
-                F.count_distinct("customer_id").alias("monthly_customers"),
-                F.sum("_ot").alias("_v_sum"), F.count("_ot").alias("_v_n")),
-            "year_month")
+        m = _join_groups(f.groupBy("year_month").agg(*common),
+                         orders.groupBy("year_month").agg(
+                             F.count(F.lit(1)).alias("monthly_orders"),
+                             F.count_distinct("customer_id").alias("monthly_customers"),
+                             F.sum("_ot").alias("_v_sum"), F.count("_ot").alias("_v_n")),
+                         "year_month")
     return m.withColumns({"year": F.year("year_month"), "month": F.month("year_month")})
 
 
