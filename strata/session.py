@@ -9,23 +9,33 @@ executor sees the same storage.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+class NoSharedFolder(RuntimeError):
+    """The session names no folder that all executors share."""
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared scratch space (the session's checkpoint folder).
 
-    Reads ``spark.checkpoint.dir``; only when it is unset (unit tests on a
-    laptop) a private temporary folder is created and registered.
+    Reads ``spark.checkpoint.dir``.  Where it is unset, a session that runs in
+    one process (master ``local[...]``, as in tests) gets a temporary folder of
+    its own; any other session raises `NoSharedFolder`, because executors on
+    other machines would not see each other's files.
     """
     sc = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise NoSharedFolder(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if sc.getCheckpointDir() is None:
@@ -34,8 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared scratch space."""
-    return f"{shared_dir(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared scratch space.
+
+    It is marked for deletion when the session's process ends.
+    """
+    path = f"{shared_dir(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def materialize(df, spark: SparkSession | None = None):
@@ -49,6 +66,30 @@ def materialize(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Functions that run in tasks are found by their module's name, so the
+    workers must be able to import the package wherever they run.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="strata-py-"), "strata.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.relpath(file, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and local benchmarks (UI off, UTC, AQE on)."""
     spark = (
