@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from oracle.queries import ORACLE as BASE_ORACLE
+from strata.queries import QUERIES as BASE_QUERIES
 from tools.compare import TABLES, canon
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = BASE_QUERIES
+ORACLE = BASE_ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
