@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, langid, mixing, simhash, suffix_dedup
+from strata.llm import chat, decontam, langid, licenses, lm, mixing, quality, simhash, sql, suffix_dedup, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,12 +63,61 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0)
+    model = toxicity.learn(docs, labels)
+    return toxicity.score(docs.withColumn("held_out", remainder("doc_id", 5) == 0), model)
+
+
+#: Both turns of the conversation that op7 adds.
+EXTRA_TURN = "\\### Assistant: </turn> ok"
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(EXTRA_TURN).alias("text"))
+    return chat.digest(chat.format_chats(turns.unionByName(extra)))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality.judge(docs, host_col="source", min_words=20, host_limit=HOST_LIMIT).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+HOST_LIMIT = 0.5
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", remainder("doc_id", 7) == 2)
+    return lm.score(docs, F.col("held_out"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_licenses": op2_licenses,
+    "op3_toxicity": op3_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
+    "op7_chat": op7_chat,
     "op8_language": op8_language,
+    "op9_quality": op9_quality,
+    "op10_lm_score": op10_lm_score,
 }
 
-ORACLE: dict[str, str] = {}
+#: The models and hashes of the others have no SQL form.
+ORACLE: dict[str, str] = {
+    "op1_suffix_dedup": sql.suffix_dedup(100),
+    "op4_mix_sources": sql.mix(MIX_WEIGHTS, 0.6, 4, 42),
+    "op5_decontaminate": sql.decontaminate(10),
+    "op7_chat": sql.chat(EXTRA_TURN),
+    "op9_quality": sql.quality(20, HOST_LIMIT, quality.MAX_SYMBOLS_PER_WORD, quality.MAX_DUP_LINES, quality.WORD_CHARS),
+}
