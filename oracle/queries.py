@@ -347,6 +347,7 @@ def _with_hist(sql: str, **extra: str) -> str:
 
 ORACLE["scd2_history_events"] = _with_hist("SELECT * FROM ev_history")
 ORACLE["scd2_apply_batch"] = ORACLE["scd2_history_events"]
+ORACLE["scd2_apply_out_of_order"] = ORACLE["scd2_history_events"]
 ORACLE["asof_dim_join"] = _with_hist("""
 SELECT e.event_id, e.user_id, e.ts, e.value, h.version_sk AS v_version_sk,
        h.event_type AS v_event_type, h._effective_date AS v__effective_date,

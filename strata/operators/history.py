@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import hashing
 from strata.operators import sequence as seqops
+from strata.plans.versioned import BucketStore
 from strata.session import materialize
 
 DELETED = "__deleted__"
@@ -51,13 +52,7 @@ def scd2_from_log(log: DataFrame, keys: Sequence[str], seq: str, tracked: Sequen
     (inclusive-day convention) instead of the half-open end.
     """
     keys, tracked = list(keys), list(tracked)
-    df = log
-    marked = (F.coalesce(F.col("_is_delete"), F.lit(False)) if "_is_delete" in log.columns
-              else F.lit(False))
-    if delete_when is not None:
-        cond = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
-        marked = marked | F.coalesce(cond, F.lit(False))
-    df = df.withColumn("_is_delete", marked)
+    df = event_log(log, keys, seq, tracked, tiebreak, delete_when)
     df = _latest_per_instant(df, keys, seq, tracked, tiebreak, extra=["_is_delete"])
     df = df.withColumn("_change_hash", F.when(F.col("_is_delete"), F.lit(DELETED))
                        .otherwise(hashing.change_hash(tracked)))
@@ -86,77 +81,66 @@ def scd2_from_log(log: DataFrame, keys: Sequence[str], seq: str, tracked: Sequen
     )
 
 
-def history_as_log(history: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence[str],
-                   tiebreak: str | None = None, with_deletes: bool = True) -> DataFrame:
-    """The change events a stored history stands for: one event per version
-    start, plus a delete event where a version closed without a successor
-    (a delete).  ``scd2_from_log`` over these events gives the history back."""
-    keys, tracked = list(keys), list(tracked)
-    carried = [*tracked] + ([tiebreak] if tiebreak else [])
-    starts = history.select(*keys, F.col("_effective_date").alias(seq), *carried,
-                            F.lit(False).alias("_is_delete"))
-    if not with_deletes:
-        return starts
-    successors = history.select(*keys, F.col("_effective_date").alias("_end_date"))
-    closed = history.where(F.col("_end_date").isNotNull()).select(*keys, "_end_date")
-    gaps = closed.join(successors, [*keys, "_end_date"], "left_anti")
-    deletes = gaps.select(*keys, F.col("_end_date").alias(seq),
-                          *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in carried],
-                          F.lit(True).alias("_is_delete"))
-    return starts.unionByName(deletes)
-
-
-def scd2_apply(history: DataFrame, batch: DataFrame, keys: Sequence[str], seq: str,
+def event_log(batch: DataFrame, keys: Sequence[str], seq: str, tracked: Sequence[str],
+              tiebreak: str | None = None, delete_when: Column | str | None = None) -> DataFrame:
+    """A batch as change events: keys, seq, tracked, tiebreak, ``_is_delete``."""
+    marked = (F.coalesce(F.col("_is_delete"), F.lit(False)) if "_is_delete" in batch.columns
+              else F.lit(False))
+    if delete_when is not None:
+        cond = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
+        marked = marked | F.coalesce(cond, F.lit(False))
+    carried = [*keys, seq, *tracked] + ([tiebreak] if tiebreak else [])
+    return batch.withColumn("_is_delete", marked).select(*dict.fromkeys(carried), "_is_delete")
+
+
+def scd2_apply(log: DataFrame | None, batch: DataFrame, keys: Sequence[str], seq: str,
                tracked: Sequence[str], tiebreak: str | None = None,
-               delete_when: Column | str | None = None) -> DataFrame:
-    """Apply a batch of changes to a stored history (a merge, by rewrite).
-
-    Keys absent from the batch pass through untouched.  For touched keys the
-    history is rebuilt from its own versions (``history_as_log``) plus the
-    batch: same value -> no new version, different -> closed + new version,
-    new key -> opened, events older than the open version are slotted in
-    where they belong.  Applying a batch twice gives the same result, and
-    applying batches in any order equals ``scd2_from_log`` over the
-    concatenated log.  (Histories built with ``end_inclusive="day"`` are a
-    report format and cannot be applied to.)
+               delete_when: Column | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(log, history) of the batch's keys after a batch of changes.
+
+    A stored history alone cannot take late events: it has forgotten the
+    events that changed nothing, and a late event may turn one of them into a
+    change (A@1, A@3, then B@2 makes A@3 a version).  So the store keeps the
+    applied events too, one per (key, seq), and the touched keys' history is
+    rebuilt from them.  Which event stays at one (key, seq) does not depend
+    on the order of arrival, so batches may come in any order and more than
+    once: the history equals ``scd2_from_log`` over all events.
+
+    ``log`` are the stored events of the batch's keys (rows of other keys are
+    passed through and rebuilt as well).
     """
     keys, tracked = list(keys), list(tracked)
-    touched = batch.select(*keys).distinct()
-    untouched = history.join(touched, keys, "left_anti")
-    mine = history.join(touched, keys, "left_semi")
-    carried = [*keys, *tracked] + ([tiebreak] if tiebreak else [])
-    events = batch.select(*carried, seq)
-    if "_is_delete" in batch.columns:
-        events = events.withColumn("_is_delete", batch["_is_delete"])
-    else:
-        events = events.withColumn("_is_delete", F.lit(False))
-    # without a delete rule no version can end without a successor
-    can_delete = delete_when is not None or "_is_delete" in batch.columns
-    log = history_as_log(mine, keys, seq, tracked, tiebreak, can_delete).unionByName(events)
-    fresh = scd2_from_log(log, keys, seq, tracked, tiebreak, delete_when)
-    return untouched.unionByName(fresh)
+    events = event_log(batch, keys, seq, tracked, tiebreak, delete_when)
+    merged = events if log is None else log.unionByName(events)
+    merged = _latest_per_instant(merged, keys, seq, tracked, tiebreak, extra=["_is_delete"])
+    return merged, scd2_from_log(merged, keys, seq, tracked, tiebreak)
+
+
+LOG, HISTORY = "log", "history"
 
 
 def apply_to_table(spark, target: str, batch: DataFrame, keys: Sequence[str], seq: str,
                    tracked: Sequence[str], tiebreak: str | None = None,
-                   delete_when: Column | str | None = None, n_buckets: int = 16) -> None:
-    """``scd2_apply`` against a stored history partitioned by key-hash
-    bucket: only the buckets the batch touches are read (semi-join on the
-    partition column, pruned at runtime) and replaced (dynamic partition
-    overwrite).  Idempotent, so a retried batch is harmless."""
-    from strata.session import materialize
-    from strata.streaming.changes import BUCKET, _exists, bucket_of
+                   delete_when: Column | str | None = None, n_buckets: int = 16,
+                   batch_id: int | None = None) -> None:
+    """``scd2_apply`` against a stored log and history.
 
-    keys = list(keys)
-    touched = batch.select(bucket_of(keys, n_buckets).alias(BUCKET)).distinct()
-    if _exists(spark, target):
-        hist = spark.read.parquet(target).join(touched, BUCKET, "left_semi").drop(BUCKET)
-        new = scd2_apply(hist, batch, keys, seq, tracked, tiebreak, delete_when)
-    else:
-        new = scd2_from_log(batch, keys, seq, tracked, tiebreak, delete_when)
-    new = materialize(new.withColumn(BUCKET, bucket_of(keys, n_buckets)).repartition(BUCKET))
-    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(target))
+    Only the buckets of the batch's keys are read and written; both tables
+    change in one commit (``plans.versioned``).  Applying a batch again is
+    harmless.
+    """
+    store = BucketStore(spark, target, keys, n_buckets)
+    batch = materialize(batch, spark)
+    touched = store.touched(batch)
+    if not touched:
+        return
+    log, history = scd2_apply(store.read(LOG, touched), batch, keys, seq, tracked, tiebreak, delete_when)
+    store.commit({LOG: log, HISTORY: history}, touched, batch_id)
+
+
+def read_history(spark, target: str, keys: Sequence[str]) -> DataFrame | None:
+    """The stored history, or None before the first batch."""
+    return BucketStore(spark, target, keys).read(HISTORY)
 
 
 def asof_join(facts: DataFrame, history: DataFrame, keys: Sequence[str], at: str,

@@ -300,31 +300,45 @@ def q_scd2_history_events(spark, base):
     return event_history(Tables(spark, base).events)
 
 
-def weekly_batches(events):
-    """[lo, hi) week bounds covering every event (from a one-row aggregate)."""
-    span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    if span["lo"] is None:
-        return []
-    start = _dt.datetime.combine(span["lo"].date(), _dt.time())
-    bounds = []
-    while start <= span["hi"]:
-        bounds.append((start, start + _dt.timedelta(days=7)))
-        start += _dt.timedelta(days=7)
-    return bounds
+EVENT_BATCH_WEEKS, EVENT_BATCHES = 7, 4
 
 
-@register("scd2_apply_batch")
-def q_scd2_apply_batch(spark, base):
-    """History maintained batch by batch (one batch per week of events) in
-    a stored table partitioned by key bucket; each batch rewrites only the
-    buckets of the keys it touches."""
+def _staged_batches(events, name, number):
+    """Events written once, one folder for each batch ``number``; yields the
+    batches in the order of their numbers (NULL numbers first)."""
+    spark = events.sparkSession
+    path = scratch_path(spark, name)
+    events.withColumn("_batch", number).write.partitionBy("_batch").parquet(path)
+    staged = spark.read.parquet(path)
+    for n in sorted((r[0] for r in staged.select("_batch").distinct().collect()),
+                    key=lambda x: (x is not None, x)):
+        yield staged.where(F.col("_batch").eqNullSafe(F.lit(n))).drop("_batch")
+
+
+def _history_by_batches(spark, base, name, number):
     ev = Tables(spark, base).events.select("user_id", "ts", "event_type", "event_id")
-    target = scratch_path(spark, "history-users")
-    for lo, hi in weekly_batches(ev):
-        batch = ev.where((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi)))
+    target = scratch_path(spark, name)
+    for batch in _staged_batches(ev, f"{name}-batches", number):
         history.apply_to_table(spark, target, batch, EVENT_KEYS, "ts", ["event_type"],
                                tiebreak="event_id")
-    return spark.read.parquet(target).drop("_bucket")
+    found = history.read_history(spark, target, EVENT_KEYS)
+    return event_history(ev.limit(0)) if found is None else found
+
+
+@register("scd2_apply_batch")
+def q_scd2_apply_batch(spark, base):
+    """History maintained batch by batch (one batch per week of events;
+    events without a time are a batch of their own) in a stored table of key
+    buckets; each batch rewrites only the buckets of the keys it touches."""
+    week = F.floor(F.unix_date(F.to_date("ts")) / EVENT_BATCH_WEEKS).cast("int")
+    return _history_by_batches(spark, base, "history-users", week)
+
+
+@register("scd2_apply_out_of_order")
+def q_scd2_apply_out_of_order(spark, base):
+    """The same with batches that all span the whole time, so most events of
+    every batch after the first are late."""
+    return _history_by_batches(spark, base, "history-late", F.pmod("event_id", F.lit(EVENT_BATCHES)).cast("int"))
 
 
 @register("asof_dim_join")
@@ -423,8 +437,8 @@ def q_ingest_stream_incremental(spark, base):
     files; the table ends with every event exactly once."""
     src = scratch_path(spark, "events-csv")
     target, ckpt = scratch_path(spark, "bronze-events"), scratch_path(spark, "ckpt-events")
-    cut = F.col("ts") < F.lit(SNAPSHOT_CUT)
-    for part in (cut, ~cut):
+    early = F.coalesce(F.col("ts") < F.lit(SNAPSHOT_CUT), F.lit(True))
+    for part in (early, ~early):
         _stage_events(spark, base, where=part, path=src)
         stream = ingest.stamp(ingest.csv_stream(spark, src, EVENT_SCHEMA))
         ingest.run_to_end(ingest.write_incremental(stream, target, ckpt))

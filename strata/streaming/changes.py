@@ -1,22 +1,19 @@
 """Streaming change application: each micro-batch is merged into a state
-table partitioned by key-hash bucket.
+table of key-hash buckets (``plans.versioned``).
 
 ``foreachBatch`` receives (batch DataFrame, batch id).  For each batch:
 
-1. the buckets its keys fall in are found (``pmod(xxhash64(keys), n)``);
-2. only those bucket folders of the state are read: a semi-join on the
-   partition column, which dynamic partition pruning turns into a folder
-   filter;
+1. the batch is kept for the two passes over it;
+2. the buckets its keys fall in are read off it: at most ``n_buckets`` small
+   numbers, and only those buckets' folders of the state are scanned;
 3. the new rows per key are "latest change wins" over old + new (the same
    aggregate as ``cdc.apply_changes``, combined map-side);
-   ``n_buckets`` should put a few hundred MB of state in each bucket;
-4. the result is checkpointed to the shared folder (the write below
-   replaces folders the plan reads from) and written with dynamic partition
-   overwrite: only the touched bucket folders are replaced.
+4. the touched buckets are written as new files, and a manifest with the
+   batch id last.
 
 The cost of a batch grows with the buckets it touches, not with the whole
-state.  Latest-change-wins is idempotent, so a batch replayed after a
-failure (same batch id, same files) produces the same state.
+state.  A batch that failed before its manifest left nothing a reader sees,
+and is applied again; one that failed after it is skipped by its id.
 
 Deletes are kept as tombstones in the state (so a late, older event cannot
 resurrect a deleted key) and filtered out on read.
@@ -29,26 +26,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import materialize
+from strata.plans.versioned import BucketStore
 
-BUCKET = "_bucket"
-
-
-def bucket_of(keys: Sequence[str], n_buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+STATE = "state"
 
 
 def read_state(spark: SparkSession, target: str, include_tombstones: bool = False):
-    if not _exists(spark, target):
-        return None
-    df = spark.read.parquet(target).drop(BUCKET)
-    return df if include_tombstones else df.where(~F.col("_deleted")).drop("_deleted")
+    df = BucketStore(spark, target, []).read(STATE)
+    if df is None or include_tombstones:
+        return df
+    return df.where(~F.col("_deleted")).drop("_deleted")
 
 
 def merge_latest(state: DataFrame | None, batch: DataFrame, keys: Sequence[str], seq: str,
@@ -66,22 +53,20 @@ def merge_latest(state: DataFrame | None, batch: DataFrame, keys: Sequence[str],
 
 
 def merge_batch(batch: DataFrame, target: str, keys: Sequence[str], seq: str,
-                tiebreak: str | None = None, delete_when=None, n_buckets: int = 16) -> None:
+                tiebreak: str | None = None, delete_when=None, n_buckets: int = 16,
+                batch_id: int | None = None) -> None:
     """Merge one batch of changes into the bucketed state at ``target``."""
-    spark = batch.sparkSession
-    keys = list(keys)
-    touched = batch.select(bucket_of(keys, n_buckets).alias(BUCKET)).distinct()
-    state = None
-    if _exists(spark, target):
-        state = (spark.read.parquet(target).join(touched, BUCKET, "left_semi").drop(BUCKET))
-    merged = merge_latest(state, batch, keys, seq, tiebreak, delete_when)
-    # one task (one file) per bucket: the state holds one row per key, so a
-    # bucket is bounded by its share of the keys, never by a hot key's changes
-    merged = merged.withColumn(BUCKET, bucket_of(keys, n_buckets)).repartition(BUCKET)
-    if state is not None:  # the write replaces folders this plan reads
-        merged = materialize(merged)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(target))
+    store = BucketStore(batch.sparkSession, target, keys, n_buckets)
+    if batch_id is not None and store.has_applied(batch_id):
+        return
+    batch = batch.persist()
+    try:
+        touched = store.touched(batch)
+        if touched:
+            state = store.read(STATE, touched)
+            store.commit({STATE: merge_latest(state, batch, keys, seq, tiebreak, delete_when)}, touched, batch_id)
+    finally:
+        batch.unpersist()
 
 
 def apply_stream(stream: DataFrame, target: str, checkpoint: str, keys: Sequence[str], seq: str,
@@ -90,7 +75,7 @@ def apply_stream(stream: DataFrame, target: str, checkpoint: str, keys: Sequence
     """Start the streaming merge; returns the query."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch, target, keys, seq, tiebreak, delete_when, n_buckets)
+        merge_batch(batch, target, keys, seq, tiebreak, delete_when, n_buckets, batch_id)
 
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import cdc, history
 from strata.operators import sequence as seqops
+from strata.session import scratch_path
 from tests.conftest import rows
 
 D = dt.datetime
@@ -65,11 +66,10 @@ def test_batches_equal_one_shot_history(spark):
     log = _random_log(spark)
     full = history.scd2_from_log(log, ["id"], "ts", ["name"], tiebreak="eid")
     cuts = [D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 3), D(2024, 1, 5)]
-    hist = None
+    stored = None
     for lo, hi in zip(cuts, cuts[1:]):
         b = log.where((F.col("ts") >= lo) & (F.col("ts") < hi))
-        hist = (history.scd2_from_log(b, ["id"], "ts", ["name"], tiebreak="eid") if hist is None
-                else history.scd2_apply(hist, b, ["id"], "ts", ["name"], tiebreak="eid"))
+        stored, hist = history.scd2_apply(stored, b, ["id"], "ts", ["name"], tiebreak="eid")
     cols = ["id", "name", "_effective_date", "_end_date", "_is_current", "version_sk"]
     assert rows(hist, *cols) == rows(full, *cols)
     # intervals of a key are disjoint and exactly one is open
@@ -135,33 +135,60 @@ def test_apply_is_idempotent_and_order_free(spark):
     full = history.scd2_from_log(log, ["id"], "ts", ["name"], tiebreak="eid")
     late = log.where(F.col("ts") < D(2024, 1, 3))
     early = log.where(F.col("ts") >= D(2024, 1, 3))
-    h = history.scd2_from_log(early, ["id"], "ts", ["name"], tiebreak="eid")   # later batch first
-    h = history.scd2_apply(h, late, ["id"], "ts", ["name"], tiebreak="eid")   # then the older one
-    h = history.scd2_apply(h, late, ["id"], "ts", ["name"], tiebreak="eid")   # replayed
+    stored, h = None, None
+    for batch in (early, late, late):   # the later events first, and the older ones twice
+        stored, h = history.scd2_apply(stored, batch, ["id"], "ts", ["name"], tiebreak="eid")
     cols = ["id", "name", "_effective_date", "_end_date", "_is_current", "version_sk"]
     assert rows(h, *cols) == rows(full, *cols)
 
 
-def test_apply_keeps_deletes(spark):
-    a = _log(spark, [("a", D(2024, 1, 1), "x", 1), ("a", D(2024, 1, 2), "DEL", 2)])
-    b = _log(spark, [("a", D(2024, 1, 3), "y", 3)])
-    h = history.scd2_from_log(a, ["id"], "ts", ["name"], tiebreak="eid", delete_when="name = 'DEL'")
-    h = history.scd2_apply(h, b, ["id"], "ts", ["name"], tiebreak="eid", delete_when="name = 'DEL'")
+HISTORY_COLUMNS = ["id", "name", "_effective_date", "_end_date", "_is_current", "version_sk"]
+
+
+def _store_batches(spark, batches, n_buckets=4):
+    target = scratch_path(spark, "hist")
+    for i, b in enumerate(batches):
+        history.apply_to_table(spark, target, b, ["id"], "ts", ["name"], tiebreak="eid",
+                               delete_when="name = 'DEL'", n_buckets=n_buckets, batch_id=i)
+    return history.read_history(spark, target, ["id"])
+
+
+def test_late_event_between_equal_values(spark):
+    a = _log(spark, [("x", D(2024, 1, 1), "A", 1), ("x", D(2024, 1, 3), "A", 2)])
+    late = _log(spark, [("x", D(2024, 1, 2), "B", 3)])
+    h = _store_batches(spark, [a, late])
     assert rows(h, "name", "_effective_date", "_end_date") == [
-        ("x", D(2024, 1, 1), D(2024, 1, 2)), ("y", D(2024, 1, 3), None)]
+        ("A", D(2024, 1, 1), D(2024, 1, 2)), ("A", D(2024, 1, 3), None), ("B", D(2024, 1, 2), D(2024, 1, 3))]
+
+
+def test_delete_stored_before_its_insert(spark):
+    h = _store_batches(spark, [_log(spark, [("x", D(2024, 1, 2), "DEL", 2)]),
+                               _log(spark, [("x", D(2024, 1, 1), "A", 1)])])
+    assert rows(h, "name", "_effective_date", "_end_date", "_is_current") == [
+        ("A", D(2024, 1, 1), D(2024, 1, 2), False)]
+
+
+def test_random_batches_in_any_order_equal_the_whole_log(spark):
+    for seed in (1, 2, 3):
+        r = random.Random(seed)
+        data = [(r.choice(["hot", "hot", "a", "b", None]), D(2024, 1, 1) + dt.timedelta(hours=r.randint(0, 12)),
+                 r.choice(["p", "q", "DEL"]), i) for i in range(60)]
+        full = history.scd2_from_log(_log(spark, data), ["id"], "ts", ["name"], tiebreak="eid",
+                                     delete_when="name = 'DEL'")
+        want = rows(full, *HISTORY_COLUMNS)
+        r.shuffle(data)
+        cuts = sorted(r.sample(range(1, 60), 3))
+        parts = [data[i:j] for i, j in zip([0, *cuts], [*cuts, 60])]
+        parts.append(r.choice(parts))  # one batch comes again
+        h = _store_batches(spark, [_log(spark, p) for p in parts], n_buckets=3)
+        assert rows(h, *HISTORY_COLUMNS) == want
 
 
 def test_apply_to_bucketed_table(spark):
-    from strata.session import scratch_path
     log = _random_log(spark, 200, seed=4)
     full = history.scd2_from_log(log, ["id"], "ts", ["name"], tiebreak="eid")
-    target = scratch_path(spark, "hist")
-    for lo, hi in [(D(2024, 1, 1), D(2024, 1, 3)), (D(2024, 1, 3), D(2024, 1, 6))]:
-        b = log.where((F.col("ts") >= lo) & (F.col("ts") < hi))
-        history.apply_to_table(spark, target, b, ["id"], "ts", ["name"], tiebreak="eid", n_buckets=4)
-    got = spark.read.parquet(target).drop("_bucket")
-    cols = ["id", "name", "_effective_date", "_end_date", "_is_current", "version_sk"]
-    assert rows(got, *cols) == rows(full, *cols)
+    h = _store_batches(spark, [log.where(F.col("ts") < D(2024, 1, 3)), log.where(F.col("ts") >= D(2024, 1, 3))])
+    assert rows(h, *HISTORY_COLUMNS) == rows(full, *HISTORY_COLUMNS)
 
 
 def test_range_slices_split_a_hot_key(spark):

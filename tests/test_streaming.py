@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from strata.plans.versioned import BucketStore
 from strata.session import scratch_path
 from strata.streaming import changes, ingest
 
@@ -46,25 +48,49 @@ def test_stream_apply_is_idempotent_and_keeps_tombstones(spark):
     assert sorted(r["k"] for r in changes.read_state(spark, target).collect()) == [2]
 
 
-def test_bucketed_merge_rewrites_only_touched_buckets(spark):
-    import os
+def test_merge_rewrites_and_reads_only_touched_buckets(spark):
     target = scratch_path(spark, "state")
     first = spark.createDataFrame([(k, D(2024, 1, 1), "a") for k in range(40)], SCHEMA)
     changes.merge_batch(first, target, ["k"], "ts", n_buckets=8)
-    local = target.replace("file:", "")
-    before = {d: sorted(os.listdir(os.path.join(local, d)))
-              for d in os.listdir(local) if d.startswith("_bucket=")}
+    store = lambda: BucketStore(spark, target, ["k"])
+    before = store().manifest()["tables"]["state"]
     one = spark.createDataFrame([(3, D(2024, 1, 2), "b")], SCHEMA)
-    changes.merge_batch(one, target, ["k"], "ts", n_buckets=8)
-    changes.merge_batch(one, target, ["k"], "ts", n_buckets=8)    # replay: same state
-    after = {d: sorted(os.listdir(os.path.join(local, d)))
-             for d in os.listdir(local) if d.startswith("_bucket=")}
-    changed = [d for d in before if before[d] != after[d]]
-    assert len(changed) == 1                      # only the bucket of key 3 was rewritten
+    touched = store().touched(one)
+    files = store().read("state", touched).inputFiles()
+    assert len(touched) == 1 and all(f"_bucket={touched[0]}/" in f for f in files)
+    changes.merge_batch(one, target, ["k"], "ts", n_buckets=5)    # the stored number of buckets counts
+    changes.merge_batch(one, target, ["k"], "ts")                 # replay: same state
+    assert store().n_buckets == 8
+    after = store().manifest()["tables"]["state"]
+    assert [b for b in before if before[b] != after[b]] == [str(touched[0])]
     state = {r["k"]: r["v"] for r in changes.read_state(spark, target).collect()}
     assert len(state) == 40 and state[3] == "b" and state[4] == "a"
 
 
+def test_failure_before_the_manifest_leaves_the_old_state(spark, monkeypatch):
+    target = scratch_path(spark, "state")
+    changes.merge_batch(spark.createDataFrame([(k, D(2024, 1, 1), "a") for k in range(9)], SCHEMA),
+                        target, ["k"], "ts", n_buckets=2, batch_id=0)
+    new = spark.createDataFrame([(k, D(2024, 1, 2), "b") for k in range(4)], SCHEMA)
+    state = lambda: sorted((r["k"], r["v"]) for r in changes.read_state(spark, target).collect())
+    old = state()
+
+    def stop(self, manifest, done):
+        raise OSError("stopped before the manifest")
+
+    with monkeypatch.context() as m:
+        m.setattr(BucketStore, "_mark", stop)
+        with pytest.raises(OSError):
+            changes.merge_batch(new, target, ["k"], "ts", batch_id=1)
+    assert state() == old
+    for _ in range(2):                                            # applied, then skipped by its id
+        changes.merge_batch(new, target, ["k"], "ts", batch_id=1)
+    assert state() == [(k, "b" if k < 4 else "a") for k in range(9)]
+    store = BucketStore(spark, target, ["k"])
+    assert len(store.vacuum(keep=1)) >= 1
+    assert state() == [(k, "b" if k < 4 else "a") for k in range(9)]
+
+
 def test_stream_events_are_logged(spark):
     import time
 
