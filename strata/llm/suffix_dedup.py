@@ -5,30 +5,32 @@ in a document with a smaller id, or earlier in the same document.
 
 Bucket identifiers.  Every position starts in the bucket of its byte; a bucket
 is refined by the identifier found at a later offset: id(2k)[p] is made of
-id(k)[p] and id(k)[p+k], so five rounds, each reusing the last, give the
-buckets of 32-byte grams and three more those of whole strings.  Identifiers
-are 64-bit mixes instead of ranks, because equality is all that is asked, and
-so every task refines its own documents without a word to the others.
+id(k)[p] and id(k)[p+k], and so on, each round reusing the last, up to whole
+strings.  Identifiers are 64-bit mixes instead of ranks, because equality is
+all that is asked, and so every task refines its own documents without a word
+to the others.
 
 Sparse suffixes.  Only some positions are shuffled: every string of `length`
-bytes is represented by its least 32-byte gram (by identifier, leftmost of
-equals).  Equal strings have the same least gram at the same place, so they
-meet in that gram's bucket.  Neighbouring strings mostly share their least
-gram; such a run of strings is one *segment*, and its identifier is refined
-from the string identifiers at its two ends, which overlap.
-
-1. Initial buckets: one row per segment, keyed by its gram.  Equal segments in
-   one bucket: all but the first are repeats as a whole.
-2. Buckets that still hold different segments are refined once more, on the
-   identifiers of all strings inside them: all but the first are repeats.
+bytes is represented by its least gram (by identifier, leftmost of equals).
+Equal strings have the same least gram at the same place, so they meet in that
+gram's bucket.  Neighbouring strings mostly share their least gram; such a run
+of strings is one *segment*, and its identifier is refined from the string
+identifiers at its two ends, which overlap.
+
+The rounds go through `GRAMS`: buckets of 32-byte grams first, one row per
+segment.  Equal segments in one bucket: all but the first are repeats as a
+whole.  Segments in a bucket that still holds different ones are cut into
+shorter runs by the least 80-byte gram and dealt to buckets again, and what is
+then still mixed goes into the last round string by string.
 
 Each Arrow batch of documents settles its own repeats first: of equal
 segments it sends only the earliest on, the others are repeats whatever else
 there is.  So a passage shared by a third of all documents comes to one row a
 batch at the shuffle.  Buckets are then read in sorted order as a stream; no
-group is held in memory.
+group is held in memory.  All rounds and the final cut join the documents by
+the same keys, so Spark shuffles the texts once and reuses that exchange.
 
-Documents are known by (id, 26 bits of a hash of the text).  A null text is
+Documents are known by (id, 24 bits of a hash of the text).  A null text is
 empty; texts shorter than `length` have no repeats; a null id sorts first.
 Rows that share an id are the same document as far as "earlier" goes, so two
 equal rows of one id do not remove each other.  Identifiers are compared as
@@ -46,16 +48,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.arrow import map_batches, pieces, text_buffers
-from strata.session import materialize
 
-GRAM = 32
+#: Gram lengths of the rounds before whole strings.
+GRAMS = (32, 80)
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 NULL_ID = -(1 << 63)
 
-#: A row is (bucket, segment, id, place); place packs start, run length and
-#: the text's hash bits.
-START_BITS, RUN_BITS, HASH_BITS = 30, 8, 26
-ROW = "bucket long, segment long, id long, place long, kind byte"
+#: A row is (bucket, segment, id, place); place packs the kind of row, the
+#: text's hash bits, the start and the run length, from the top.
+START_BITS, RUN_BITS, HASH_BITS = 30, 8, 24
+SPAN_BITS = START_BITS + RUN_BITS
+KIND_AT = SPAN_BITS + HASH_BITS
+ROW = "bucket long, segment long, id long, place long"
 BUCKETED, REPEAT, MIXED = 0, 1, 2
 MAX_LENGTH = 1 << RUN_BITS
 
@@ -70,37 +74,31 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-class Buckets:
-    """Bucket identifiers of every position of one piece of bytes."""
-
-    def __init__(self, data: np.ndarray, length: int):
-        self.length = length
-        level = (data.astype(np.uint64) + np.uint64(1)) * MIX_B
-        width = 1
-        while width < GRAM:
-            level = _mix(level[:-width], level[width:]) if len(level) > width else level[:0]
-            width *= 2
-        self.gram = level
-        while 2 * width <= length:
-            level = _mix(level[:-width], level[width:]) if len(level) > width else level[:0]
-            width *= 2
-        rest = length - width
-        if rest:
-            level = _mix(level[:-rest], level[rest:]) if len(level) > rest else level[:0]
-        self.string = level  # one for each start of a whole string
-
-    def least_gram(self) -> np.ndarray:
-        """Position of the least gram of the string at each start."""
-        x = self.gram & np.uint64(0xFFFFFFFF00000000)
-        x |= np.arange(len(x), dtype=np.uint64)
-        count, width = self.length - GRAM + 1, 1
-        while 2 * width <= count:
-            x = np.minimum(x[:-width], x[width:]) if len(x) > width else x[:0]
-            width *= 2
-        rest = count - width
-        if rest:
-            x = np.minimum(x[:-rest], x[rest:]) if len(x) > rest else x[:0]
-        return (x & np.uint64(0xFFFFFFFF)).astype(np.int64)
+def identifiers(data: np.ndarray, widths: list[int]) -> list[np.ndarray]:
+    """Bucket identifiers of the strings of each width, at all their starts."""
+    level, width = (data.astype(np.uint64) + np.uint64(1)) * MIX_B, 1
+    out: dict[int, np.ndarray] = {}
+    refine = lambda x, d: _mix(x[:-d], x[d:]) if len(x) > d else x[:0]
+    while True:
+        for w in widths:
+            if width <= w < 2 * width:
+                out[w] = refine(level, w - width) if w > width else level
+        if 2 * width > max(widths):
+            return [out[w] for w in widths]
+        level, width = refine(level, width), 2 * width
+
+
+def least_gram(gram: np.ndarray, count: int) -> np.ndarray:
+    """Position of the least of `count` neighbouring grams, for each start."""
+    x = gram & np.uint64(0xFFFFFFFF00000000)
+    x |= np.arange(len(x), dtype=np.uint64)
+    width = 1
+    least = lambda x, d: np.minimum(x[:-d], x[d:]) if len(x) > d else x[:0]
+    while 2 * width <= count:
+        x, width = least(x, width), 2 * width
+    if count > width:
+        x = least(x, count - width)
+    return (x & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def _starts(offsets: np.ndarray, length: int) -> np.ndarray:
@@ -112,113 +110,93 @@ def _starts(offsets: np.ndarray, length: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
-def _pack(start: np.ndarray, run: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    return ((tag << np.int64(START_BITS + RUN_BITS))
-            | (start << np.int64(RUN_BITS)) | run.astype(np.int64))
+def _pack(kind: int, tag: np.ndarray, start: np.ndarray, run: np.ndarray) -> np.ndarray:
+    return (np.int64(kind) << KIND_AT) | (tag << SPAN_BITS) | (start << RUN_BITS) | run
+
 
+def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, run length) of packed places."""
+    return (place >> RUN_BITS) & ((1 << START_BITS) - 1), place & ((1 << RUN_BITS) - 1)
 
-def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, run length, tag) of packed places."""
-    return ((place >> RUN_BITS) & ((1 << START_BITS) - 1), place & ((1 << RUN_BITS) - 1),
-            (place >> (START_BITS + RUN_BITS)) & ((1 << HASH_BITS) - 1))
 
+def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, at: np.ndarray | None = None):
+    """Segments of a piece: (row, start in its text, run, gram, identifier).
 
-def segments(data: np.ndarray, offsets: np.ndarray, length: int):
-    """Segments of a piece: (row, start in its text, run, gram, identifier)."""
-    buckets = Buckets(data, length)
-    at = _starts(offsets, length)
+    `at` limits them to some (sorted) starts of whole strings.
+    """
+    at = _starts(offsets, length) if at is None else at
     if not len(at):
         none = np.zeros(0, np.int64)
         return none, none, none, none, none
-    least = buckets.least_gram()[at]
-    edge = np.flatnonzero(least[1:] != least[:-1])
+    grams, string = identifiers(data, [gram, length])
+    least = least_gram(grams, length - gram + 1)[at]
+    edge = np.flatnonzero((least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1))
     first = np.concatenate(([0], edge + 1))
     last = np.concatenate((edge, [len(at) - 1]))
     lo, hi = at[first], at[last]
-    ident = _mix(_mix(buckets.string[lo], buckets.string[hi]), (hi - lo).astype(np.uint64))
+    ident = _mix(_mix(string[lo], string[hi]), (hi - lo).astype(np.uint64))
     row = np.searchsorted(offsets, lo, "right") - 1
-    return (row, lo - offsets[row], hi - lo + 1, buckets.gram[least[first]].view(np.int64),
-            ident.view(np.int64))
+    return (row, lo - offsets[row], hi - lo + 1, grams[least[first]].view(np.int64), ident.view(np.int64))
 
 
 def _settle(bucket, segment, ident, place) -> tuple[list[np.ndarray], np.ndarray]:
-    """Of rows with equal (bucket, segment): the earliest, and a mask of the rest."""
-    order = np.lexsort((place & ((1 << (START_BITS + RUN_BITS)) - 1), ident, segment, bucket))
-    b, s, i = bucket[order], segment[order], ident[order]
+    """Of rows with equal (bucket, segment): the earliest, and the numbers of the rest."""
+    span = place & ((1 << SPAN_BITS) - 1)
+    order = np.lexsort((span, ident, segment, bucket))
+    b, s, i, start = bucket[order], segment[order], ident[order], span[order] >> RUN_BITS
     new = np.ones(len(order), bool)
     new[1:] = (b[1:] != b[:-1]) | (s[1:] != s[:-1])
     # Rows of the first one's own id are not repeats of it, unless they start
     # later; equal rows of one id keep each other.
-    head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0)) if len(order) else order
-    start = (place[order] >> RUN_BITS) & ((1 << START_BITS) - 1)
+    head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     repeat = ~new & ((i != i[head]) | (start != start[head]))
     keep = order[~repeat]
     return [bucket[keep], segment[keep], ident[keep], place[keep]], order[repeat]
 
 
-def _batch(bucket, segment, ident, place, kind) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.ascontiguousarray(x)) for x in (bucket, segment, ident, place)]
-        + [pa.array(np.broadcast_to(np.int8(kind), len(bucket)))],
-        names=["bucket", "segment", "id", "place", "kind"])
+def _batch(bucket, segment, ident, place) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (bucket, segment, ident, place)],
+                                      names=["bucket", "segment", "id", "place"])
+
+
+def _as(kind: int, place: np.ndarray) -> np.ndarray:
+    return (place & ((1 << KIND_AT) - 1)) | (np.int64(kind) << KIND_AT)
 
 
 def _repeats(ident: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Repeats take no part in the buckets: dealt out by their own place."""
     spread = _mix(ident.view(np.uint64), place.view(np.uint64)).view(np.int64)
-    return _batch(spread, np.zeros(len(place), np.int64), ident, place, REPEAT)
-
-
-def _emit(rows: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    bucket, segment, ident, place = (np.concatenate(c) for c in zip(*rows, strict=True))
-    kept, repeat = _settle(bucket, segment, ident, place)
-    yield _batch(*kept, BUCKETED)
-    yield _repeats(ident[repeat], place[repeat])
-
-
-def find_segments(length: int) -> Callable:
-    """Task function: (id, tag, text) batches to segment rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data, off = text_buffers(batch.column(2))
-            rows = []
-            for i, j in pieces(off):
-                part = off[i:j + 1] - off[i]
-                row, start, n, gram, ident = segments(data[off[i]:off[j]], part, length)
-                rows.append((gram, ident, ids[i + row], _pack(start, n, tags[i + row])))
-            if rows:
-                yield from _emit(rows)
-
-    return run
+    return _batch(spread, np.zeros(len(place), np.int64), ident, _as(REPEAT, place))
 
 
-def find_strings(length: int) -> Callable:
-    """Task function: (id, tag, text, spans) batches to a row for each string.
+def find_segments(length: int, gram: int, number: int) -> Callable:
+    """Task function: (id, tag, row[, places]) batches to segment rows.
 
-    `spans` lists the segments to refine: (bucket, start, run).
+    `number` is the text's place in the row.  With `places` (the packed runs of strings to refine) only those strings
+    count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            data, off = text_buffers(batch.column(2))
-            spans = batch.column(3)
-            ends = np.asarray(spans.offsets).astype(np.int64)
-            bucket, start, count = (c.to_numpy() for c in spans.values.flatten())
+            data, off = text_buffers(batch.column(2).field(number))
+            listed = batch.column(3) if batch.num_columns > 3 else None
             rows = []
             for i, j in pieces(off):
-                own = slice(ends[i], ends[j])
-                doc = np.repeat(np.arange(i, j), np.diff(ends[i:j + 1]))
-                n = count[own]
-                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                doc, at = np.repeat(doc, n), np.repeat(start[own], n) + nth
-                ident = Buckets(data[off[i]:off[j]], length).string[off[doc] - off[i] + at]
-                rows.append((np.repeat(bucket[own], n), ident.view(np.int64), ids[doc],
-                             _pack(at, np.ones(len(at), np.int64), tags[doc])))
+                at = None
+                if listed is not None:
+                    own = listed.slice(i, j - i)
+                    start, count = unpack(own.flatten().to_numpy())
+                    doc = np.repeat(off[i:j] - off[i], own.value_lengths().to_numpy())
+                    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    at = np.unique(np.repeat(doc + start, count) + nth)
+                row, start, n, g, ident = segments(data[off[i]:off[j]], off[i:j + 1] - off[i], length, gram, at)
+                rows.append((g, ident, ids[i + row], _pack(BUCKETED, tags[i + row], start, n)))
             if rows:
-                yield from _emit(rows)
+                columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
+                kept, repeat = _settle(*columns)
+                yield _batch(*kept)
+                yield _repeats(columns[2][repeat], columns[3][repeat])
 
     return run
 
@@ -233,13 +211,13 @@ def read_buckets(mixed: bool) -> Callable:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = (1 << (START_BITS + RUN_BITS)) - 1
+        low = (1 << SPAN_BITS) - 1
         held: list[np.ndarray] | None = None  # first rows of the last bucket, until it is known to be mixed
         head = None  # (bucket, segment, id, start) that began the last segment
         is_mixed = False
         for batch in batches:
-            b, s, i, p, kind = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            known = kind == REPEAT
+            b, s, i, p = (c.to_numpy() for c in batch.columns)
+            known = p >> KIND_AT == REPEAT
             if known.any():
                 yield _repeats(i[known], p[known])
                 b, s, i, p = (x[~known] for x in (b, s, i, p))
@@ -274,10 +252,10 @@ def read_buckets(mixed: bool) -> Callable:
             if joins:
                 many[0] = is_mixed or segs[0] > 0
                 if many[0] and not is_mixed:
-                    yield _batch(*held, MIXED)
+                    yield _batch(*held[:3], _as(MIXED, held[3]))
             out = ~repeat & many[run_no]
             if out.any():
-                yield _batch(b[out], s[out], i[out], p[out], MIXED)
+                yield _batch(b[out], s[out], i[out], _as(MIXED, p[out]))
             is_mixed = bool(many[-1])
             tail = (run_no == run_no[-1]) & ~repeat
             if is_mixed:
@@ -290,55 +268,58 @@ def read_buckets(mixed: bool) -> Callable:
     return run
 
 
-def _sorted(rows: DataFrame) -> DataFrame:
-    """Rows of a bucket together and in order: segment, id, start."""
-    begin = F.col("place").bitwiseAND((1 << (START_BITS + RUN_BITS)) - 1)
-    return rows.repartition("bucket").sortWithinPartitions("bucket", "segment", "id", begin)
-
-
-def repeated_runs(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """(id, tag, runs): starts of repeated strings of each document that has any."""
-    if not GRAM <= length <= MAX_LENGTH:
-        raise ValueError(f"length must be {GRAM} to {MAX_LENGTH}")
-    keyed = _keyed(docs, id_col, text_col)
-    found = materialize(_sorted(map_batches(keyed, find_segments(length), ROW))
-                        .mapInArrow(read_buckets(True), ROW)
-                        .select("id", "place", F.when(F.col("kind") == MIXED, F.col("bucket")).alias("mixed")),
-                        docs.sparkSession)
-    mixed = (found.where("mixed is not null").select("id", F.col("mixed").alias("bucket"), *_place_columns())
-             .groupBy("id", "tag").agg(F.collect_set(F.struct("bucket", "start", "run")).alias("spans")))
-    again = (keyed.join(mixed, ["id", "tag"]).select("id", "tag", "text", "spans")
-             .mapInArrow(find_strings(length), ROW))
-    more = _sorted(again).mapInArrow(read_buckets(False), ROW)
-    return (found.where("mixed is null").select("id", "place").union(more.select("id", "place"))
-            .select("id", *_place_columns())
-            .groupBy("id", "tag").agg(F.collect_list(F.struct("start", "run")).alias("runs")))
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+def _field(shift: int, bits: int) -> Column:
+    return F.shiftright("place", shift).bitwiseAND((1 << bits) - 1)
+
+
+def _read(rows: DataFrame, mixed: bool) -> DataFrame:
+    """(id, tag, place, kind) of the repeats, and of what stays mixed."""
+    ordered = rows.repartition("bucket").sortWithinPartitions(
+        "bucket", "segment", "id", F.col("place").bitwiseAND((1 << SPAN_BITS) - 1))
+    return map_batches(ordered, read_buckets(mixed), ROW).select(
+        "id", _field(SPAN_BITS, HASH_BITS).alias("tag"), "place", _field(KIND_AT, 2).alias("kind"))
+
+
+def _by_text(found: DataFrame) -> DataFrame:
+    return found.groupBy("id", "tag").agg(F.collect_list("place").alias("places"))
+
+
+def repeated_runs(keyed: DataFrame, text_col: str, length: int) -> DataFrame:
+    """(id, tag, places) of every text with repeated strings; `keyed` has (id, tag, row)."""
+    if not 1 <= length <= MAX_LENGTH:
+        raise ValueError(f"length must be 1 to {MAX_LENGTH}")
+    number = keyed.schema["row"].dataType.fieldNames().index(text_col)
+    found, rows = None, keyed
+    for gram in [g for g in GRAMS if g < length] + [length]:
+        last = gram == length
+        read = _read(map_batches(rows, find_segments(length, gram, number), ROW), not last)
+        repeats = read.where(F.col("kind") == REPEAT).select("id", "tag", "place")
+        found = repeats if found is None else found.union(repeats)
+        if not last:
+            mixed = _by_text(read.where(F.col("kind") == MIXED))
+            # Whole rows, so that this join's exchange is that of the final one.
+            rows = keyed.join(mixed, ["id", "tag"]).select("id", "tag", "row", "places")
+    return _by_text(found)
+
+
+def _keyed(docs: DataFrame, own: list[str], id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.xxhash64(text).bitwiseAND((1 << HASH_BITS) - 1).alias("tag"),
-                       text.alias("text"), *more)
-
-
-def _place_columns() -> list[Column]:
-    place = F.col("place")
-    return [F.shiftright(place, RUN_BITS).bitwiseAND((1 << START_BITS) - 1).alias("start"),
-            place.bitwiseAND((1 << RUN_BITS) - 1).alias("run"),
-            F.shiftrightunsigned(place, START_BITS + RUN_BITS).alias("tag")]
+                       F.struct(*own).alias("row"))
 
 
-def removed_spans(runs: list[dict] | None, length: int) -> list[tuple[int, int]]:
-    """Maximal byte ranges covered by the strings that start in `runs`."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted((r["start"], r["start"] + r["run"] - 1 + length) for r in runs or ()):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def removed_spans(places: list[int] | None, length: int) -> list[tuple[int, int]]:
+    """Maximal byte ranges covered by the strings that start at `places`."""
+    if not places:
+        return []
+    start, run = unpack(np.array(places, np.int64))
+    order = np.argsort(start)
+    start, stop = start[order], np.maximum.accumulate((start + run - 1 + length)[order])
+    gap = np.flatnonzero(start[1:] > stop[:-1]) + 1
+    first = np.concatenate(([0], gap))
+    last = np.concatenate((gap - 1, [len(start) - 1]))
+    return list(zip(start[first].tolist(), stop[last].tolist()))
 
 
 def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -362,19 +343,18 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
     """
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
     own = [c for c in docs.columns if c not in added]
-    runs = repeated_runs(docs, length, id_col, text_col)
-    left = _keyed(docs, id_col, text_col, F.struct(*own).alias("row")).drop("text")
-    joined = left.join(runs, ["id", "tag"], "left").select("row", f"row.{text_col}", "runs")
-    kind = joined.schema["row"].dataType.simpleString()
+    keyed = _keyed(docs, own, id_col, text_col)
+    joined = keyed.join(repeated_runs(keyed, text_col, length), ["id", "tag"], "left").select("row", "places")
+    kind, number = joined.schema["row"].dataType.simpleString(), own.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, off = text_buffers(batch.column(1))
+            data, off = text_buffers(batch.column(0).field(number))
             raw = data.tobytes()
             cols: list[list] = [[], [], [], [], []]
-            for k, runs_k in enumerate(batch.column(2).to_pylist()):
+            for k, places in enumerate(batch.column(1).to_pylist()):
                 t = raw[off[k]:off[k + 1]]
-                spans = removed_spans(runs_k, length)
+                spans = removed_spans(places, length)
                 kept = cut(t, spans)
                 for c, v in zip(cols, (len(t), len(t) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(),
                                        kept.decode("utf-8", "ignore")), strict=True):
