@@ -19,6 +19,21 @@ def _cond(c) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys that may be NULL (a NULL key is a key like any other);
+    the keys of the result are those of whichever side has the row."""
+    keys = list(keys)
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = e if cond is None else cond & e
+    j = left.join(r, cond, how)
+    return j.withColumns({k: F.coalesce(F.col(k), F.col(f"_r_{k}")) for k in keys}) \
+        .drop(*[f"_r_{k}" for k in keys])
+
+
 def apply_changes(feed: DataFrame, keys: Sequence[str], seq: str, tiebreak: str | None = None,
                   delete_when: Column | str | None = None) -> DataFrame:
     """Type-1 state after an ordered change feed: per key the change with the
@@ -40,12 +55,13 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
                   hash_col: str = "_change_hash") -> DataFrame:
     """key + ``change`` in insert / update / delete / unchanged."""
     keys = list(keys)
-    o = old.select(*keys, F.col(hash_col).alias("_h")).alias("o")
-    n = new.select(*keys, F.col(hash_col).alias("_h")).alias("n")
-    j = o.join(n, [*keys], "full_outer")
-    change = (F.when(F.col("o._h").isNull() & F.col("n._h").isNotNull(), "insert")
-              .when(F.col("n._h").isNull() & F.col("o._h").isNotNull(), "delete")
-              .when(F.col("o._h") == F.col("n._h"), "unchanged")
+    o = old.select(*keys, F.struct(F.col(hash_col).alias("h")).alias("_o"))
+    n = new.select(*keys, F.struct(F.col(hash_col).alias("h")).alias("_n"))
+    j = _null_safe_join(o, n, keys, "full_outer")
+    # presence is told by the struct, so a NULL hash is a value like any other
+    change = (F.when(F.col("_o").isNull(), "insert")
+              .when(F.col("_n").isNull(), "delete")
+              .when(F.col("_o.h").eqNullSafe(F.col("_n.h")), "unchanged")
               .otherwise("update"))
     return j.select(*keys, change.alias("change"))
 
@@ -59,7 +75,7 @@ def cdc_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     cols = target.columns
     t = target.select(*keys, F.struct(*[c for c in cols if c not in keys]).alias("_t"))
     s = source.select(*keys, F.struct(*[c for c in cols if c not in keys]).alias("_s"))
-    j = t.join(s, keys, "full_outer")
+    j = _null_safe_join(t, s, keys, "full_outer")
     take_source = F.col("_s").isNotNull() & (
         F.col("_t").isNull() | ~F.col(f"_t.{hash_col}").eqNullSafe(F.col(f"_s.{hash_col}")))
     picked = j.select(*keys, F.when(take_source, F.col("_s")).otherwise(F.col("_t")).alias("_r"),
@@ -76,7 +92,7 @@ def soft_delete(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],
     values are kept, the flag is OR-ed with an existing one."""
     keys = list(keys)
     present = snapshot.select(*keys).distinct().withColumn("_present", F.lit(True))
-    j = target.join(present, keys, "left")
+    j = _null_safe_join(target, present, keys, "left")
     gone = F.col("_present").isNull()
     if flag in target.columns:
         gone = gone | F.coalesce(F.col(flag), F.lit(False))
@@ -90,6 +106,7 @@ def apply_delete_feed(target: DataFrame, feed: DataFrame, keys: Sequence[str], o
     keys = list(keys)
     dels = feed.where(F.col(op_col) == delete_op).select(*keys).distinct() \
         .withColumn("_del", F.lit(True))
-    j = target.join(dels, keys, "left")
+    j = _null_safe_join(target, dels, keys, "left")
     was = F.coalesce(F.col(flag), F.lit(False)) if flag in target.columns else F.lit(False)
-    return j.withColumn(flag, was | F.col("_del").isNotNull()).drop("_del")
+    return j.withColumn(flag, was | F.col("_del").isNotNull()).drop("_del").select(*target.columns, *(
+        [] if flag in target.columns else [flag]))

@@ -28,23 +28,28 @@ def _order_item(df: DataFrame, spec) -> tuple[str, bool]:
     return name, direction.lower().startswith("desc")
 
 
-def _ascending_proxy(df: DataFrame, name: str, desc: bool) -> Column | None:
-    """An expression whose ascending order is the wanted order, or None."""
+def _ascending_proxies(df: DataFrame, name: str, desc: bool) -> list[Column] | None:
+    """Expressions whose ascending order is the wanted order, or None.
+
+    Ascending has NULL first and descending NULL last, as in the window path
+    (and in SQL), whatever the column's type."""
     col = F.col(f"`{name}`")
     if not desc:
-        return col
+        return [col]
     dt = df.schema[name].dataType
     if isinstance(dt, NumericType):
-        return -col
-    if isinstance(dt, TimestampType):
-        return -F.unix_micros(col)
-    if isinstance(dt, TimestampNTZType):
-        return -F.unix_micros(col.cast("timestamp"))
-    if isinstance(dt, DateType):
-        return -F.unix_date(col)
-    if isinstance(dt, BooleanType):
-        return ~col
-    return None
+        down = -col
+    elif isinstance(dt, TimestampType):
+        down = -F.unix_micros(col)
+    elif isinstance(dt, TimestampNTZType):
+        down = -F.unix_micros(col.cast("timestamp"))
+    elif isinstance(dt, DateType):
+        down = -F.unix_date(col)
+    elif isinstance(dt, BooleanType):
+        down = ~col
+    else:
+        return None
+    return [col.isNull(), down]
 
 
 def remove_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
@@ -68,10 +73,10 @@ def remove_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
 
     proxies = []
     for i, (name, desc) in enumerate(order):
-        p = _ascending_proxy(df, name, desc)
-        if p is None:  # descending text order has no ascending proxy
+        found = _ascending_proxies(df, name, desc)
+        if found is None:  # descending text order has no ascending proxy
             return _dedupe_by_window(df, subset, keep, order, rest)
-        proxies.append(p.alias(f"_o{i}"))
+        proxies += [p.alias(f"_o{i}_{j}") for j, p in enumerate(found)]
 
     payload = [c for c in df.columns if c not in subset]
     if not payload:

@@ -138,21 +138,22 @@ def _keyed_check(df: DataFrame, i: int, c: Check) -> DataFrame:
         agg = per_key.agg(F.count_if(F.col("_n") > 1).alias("failed"),
                           F.count(F.lit(1)).alias("total"))
     elif c.kind == "foreign_key":
-        # child left join distinct parent keys (no fan-out), one aggregate
+        # the child's keys are counted first (combined map-side), so the join
+        # sees one row per key value however often a key occurs
         parent = c.parent.select(*[F.col(p).alias(f"_pk{j}") for j, p in enumerate(c.parent_columns)]) \
             .distinct().withColumn("_hit", F.lit(True))
         present = None
         for x in cols:  # a key with a NULL part references nothing
             e = F.col(x).isNotNull()
             present = e if present is None else present & e
-        child = df.select(*cols).where(present)
+        child = df.where(present).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
         cond = None
         for j, x in enumerate(cols):
             e = child[x] == parent[f"_pk{j}"]
             cond = e if cond is None else cond & e
         agg = child.join(parent, cond, "left").agg(
-            F.count_if(F.col("_hit").isNull()).alias("failed"),
-            F.count(F.lit(1)).alias("total"))
+            F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("_n"))), F.lit(0)).alias("failed"),
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("total"))
     else:
         raise ValueError(f"unknown check kind {c.kind}")
     return agg.select(F.lit(i).alias("_i"), F.lit(c.name).alias("check"),

@@ -65,47 +65,9 @@ def top_by(df: DataFrame, value: str, k: int, out: str = "rank", descending: boo
     return df.withColumn(out, F.rank().over(w)).where(F.col(out) <= k)
 
 
-MAX_PROBES = 1000
-
-
-def probe_ranks(df: DataFrame, value: str, probes: DataFrame, out: str) -> DataFrame | None:
-    """``rank() OVER (ORDER BY value DESC)`` of the values in ``probes``,
-    counted over all of ``df``; None when there are more than ``MAX_PROBES``
-    distinct probe values (use ``with_global_rank`` then).
-
-    The (size-checked) sorted probe values become an array literal; every
-    row of ``df`` is bucketed by how many probe values lie below its value,
-    in one aggregate with a map-side combine, so no pairs are emitted.
-    rank(q_i) = 1 + rows whose value exceeds q_i = 1 + rows in buckets >= i.
-    NULL sorts last, so a NULL probe ranks after every non-NULL row.
-    """
-    distinct = probes.select(value).distinct()
-    if distinct.count() > MAX_PROBES:
-        return None
-    qs = sorted(r[0] for r in distinct.collect() if r[0] is not None)
-    vtype = df.schema[value].dataType
-    v = F.col(value)
-    arr = (F.array(*[F.lit(q).cast(vtype) for q in qs]) if qs
-           else F.array().cast(f"array<{vtype.simpleString()}>"))
-    buckets = (df.where(v.isNotNull())
-               .groupBy(F.size(F.filter(arr, lambda x: x < v)).alias("_b"))
-               .agg(F.count(F.lit(1)).alias("_n")))
-    spark = df.sparkSession
-    probe_tab = spark.createDataFrame([(i + 1, q) for i, q in enumerate(qs)],
-                                      f"_i int, {value} {vtype.simpleString()}")
-    counted = probe_tab.join(buckets, F.col("_b") >= F.col("_i"), "left") \
-        .groupBy("_i", value).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_better"))
-    ranks = counted.select(value, (F.col("_better") + 1).cast("int").alias(out))
-    non_null = df.where(v.isNotNull()).agg(F.count(F.lit(1))).scalar()
-    null_rank = spark.range(1).select(F.lit(None).cast(vtype).alias(value),
-                                      (non_null + 1).cast("int").alias(out))
-    return ranks.unionByName(null_rank)
-
-
-def with_probe_rank(rows: DataFrame, population: DataFrame, value: str, out: str) -> DataFrame:
-    """``rows`` plus ``out`` = rank of ``rows[value]`` among ``population``."""
-    ranks = probe_ranks(population, value, rows, out)
-    if ranks is None:  # too many distinct survivors: rank every value
-        ranks = value_ranks(population, value, out)
-    r = ranks.withColumnRenamed(value, "_pv")
-    return rows.join(r, rows[value].eqNullSafe(r["_pv"]), "left").drop("_pv")
+def with_rank_among(rows: DataFrame, population: DataFrame, value: str, out: str) -> DataFrame:
+    """``rows`` plus ``out`` = SQL ``rank()`` of ``rows[value]`` among all of
+    ``population`` (descending): its ranks by value, joined null-safe."""
+    ranks = value_ranks(population, value, "_rank_tmp").withColumnRenamed(value, "_rank_v")
+    joined = rows.join(ranks, rows[value].eqNullSafe(ranks["_rank_v"]), "left")
+    return joined.drop("_rank_v").withColumnRenamed("_rank_tmp", out)

@@ -22,6 +22,8 @@ contiguous ranges, and their size stays bounded by that advisory size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,7 +49,10 @@ def _across(keys):
 
 def _carry_join(local: DataFrame, carry: DataFrame, keys, first_col: str, pairs) -> DataFrame:
     """Take each local value, or the carried one on a slice's edge row."""
-    joined = local.join(carry, [*keys, SLICE], "left")
+    named = carry.select(*[F.col(k).alias(f"_c_{k}") for k in (*keys, SLICE)], "_carry")
+    # a NULL key is a key like any other
+    cond = reduce(and_, [local[k].eqNullSafe(named[f"_c_{k}"]) for k in (*keys, SLICE)])
+    joined = local.join(named, cond, "left").drop(*[f"_c_{k}" for k in (*keys, SLICE)])
     return joined.withColumns({
         out: F.when(F.col(first_col), F.col(f"_carry.{src}")).otherwise(F.col(out))
         for out, src in pairs
@@ -103,7 +108,9 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], col:
     lastnn = s.where(F.col(col).isNotNull()).groupBy(*keys, SLICE).agg(
         F.max_by(F.col(col), F.struct(*order)).alias("_v"))
     slices = s.select(*keys, SLICE).distinct()
-    per_slice = slices.join(lastnn, [*keys, SLICE], "left")
+    per_slice = slices.join(
+        lastnn.select(*[F.col(k).alias(f"_l_{k}") for k in (*keys, SLICE)], "_v"),
+        reduce(and_, [F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in (*keys, SLICE)]), "left")
     carry = per_slice.select(
         *keys, SLICE,
         F.struct(F.last("_v", ignorenulls=True).over(

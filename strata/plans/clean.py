@@ -38,11 +38,15 @@ class CleanSpec:
     derive: Callable[[DataFrame], DataFrame] | None = None
 
 
-def _line_amounts(df: DataFrame) -> DataFrame:
-    """Extended and discount amounts of an order line, decimal(12,2)."""
-    line_total = (F.col("quantity") * F.col("unitprice")).cast("decimal(12,2)")
+MONEY = "decimal(12,2)"
+
+
+def line_amounts(df: DataFrame, money: str = MONEY) -> DataFrame:
+    """Extended and discount amounts of an order line; a wider ``money`` type
+    takes amounts that the default one cannot hold."""
+    line_total = (F.col("quantity") * F.col("unitprice")).cast(money)
     return df.withColumn("line_total", line_total).withColumn(
-        "discount_amount", (F.col("line_total") * F.col("discount")).cast("decimal(12,2)"))
+        "discount_amount", (F.col("line_total") * F.col("discount")).cast(money))
 
 
 # Fixed table rules of the cleaning layer: required raw columns, typed casts,
@@ -107,7 +111,7 @@ SPECS: dict[str, CleanSpec] = {
         casts={"orderid": "bigint", "productid": "bigint", "unitprice": "decimal(10,2)",
                "quantity": "int", "discount": "decimal(5,4)"},
         fills={"discount": 0.0, "quantity": 0},
-        derive=_line_amounts,
+        derive=line_amounts,
         hash_columns=["orderid", "productid", "quantity", "unitprice", "discount"],
         source_tag="northwind_order_details",
     ),

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.exact import mean, pct, ratio
 from strata.operators import columns as ops
-from strata.operators.ranks import top_by, with_global_rank, with_probe_rank
+from strata.operators.ranks import top_by, with_global_rank, with_rank_among
 from strata.plans.dims import current_rows
 from strata.session import materialize
 
@@ -36,7 +36,9 @@ def _money_sum(c) -> F.Column:
 def _line_measures(fact: DataFrame, extra=()) -> DataFrame:
     keep = ["orderid", "customer_id", "employee_id", "product_id", "order_quantity",
             "discount_rate", "line_total", "discount_amount", "order_date", *extra]
-    f = fact.where(~F.col("_is_deleted")) if "_is_deleted" in fact.columns else fact
+    f = fact
+    if "_is_deleted" in fact.columns:  # a flag never set counts as not deleted
+        f = fact.where(F.col("_is_deleted").isNull() | (F.col("_is_deleted") == F.lit(False)))
     return f.select(*dict.fromkeys(keep))
 
 
@@ -49,6 +51,20 @@ def _per_order(df: DataFrame, keys) -> DataFrame:
     )
 
 
+def _order_partials(df: DataFrame, keys) -> DataFrame:
+    """One row per (keys, order, customer) with every partial sum the
+    order-grain marts add up, so each of them reads the fact once."""
+    return df.groupBy(*keys, "orderid", "customer_id").agg(
+        F.sum("line_total").alias("_ot"), F.sum("order_quantity").alias("_q"),
+        F.sum("discount_rate").alias("_drs"), F.count("discount_rate").alias("_drn"),
+        F.min("order_date").alias("_fd"), F.max("order_date").alias("_ld"))
+
+
+def _partial_sums(total: str, quantity: str) -> list:
+    return [_money_sum("_ot").alias(total), F.sum("_q").alias(quantity),
+            F.sum("_drs").alias("_dr_sum"), F.sum("_drn").alias("_dr_n")]
+
+
 def _join_groups(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Join two per-group aggregates on their group key, NULL group included
     (``GROUP BY`` keeps a NULL group; a plain equi-join would drop it)."""
@@ -103,32 +119,35 @@ def sales_by_country(fact: DataFrame, dim_customers: DataFrame, grain: str = "li
 def sales_by_category(fact: DataFrame, dim_products: DataFrame, grain: str = "line",
                       as_of=None) -> DataFrame:
     prod = current_rows(dim_products).select("product_id", "category_name", "discontinued")
-    f = _line_measures(fact, extra=["unit_price"]).join(prod, "product_id")
-    common = [
-        _money_sum("line_total").alias("total_sales"),
-        F.sum("order_quantity").alias("total_quantity"),
-        F.sum("unit_price").alias("_up_sum"), F.count("unit_price").alias("_up_n"),
-        F.sum("discount_rate").alias("_dr_sum"), F.count("discount_rate").alias("_dr_n"),
-    ]
+    f = _line_measures(fact, extra=["unit_price"])
     if grain == "line":
-        df = f.groupBy("category_name").agg(
-            *common,
+        df = f.join(prod, "product_id").groupBy("category_name").agg(
+            _money_sum("line_total").alias("total_sales"),
+            F.sum("order_quantity").alias("total_quantity"),
+            F.sum("unit_price").alias("_up_sum"), F.count("unit_price").alias("_up_n"),
+            F.sum("discount_rate").alias("_dr_sum"), F.count("discount_rate").alias("_dr_n"),
             F.count("orderid").alias("total_orders"),
             F.count_if(F.col("discontinued") == 0).alias("active_products"),
             F.count_if(F.col("discontinued") == 1).alias("discontinued_products"),
         )
     else:
-        # distinct orders and distinct products per category, each counted
-        # from its own reduced table (no multi-distinct Expand)
-        lines = f.groupBy("category_name").agg(*common)
-        orders = f.select("category_name", "orderid").distinct().groupBy("category_name").agg(
+        # lines are reduced to (product, order) before the dimension is joined;
+        # products sold are counted from their own narrow scan of the fact
+        pairs = f.groupBy("product_id", "orderid").agg(
+            F.sum("line_total").alias("_ot"), F.sum("order_quantity").alias("_q"),
+            F.sum("unit_price").alias("_ups"), F.count("unit_price").alias("_upn"),
+            F.sum("discount_rate").alias("_drs"), F.count("discount_rate").alias("_drn"))
+        orders = pairs.join(prod, "product_id").groupBy("category_name", "orderid").agg(
+            *[F.sum(c).alias(c) for c in ("_ot", "_q", "_ups", "_upn", "_drs", "_drn")])
+        lines = orders.groupBy("category_name").agg(
+            *_partial_sums("total_sales", "total_quantity"),
+            F.sum("_ups").alias("_up_sum"), F.sum("_upn").alias("_up_n"),
             F.count(F.lit(1)).alias("total_orders"))
-        prods = f.groupBy("category_name", "product_id").agg(
-            F.max("discontinued").alias("_d")).groupBy("category_name").agg(
-            F.count_if(F.col("_d") == 0).alias("active_products"),
-            F.count_if(F.col("_d") == 1).alias("discontinued_products"))
-        df = _join_groups(_join_groups(lines, orders, "category_name"), prods, "category_name")
-    grand = df.agg(F.sum("total_sales")).scalar()
+        prods = f.select("product_id").distinct().join(prod, "product_id").groupBy("category_name").agg(
+            F.count_if(F.col("discontinued") == 0).alias("active_products"),
+            F.count_if(F.col("discontinued") == 1).alias("discontinued_products"))
+        df = _join_groups(lines, prods, "category_name")
+    grand = F.sum("total_sales").over(Window.partitionBy())  # over one row per category
     df = df.select(
         "category_name", "total_sales", "total_quantity", "total_orders",
         "active_products", "discontinued_products",
@@ -161,16 +180,13 @@ def sales_by_employee(fact: DataFrame, dim_employees: DataFrame, grain: str = "l
             F.count("customer_id").alias("unique_customers"),
             F.sum("line_total").alias("_v_sum"), F.count("line_total").alias("_v_n"))
     else:
-        # an order has one employee: per-order totals, then per employee
-        orders = f.groupBy("employee_id", "orderid", "customer_id").agg(
-            F.sum("line_total").alias("_order_total"))
-        per_emp = f.groupBy("employee_id").agg(*common).join(
-            orders.groupBy("employee_id").agg(
-                F.count(F.lit(1)).alias("total_orders"),
-                F.count_distinct("customer_id").alias("unique_customers"),
-                F.sum("_order_total").alias("_v_sum"),
-                F.count("_order_total").alias("_v_n")),
-            "employee_id")
+        # an order has one employee: per-order partials, then per employee
+        per_emp = _order_partials(f, ["employee_id"]).groupBy("employee_id").agg(
+            *_partial_sums("total_sales", "total_quantity"),
+            F.min("_fd").alias("first_order_date"), F.max("_ld").alias("last_order_date"),
+            F.count(F.lit(1)).alias("total_orders"),
+            F.count_distinct("customer_id").alias("unique_customers"),
+            F.sum("_ot").alias("_v_sum"), F.count("_ot").alias("_v_n"))
     # one row per employee, written once: the rank, the count and the output
     # all read it instead of re-running the fact aggregation
     df = materialize(per_emp.join(emp, "employee_id"))
@@ -203,14 +219,11 @@ def _product_aggregates(fact: DataFrame, grain: str) -> DataFrame:
             *common, F.count("orderid").alias("order_count"),
             F.count("customer_id").alias("unique_customers"),
             F.count("line_total").alias("_v_n"))
-    per_order = f.groupBy("product_id", "orderid", "customer_id").agg(
-        F.sum("line_total").alias("_pt"))
-    return f.groupBy("product_id").agg(*common).join(
-        per_order.groupBy("product_id").agg(
-            F.count(F.lit(1)).alias("order_count"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count("_pt").alias("_v_n")),
-        "product_id")
+    return _order_partials(f, ["product_id"]).groupBy("product_id").agg(
+        *_partial_sums("total_sales", "total_quantity"),
+        F.sum("_ot").alias("_v_sum"), F.count(F.lit(1)).alias("order_count"),
+        F.count_distinct("customer_id").alias("unique_customers"),
+        F.count("_ot").alias("_v_n"))
 
 
 def product_performance(fact: DataFrame, dim_products: DataFrame, grain: str = "line") -> DataFrame:
@@ -235,15 +248,14 @@ def top_products(fact: DataFrame, dim_products: DataFrame, grain: str = "line",
     """Top ``k`` products by sales (ties kept), ranked three ways.
 
     ``rank_by_sales <= k`` is taken first (a per-partition limit); the
-    quantity and popularity ranks are ranks over *all* products, computed
-    only for the survivors' values (``with_probe_rank``; the full
-    range-sliced rank when ties leave too many survivors).
+    quantity and popularity ranks are ranks over *all* products
+    (``with_rank_among``), joined to the survivors by value.
     """
     # one row per product, written once and read by the three rankings
     perf = materialize(product_performance(fact, dim_products, grain))
     top = top_by(perf, "total_sales", k, out="rank_by_sales")
-    df = with_probe_rank(top, perf, "total_quantity", "rank_by_quantity")
-    df = with_probe_rank(df, perf, "unique_customers", "rank_by_popularity")
+    df = with_rank_among(top, perf, "total_quantity", "rank_by_quantity")
+    df = with_rank_among(df, perf, "unique_customers", "rank_by_popularity")
     status = (F.when(F.col("discontinued") == 1, F.lit("Discontinued"))
               .when(F.col("order_count") == 0, F.lit("No Sales"))
               .otherwise(F.lit("Active")))
@@ -346,14 +358,11 @@ def monthly_base(fact: DataFrame, grain: str = "line") -> DataFrame:
             F.count("customer_id").alias("monthly_customers"),
             F.sum("line_total").alias("_v_sum"), F.count("line_total").alias("_v_n"))
     else:
-        orders = f.groupBy("year_month", "orderid", "customer_id").agg(
-            F.sum("line_total").alias("_ot"))
-        m = _join_groups(f.groupBy("year_month").agg(*common),
-                         orders.groupBy("year_month").agg(
-                             F.count(F.lit(1)).alias("monthly_orders"),
-                             F.count_distinct("customer_id").alias("monthly_customers"),
-                             F.sum("_ot").alias("_v_sum"), F.count("_ot").alias("_v_n")),
-                         "year_month")
+        m = _order_partials(f, ["year_month"]).groupBy("year_month").agg(
+            *_partial_sums("monthly_sales", "monthly_quantity"),
+            F.count(F.lit(1)).alias("monthly_orders"),
+            F.count_distinct("customer_id").alias("monthly_customers"),
+            F.sum("_ot").alias("_v_sum"), F.count("_ot").alias("_v_n"))
     return m.withColumns({"year": F.year("year_month"), "month": F.month("year_month")})
 
 
@@ -374,9 +383,9 @@ def monthly_trends(fact: DataFrame, grain: str = "line", frame: str = "3m",
     if grain == "line":
         m = m.withColumn("_prev", F.lag("monthly_sales").over(Window.orderBy("year_month")))
     else:
-        prev = m.select(F.add_months("year_month", 1).alias("year_month"),
-                        F.col("monthly_sales").alias("_prev"))
-        m = m.join(prev, "year_month", "left")
+        by_month = Window.orderBy("year_month")
+        is_next = F.lag("year_month").over(by_month) == F.add_months("year_month", -1)
+        m = m.withColumn("_prev", F.when(is_next, F.lag("monthly_sales").over(by_month)))
     df = m.select(
         "year_month", "year", "month", "monthly_sales", "monthly_quantity", "monthly_orders",
         "monthly_customers",

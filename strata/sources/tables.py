@@ -23,57 +23,19 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.read.table(name_or_path)
 
 
-SPREAD_MIN_BYTES = 2 << 20
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
-    except Exception:  # no JVM access: treat as small
-        return 0
-
-
-def spread_small_scan(df: DataFrame, size_bytes: int) -> DataFrame:
-    """Round-robin a scan that has fewer input splits than task slots.
-
-    A parquet file with one row group is one split, so every narrow step
-    after the scan (casts, hashes, partial aggregation) would run in a single
-    task.  When such a scan is big enough to matter (>= 2 MiB) its rows are
-    spread over all slots first.  At scale (thousands of splits) this is a
-    no-op and no shuffle is added; column pruning still reaches the parquet
-    reader below the repartition.
-    """
-    if size_bytes < SPREAD_MIN_BYTES:
-        return df
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. Spark Connect): leave the scan as is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 class Tables:
     """Lazy access to the driver's parquet tables under one directory."""
 
-    def __init__(self, spark: SparkSession, base_dir: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, base_dir: str):
         self.spark = spark
         self.base_dir = base_dir.rstrip("/")
-        self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._cache:
-            path = f"{self.base_dir}/{name}.parquet"
-            df = self.spark.read.parquet(path)
-            if self.spread:
-                df = spread_small_scan(df, input_bytes(self.spark, path))
-            self._cache[name] = df
+            self._cache[name] = self.spark.read.parquet(f"{self.base_dir}/{name}.parquet")
         return self._cache[name]
 
     def __getitem__(self, name: str) -> DataFrame:

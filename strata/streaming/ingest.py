@@ -70,13 +70,12 @@ def raw_feed_stream(spark: SparkSession, path: str, feed: str, **kw) -> DataFram
 
 
 def write_incremental(stream: DataFrame, target: str, checkpoint: str,
-                      partition_by: Sequence[str] = (), available_now: bool = True,
-                      merge_schema: bool = True):
+                      partition_by: Sequence[str] = (), available_now: bool = True):
     """Append a stream to a parquet table, resumable from ``checkpoint``.
 
     Returns the started query; with ``available_now`` it stops by itself
-    after the data present at start has been committed.  ``merge_schema``
-    is honoured on read (``read_table``), where parquet applies it.
+    after the data present at start has been committed.  A stream may have
+    columns that earlier ones lacked: ``read_table`` merges the files' schemas.
     """
     w = (stream.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).option("path", target))

@@ -86,25 +86,17 @@ def test_top_by_keeps_ties(spark):
     assert rows(out, "id", "r") == [(0, 1), (1, 1), (2, 1)]
 
 
-def test_probe_rank_equals_window_rank(spark):
-    from strata.operators.ranks import with_probe_rank
+def test_rank_among_equals_window_rank(spark):
+    from strata.operators.ranks import with_rank_among
     random.seed(13)
     data = [(i, random.choice([None, 1, 2, 2, 3, 5, 5, 8, 13])) for i in range(400)]
     df = spark.createDataFrame(data, "id int, v int")
     ref = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
-    probes = df.where("id % 3 = 0")
-    got = rows(with_probe_rank(probes, df, "v", "r"), "id", "r")
+    some = df.where("id % 3 = 0")
+    got = rows(with_rank_among(some, df, "v", "r"), "id", "r")
     assert got == rows(ref.where("id % 3 = 0"), "id", "r")
 
 
-def test_probe_rank_fallback_counts_rows(spark, monkeypatch):
-    from strata.operators import ranks
-    monkeypatch.setattr(ranks, "MAX_PROBES", 1)
-    df = spark.createDataFrame([(i, v) for i, v in enumerate([5, 5, 3, 3, 3, 1])], "id int, v int")
-    got = rows(ranks.with_probe_rank(df, df, "v", "r"), "id", "r")
-    assert got == [(0, 1), (1, 1), (2, 3), (3, 3), (4, 3), (5, 6)]
-
-
 def test_ratio_property(spark):
     from hypothesis import given, settings
     from hypothesis import strategies as st
