@@ -20,8 +20,8 @@ identifiers at its two ends, which overlap.
 The rounds go through `GRAMS`: buckets of 32-byte grams first, one row per
 segment.  Equal segments in one bucket: all but the first are repeats as a
 whole.  Segments in a bucket that still holds different ones are cut into
-shorter runs by the least 80-byte gram and dealt to buckets again, and what is
-then still mixed goes into the last round string by string.
+shorter runs by the least gram of 72 and then of 92 bytes and dealt to buckets
+again, and what is then still mixed goes into the last round string by string.
 
 Each Arrow batch of documents settles its own repeats first: of equal
 segments it sends only the earliest on, the others are repeats whatever else
@@ -30,7 +30,7 @@ batch at the shuffle.  Buckets are then read in sorted order as a stream; no
 group is held in memory.  All rounds and the final cut join the documents by
 the same keys, so Spark shuffles the texts once and reuses that exchange.
 
-Documents are known by (id, 24 bits of a hash of the text).  A null text is
+Documents are known by (id, 20 bits of a hash of the text).  A null text is
 empty; texts shorter than `length` have no repeats; a null id sorts first.
 Rows that share an id are the same document as far as "earlier" goes, so two
 equal rows of one id do not remove each other.  Identifiers are compared as
@@ -50,18 +50,20 @@ from pyspark.sql import functions as F
 from strata.llm.arrow import map_batches, pieces, text_buffers
 
 #: Gram lengths of the rounds before whole strings.
-GRAMS = (32, 80)
+GRAMS = (32, 72, 92)
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 NULL_ID = -(1 << 63)
 
 #: A row is (bucket, segment, id, place); place packs the kind of row, the
 #: text's hash bits, the start and the run length, from the top.
-START_BITS, RUN_BITS, HASH_BITS = 30, 8, 24
+START_BITS, RUN_BITS, HASH_BITS = 30, 12, 20
 SPAN_BITS = START_BITS + RUN_BITS
 KIND_AT = SPAN_BITS + HASH_BITS
 ROW = "bucket long, segment long, id long, place long"
 BUCKETED, REPEAT, MIXED = 0, 1, 2
-MAX_LENGTH = 1 << RUN_BITS
+MAX_LENGTH = 1000
+#: Neighbouring repeats are joined to runs of about this many strings.
+LONG_RUN = 3000
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -164,9 +166,27 @@ def _as(kind: int, place: np.ndarray) -> np.ndarray:
 
 
 def _repeats(ident: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    """Repeats take no part in the buckets: dealt out by their own place."""
-    spread = _mix(ident.view(np.uint64), place.view(np.uint64)).view(np.int64)
-    return _batch(spread, np.zeros(len(place), np.int64), ident, _as(REPEAT, place))
+    """Repeats take no part in the buckets: they go with their document."""
+    return _batch(ident, np.zeros(len(place), np.int64), ident, _as(REPEAT, place))
+
+
+def _joined_runs(ident: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Repeats of a batch with neighbouring runs made one."""
+    order = np.lexsort((place, ident))
+    ident, place = ident[order], place[order]
+    start, run = unpack(place)
+    text = place >> SPAN_BITS
+    new = np.ones(len(place), bool)
+    new[1:] = (ident[1:] != ident[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + run[:-1])
+    # Long joined runs are cut where they pass a multiple of LONG_RUN.
+    total = np.cumsum(run)
+    before = total - run
+    base = before[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))] if len(new) else before
+    part = (before - base) // LONG_RUN
+    new[1:] |= part[1:] != part[:-1]
+    first = np.flatnonzero(new)
+    length = np.add.reduceat(run, first) if len(first) else run
+    return ident[first], (place[first] & ~np.int64((1 << RUN_BITS) - 1)) | length
 
 
 def find_segments(length: int, gram: int, number: int) -> Callable:
@@ -196,7 +216,7 @@ def find_segments(length: int, gram: int, number: int) -> Callable:
                 columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
                 kept, repeat = _settle(*columns)
                 yield _batch(*kept)
-                yield _repeats(columns[2][repeat], columns[3][repeat])
+                yield _repeats(*_joined_runs(columns[2][repeat], columns[3][repeat]))
 
     return run
 

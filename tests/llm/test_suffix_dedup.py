@@ -95,3 +95,25 @@ def test_long_text(spark):
     docs = [(1, t), (2, t[1000:250_000]), (3, t[:500] + "Z" + t[:150_000])]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert got(sd.suffix_dedup(df, 100)) == brute(docs, 100)
+
+
+def test_joined_runs():
+    import numpy as np
+    r = random.Random(6)
+    want, ident, place = set(), [], []
+    for doc in range(5):
+        at = 0
+        for _ in range(400):
+            at += r.choice([0, 0, 0, 7])
+            n = r.randint(1, 69)
+            want.update((doc, s) for s in range(at, at + n))
+            ident.append(doc)
+            place.append(sd._pack(sd.REPEAT, np.int64(doc * 3), np.int64(at), np.int64(n)))
+            at += n
+    order = list(range(len(ident)))
+    r.shuffle(order)
+    ids, places = sd._joined_runs(np.array(ident)[order], np.array(place, np.int64)[order])
+    start, run = sd.unpack(places)
+    assert run.max() < 1 << sd.RUN_BITS and len(ids) < len(ident) / 2
+    assert {(i, s) for i, a, n in zip(ids.tolist(), start.tolist(), run.tolist()) for s in range(a, a + n)} == want
+    assert run.sum() == len(want)
