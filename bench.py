@@ -33,7 +33,7 @@ HEADLINE = [
     "gold_orders_by_weekday", "gold_product_net_revenue",
     "dq_not_null", "dq_business_rules", "dq_duplicate_keys", "dq_referential_integrity",
     "dq_quarantine",
-    "scd2_history_events", "asof_dim_join", "cdc_apply_latest", "snapshot_diff",
+    "scd2_history_events", "scd2_apply_batch", "asof_dim_join", "cdc_apply_latest", "snapshot_diff",
     "cdc_upsert_fact", "util_dedupe_first", "fact_partition_roundtrip",
     "ingest_stream_csv", "cdc_stream_apply",
 ]

@@ -527,3 +527,69 @@ ORACLE["dq_fact_build_checks"] = with_model("\nUNION ALL\n".join(
                     ("quantity_non_negative", "order_quantity >= 0"),
                     ("discount_at_most_one", "discount_rate <= 1.0"))]
     + [check_row("row_count_positive", "CASE WHEN count(*) > 0 THEN 0 ELSE 1 END", "1", "fact_sales")]))
+
+
+# ------------------------------------------------------------------ versioned model
+def _history_of(name: str, key: str, feed: str, tracked: list[str]) -> dict[str, str]:
+    """CTEs of the type-2 history of one change feed (key, tracked, changed_at, gone)."""
+    h = hash_of(tracked)
+    return {
+        f"{name}_feed": feed,
+        f"{name}_changes": f"""
+  SELECT *, CASE WHEN gone THEN '__deleted__' ELSE {h} END AS _change_hash FROM {name}_feed
+  QUALIFY lag(CASE WHEN gone THEN '__deleted__' ELSE {h} END) OVER (PARTITION BY {key} ORDER BY changed_at)
+          IS DISTINCT FROM CASE WHEN gone THEN '__deleted__' ELSE {h} END""",
+        f"{name}_history": f"""
+  SELECT * EXCLUDE (gone, changed_at, nxt), changed_at AS _effective_date, nxt AS _end_date, nxt IS NULL AS _is_current,
+         {sk([key, 'changed_at'])} AS version_sk
+  FROM (SELECT *, lead(changed_at) OVER (PARTITION BY {key} ORDER BY changed_at) AS nxt FROM {name}_changes) WHERE NOT gone""",
+    }
+
+
+_T1, _T2, _T3 = (f"TIMESTAMP '{y}-01-01 00:00:00'" for y in (1996, 1998, 2000))
+_CUSTOMERS = _history_of("cust", "customerid", f"""
+  SELECT customerid, companyname, contacttitle, country, {_T1} AS changed_at, FALSE AS gone FROM customers_clean
+  UNION ALL SELECT customerid, companyname, contacttitle || ' II', country, {_T2}, FALSE FROM customers_clean
+            WHERE CAST(customerid AS BIGINT) % 3 = 0
+  UNION ALL SELECT customerid, companyname, contacttitle, country, {_T3}, TRUE FROM customers_clean
+            WHERE CAST(customerid AS BIGINT) % 11 = 0""", ["companyname", "contacttitle", "country"])
+_PRODUCTS = _history_of("prod", "productid", f"""
+  SELECT productid, productname, unitprice, discontinued, {_T1} AS changed_at, FALSE AS gone FROM products_clean
+  UNION ALL SELECT productid, productname, CASE WHEN productid % 4 = 0 THEN CAST(unitprice + 10 AS DECIMAL(10,2)) ELSE unitprice END,
+            discontinued, {_T2}, FALSE FROM products_clean WHERE productid % 2 = 0
+  UNION ALL SELECT productid, productname, unitprice, discontinued, {_T3}, TRUE FROM products_clean WHERE productid % 13 = 0""",
+                        ["productname", "unitprice", "discontinued"])
+ORACLE["dim_customers_history"] = with_model(
+    "SELECT * RENAME (customerid AS customer_id) FROM cust_history", **_CUSTOMERS)
+ORACLE["dim_products_history"] = with_model(
+    "SELECT * RENAME (productid AS product_id) FROM prod_history", **_PRODUCTS)
+ORACLE["fact_sales_versioned"] = with_model("""
+SELECT f.orderid, f.product_id, f.customer_id, f.order_date, f.line_total,
+       c.version_sk AS customer_version_sk, c.contacttitle AS customer_contacttitle,
+       p.version_sk AS product_version_sk, p.unitprice AS product_unitprice
+FROM fact_sales f
+LEFT JOIN cust_history c ON c.customerid = f.customer_id AND c._effective_date <= f.order_date
+     AND (c._end_date IS NULL OR f.order_date < c._end_date)
+LEFT JOIN prod_history p ON p.productid = f.product_id AND p._effective_date <= f.order_date
+     AND (p._end_date IS NULL OR f.order_date < p._end_date)""", **_CUSTOMERS, **_PRODUCTS)
+
+# ------------------------------------------------------------------ changes in the stored fact
+ORACLE["fact_upsert_stored"] = with_model("""
+SELECT f.* FROM fact_sales f
+WHERE NOT EXISTS (SELECT 1 FROM fact_last l WHERE l.orderid = f.orderid AND l.product_id = f.product_id)
+UNION ALL SELECT l.* FROM fact_last l""", order_details_last=_LAST_DETAILS, fact_last=_FACT_LAST)
+ORACLE["fact_soft_delete_stored"] = with_model("""
+SELECT f.* REPLACE (f.orderid IN (SELECT o_orderkey FROM orders GROUP BY o_orderkey
+                                  HAVING bool_and(o_orderstatus = 'P')) AS _is_deleted) FROM fact_sales f""")
+ORACLE["cdc_delete_feed"] = (
+    "WITH t AS (" + _state() + ")\n" + """
+SELECT t.user_id, t.event_id, t.ts, t.event_type, t.value,
+       EXISTS (SELECT 1 FROM events e WHERE e.user_id = t.user_id AND e.event_type = 'error') AS _is_deleted
+FROM t""")
+ORACLE["dq_quarantine_split"] = with_model(
+    f"SELECT orderid, {_QF} AS _dq_failures, CASE WHEN {_QF} = '' THEN 'good' ELSE 'bad' END AS _part FROM orders_clean")
+ORACLE["ingest_schema_evolution"] = (
+    "SELECT * REPLACE (CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN value END AS value) FROM events")
+ORACLE["fact_saved_with_statistics"] = with_model("""
+SELECT CAST(year(order_date) AS INT) AS order_year, count(*) AS lines, count(DISTINCT orderid) AS orders,
+       CAST(sum(line_total) AS DECIMAL(28,2)) AS sales FROM fact_sales GROUP BY 1""")

@@ -35,7 +35,7 @@ class CleanSpec:
     casts: Mapping[str, str] = field(default_factory=dict)
     fills: Mapping[str, object] = field(default_factory=dict)
     trim: bool = True
-    derive: Callable[[DataFrame], DataFrame] | None = None
+    derive: Callable[[DataFrame, str], DataFrame] | None = None
 
 
 MONEY = "decimal(12,2)"
@@ -130,11 +130,11 @@ INGEST_COL = "ingestion_timestamp"
 
 
 def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = False,
-          keep: str = "first") -> DataFrame:
+          keep: str = "first", money: str = MONEY) -> DataFrame:
     """Run the cleaning chain on one raw feed.
 
     ``keep="last"`` keeps the last row of a key instead (the last re-sent
-    version of a record)."""
+    version of a record).  ``money`` is the type of derived amounts."""
     ops.validate_required_columns(raw, spec.required)
     df = ops.standardize_columns(raw)
     if spec.trim:
@@ -145,10 +145,10 @@ def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = Fals
     order = [f"-{INGEST_COL}"] if INGEST_COL in df.columns else []
     df = remove_duplicates(df, subset=spec.key, keep=keep, order_by=order)
     if spec.derive is not None:
-        df = spec.derive(df)
+        df = spec.derive(df, money)
     df = ops.add_audit_columns(df, source=spec.source_tag, as_of=as_of)
     return ops.create_hash_column(df, spec.hash_columns)
 
 
-def clean_table(raw: DataFrame, feed: str, as_of=None, keep: str = "first") -> DataFrame:
-    return clean(raw, SPECS[feed], as_of=as_of, keep=keep)
+def clean_table(raw: DataFrame, feed: str, as_of=None, keep: str = "first", money: str = MONEY) -> DataFrame:
+    return clean(raw, SPECS[feed], as_of=as_of, keep=keep, money=money)

@@ -33,12 +33,15 @@ class BucketStore:
     """Versioned tables under one folder, keyed by the same columns.
 
     `n_buckets` counts only when the store is made; later it is read from the
-    manifest.  It should put a few hundred MB of rows in each bucket.
+    manifest.  It should put a few hundred MB of rows in each bucket.  With
+    `bucket`, rows are dealt by that whole-number expression instead (the
+    months of a fact, say), whose values must be few enough to list.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], n_buckets: int = DEFAULT_BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], n_buckets: int = DEFAULT_BUCKETS,
+                 bucket: Column | None = None):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self._wanted = n_buckets
+        self._wanted, self._bucket = n_buckets, bucket
         self._known: dict | None = None
 
     # -- manifests
@@ -80,17 +83,18 @@ class BucketStore:
 
     # -- reading
 
-    def with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, bucket_of(self.keys, self.n_buckets))
+    def bucket(self) -> Column:
+        return bucket_of(self.keys, self.n_buckets) if self._bucket is None else self._bucket
 
     def touched(self, batch: DataFrame) -> list[int]:
         """Buckets of a batch's keys: at most `n_buckets` small numbers."""
-        return sorted(r[0] for r in batch.select(bucket_of(self.keys, self.n_buckets)).distinct().collect())
+        return sorted(r[0] for r in batch.select(self.bucket()).distinct().collect())
 
     def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame | None:
         """Rows of a table (of some buckets only), or None if there are none.
 
-        Only the named buckets' folders are listed and scanned.
+        Only the named buckets' folders are listed and scanned.  With a bucket
+        expression of the store's own, the bucket is a column of the result.
         """
         m = self.manifest()
         held = (m or {"tables": {}})["tables"].get(table, {})
@@ -99,7 +103,9 @@ class BucketStore:
         parts = [f"{self.path}/data/{commit}/{table}/{BUCKET}={b}" for b, commit in sorted(held.items())]
         if not parts:
             return None
-        return self.spark.read.parquet(*parts)
+        if self._bucket is None:
+            return self.spark.read.parquet(*parts)
+        return self.spark.read.parquet(*parts).withColumn(BUCKET, self._bucket)
 
     # -- writing
 
@@ -117,7 +123,7 @@ class BucketStore:
         placed = {}
         for name, df in tables.items():
             out = f"{self.path}/data/{commit}/{name}"
-            (df.withColumn(BUCKET, bucket_of(self.keys, old["n_buckets"])).hint("rebalance", BUCKET)
+            (df.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET)
              .write.partitionBy(BUCKET).parquet(out))
             written = {n.split("=")[1] for n in self._children(out) if n.startswith(f"{BUCKET}=")}
             held = {b: c for b, c in old["tables"].get(name, {}).items() if int(b) not in set(touched)}

@@ -279,6 +279,7 @@ def q_dq_quarantine(spark, base):
 
 # ---------------------------------------------------------------- history and CDC
 import datetime as _dt  # noqa: E402
+import uuid as _uuid  # noqa: E402
 
 from strata.functions import hashing  # noqa: E402
 from strata.operators import cdc  # noqa: E402
@@ -499,3 +500,110 @@ def q_fact_partition_roundtrip(spark, base):
 def q_dq_fact_build_checks(spark, base):
     """Rule results observed while the stored fact was written."""
     return Warehouse(spark, base).quality("fact_sales")
+
+
+# ---------------------------------------------------------------- versioned model
+from strata.plans import stored_fact, versions  # noqa: E402
+
+
+@register("dim_customers_history")
+def q_dim_customers_history(spark, base):
+    return versions.dim_customers_history(Warehouse(spark, base).clean("customers"))
+
+
+@register("dim_products_history")
+def q_dim_products_history(spark, base):
+    return versions.dim_products_history(Warehouse(spark, base).clean("products"))
+
+
+@register("fact_sales_versioned")
+def q_fact_sales_versioned(spark, base):
+    L = Warehouse(spark, base)
+    return versions.fact_sales_versioned(
+        L.fact_sales, versions.dim_customers_history(L.clean("customers")),
+        versions.dim_products_history(L.clean("products")))
+
+
+# ---------------------------------------------------------------- changes in the stored fact
+def _stored_fact(spark, base, name):
+    L = Warehouse(spark, base)
+    store = stored_fact.fact_store(spark, scratch_path(spark, name))
+    stored_fact.create(store, L.fact_sales.drop(*storage.PARTITION_COLUMNS))
+    return L, store
+
+
+def _read_fact(store):
+    return _stable(store.read(stored_fact.TABLE).drop("_bucket"))
+
+
+@register("fact_upsert_stored")
+def q_fact_upsert_stored(spark, base):
+    """Re-sent order lines written into the stored fact, month by month that
+    they touch, and the whole fact read back."""
+    L, store = _stored_fact(spark, base, "fact-upsert")
+    stored_fact.upsert(store, dimplans.fact_sales(L.clean("order_details", keep="last"), L.clean("orders")))
+    return _read_fact(store)
+
+
+@register("fact_soft_delete_stored")
+def q_fact_soft_delete_stored(spark, base):
+    """Lines of orders that a snapshot of closed orders lacks are flagged in
+    the stored fact; the whole fact is read back."""
+    L, store = _stored_fact(spark, base, "fact-delete")
+    closed = Tables(spark, base).orders.where("o_orderstatus != 'P'") \
+        .select(F.col("o_orderkey").cast("bigint").alias("orderid"))
+    stored_fact.soft_delete(store, closed, ["orderid"])
+    return _read_fact(store)
+
+
+@register("cdc_delete_feed")
+def q_cdc_delete_feed(spark, base):
+    ev = Tables(spark, base).events
+    feed = ev.select("user_id", F.when(F.col("event_type") == "error", "D").otherwise("U").alias("op"))
+    return cdc.apply_delete_feed(_event_state(ev).drop("_change_hash"), feed, EVENT_KEYS)
+
+
+@register("dq_quarantine_split")
+def q_dq_quarantine_split(spark, base):
+    """Good and bad orders written to tables of their own and read back."""
+    o = Warehouse(spark, base).clean("orders").select("orderid", "orderdate", "requireddate", "shippeddate", "freight")
+    parts = dq.quarantine(o, [dq.rule(n, p) for n, p in QUARANTINE_RULES])
+    out = None
+    for name, df in zip(("good", "bad"), parts):
+        path = scratch_path(spark, f"orders-{name}")
+        df.write.parquet(path)
+        back = spark.read.parquet(path)
+        if name == "good":
+            back = back.withColumn("_dq_failures", F.lit(""))
+        back = back.select("orderid", "_dq_failures", F.lit(name).alias("_part"))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@register("ingest_schema_evolution")
+def q_ingest_schema_evolution(spark, base):
+    """Two ingests into one table, the second with a column more."""
+    ev = Tables(spark, base).events
+    target = scratch_path(spark, "bronze-evolving")
+    early = F.coalesce(F.col("ts") < F.lit(SNAPSHOT_CUT), F.lit(True))
+    for number, (where, drop) in enumerate(((early, ["value"]), (~early, []))):
+        src, ckpt = scratch_path(spark, f"evolving-csv-{number}"), scratch_path(spark, f"ckpt-evolving-{number}")
+        part = ev.where(where).drop(*drop)
+        ingest.write_csv_files(part, src)
+        columns = [c for c in EVENT_SCHEMA.split(", ") if c.split()[0] not in drop]
+        stream = ingest.stamp(ingest.csv_stream(spark, src, ", ".join(columns)))
+        ingest.run_to_end(ingest.write_incremental(stream, f"{target}/load={number}", ckpt))
+    return ingest.read_table(spark, target).drop("ingestion_timestamp", "load")
+
+
+@register("fact_saved_with_statistics")
+def q_fact_saved_with_statistics(spark, base):
+    """The fact saved as a catalog table with ANALYZE; rows and distinct
+    orders of the table by year."""
+    name = f"strata_fact_{_uuid.uuid4().hex[:8]}"
+    fact = Warehouse(spark, base).fact_sales.select("orderid", "line_total", "order_year")
+    storage.save_table(spark, fact, name, scratch_path(spark, "fact-table"), partition_by=["order_year"],
+                       analyze_columns=["orderid"])
+    return spark.read.table(name).groupBy("order_year").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("orderid").alias("orders"),
+        F.sum("line_total").cast("decimal(28,2)").alias("sales"))
