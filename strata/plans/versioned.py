@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,23 +29,13 @@ def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
-class BucketStore:
-    """Versioned tables under one folder, keyed by the same columns.
+class Manifests:
+    """Numbered manifests of a folder; one counts when its writing has ended."""
 
-    `n_buckets` counts only when the store is made; later it is read from the
-    manifest.  It should put a few hundred MB of rows in each bucket.  With
-    `bucket`, rows are dealt by that whole-number expression instead (the
-    months of a fact, say), whose values must be few enough to list.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], n_buckets: int = DEFAULT_BUCKETS,
-                 bucket: Column | None = None):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self._wanted, self._bucket = n_buckets, bucket
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
         self._known: dict | None = None
 
-    # -- manifests
-
     def _fs(self, path: str):
         sc = self.spark.sparkContext
         p = sc._jvm.org.apache.hadoop.fs.Path(path)
@@ -62,10 +52,10 @@ class BucketStore:
                       if n.isdigit() and "_SUCCESS" in self._children(f"{top}/{n}"))
 
     def manifest(self) -> dict | None:
-        """The newest complete manifest, or None for a store not yet made.
+        """The newest complete manifest, or None for a folder without one.
 
-        It is read once; a store object sees other writers' later commits
-        only after one of its own.
+        It is read once; an object sees other writers' later commits only
+        after one of its own.
         """
         if self._known is None:
             done = self._complete()
@@ -76,6 +66,43 @@ class BucketStore:
         row = self.spark.read.option("wholetext", True).text(f"{self.path}/manifests/{number}").first()
         return json.loads(row[0])
 
+    def _mark(self, manifest: dict, done: list[int]) -> None:
+        """The last step of a commit: its manifest, complete with `_SUCCESS`."""
+        number = (done[-1] + 1) if done else 0
+        (self.spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1)
+         .write.mode("overwrite").text(f"{self.path}/manifests/{number}"))
+        self._known = None
+
+
+class VersionedTable(Manifests):
+    """One table that is replaced as a whole: new files, then the manifest."""
+
+    def replace(self, write: Callable[[str], None]) -> None:
+        """`write` fills the folder it is given."""
+        folder = uuid.uuid4().hex[:12]
+        write(f"{self.path}/data/{folder}")
+        self._mark({"folder": folder}, self._complete())
+
+    def folder(self) -> str | None:
+        """Folder of the current version, or None before the first."""
+        m = self.manifest()
+        return f"{self.path}/data/{m['folder']}" if m else None
+
+
+class BucketStore(Manifests):
+    """Versioned tables under one folder, keyed by the same columns.
+
+    `n_buckets` counts only when the store is made; later it is read from the
+    manifest.  It should put a few hundred MB of rows in each bucket.  With
+    `bucket`, rows are dealt by that whole-number expression instead (the
+    months of a fact, say), whose values must be few enough to list.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], n_buckets: int = DEFAULT_BUCKETS,
+                 bucket: Column | None = None):
+        super().__init__(spark, path)
+        self.keys, self._wanted, self._bucket = list(keys), n_buckets, bucket
+
     @property
     def n_buckets(self) -> int:
         m = self.manifest()
@@ -131,13 +158,6 @@ class BucketStore:
         self._mark({"n_buckets": old["n_buckets"], "batch_id": batch_id,
                     "tables": {**old["tables"], **placed}}, done)
 
-    def _mark(self, manifest: dict, done: list[int]) -> None:
-        """The last step of a commit: its manifest, complete with `_SUCCESS`."""
-        number = (done[-1] + 1) if done else 0
-        (self.spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1)
-         .write.mode("overwrite").text(f"{self.path}/manifests/{number}"))
-        self._known = None
-
     def has_applied(self, batch_id: int) -> bool:
         """Whether a batch with this or a later number is in the store."""
         m = self.manifest()

@@ -4,27 +4,33 @@ Layers talk through stored tables: dimensions and fact are built from the
 stored clean tables, and the marts and quality checks read stored tables
 instead of recomputing cleaning, deduplication and the fact join for every
 report.  The fact is partitioned by order year/month.  The store lives in
-the session's shared checkpoint folder, under a key derived from the input
-tables' location, size and modification time, so a change of the inputs
-builds a fresh store.  A table is written to a temporary folder and renamed
-into place when complete; readers only see finished tables, and a lost
-executor during a build simply reruns the failed tasks.
+the session's shared checkpoint folder, under a key of the input files (path,
+size, modification time) and of the code that builds the tables, so a change
+of either builds a fresh store.  A table is a versioned folder: new files
+first, then a manifest that names them (``plans.versioned``), with no renames;
+a build that stopped half-way is never read.
+
+Asking for a stored table that is not there builds it, which runs jobs while
+the caller's DataFrame is being made; ``build_all`` does that ahead of time.
 """
 
 from __future__ import annotations
 
 import hashlib
+import inspect
 import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators import quality
-from strata.plans import storage
+from strata.functions import hashing
+from strata.operators import columns, dedupe, quality
+from strata.plans import clean, dims, storage
 from strata.plans.layers import Layers
+from strata.plans.versioned import VersionedTable
 from strata.session import shared_dir
-
-from strata.sources.feeds import FEEDS  # noqa: E402
+from strata.sources import feeds
+from strata.sources.feeds import FEEDS
 
 CLEAN_STORED = tuple(f"{feed}_clean" for feed in FEEDS)
 MODEL_STORED = ("dim_customers", "dim_products", "dim_employees", "dim_shippers", "dim_dates",
@@ -46,28 +52,29 @@ BUILD_CHECKS = {
 INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+#: Modules whose code decides what the stored tables hold.
+BUILDERS = (clean, dims, storage, feeds, columns, dedupe, hashing)
 
 
-def _exists(spark, path: str) -> bool:
-    fs, jvm = _fs(spark, path)
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path))
+def plan_version() -> str:
+    """Hash of the code the stored tables are built by."""
+    return hashlib.sha1("".join(inspect.getsource(m) for m in BUILDERS).encode()).hexdigest()[:8]
 
 
 def input_signature(spark: SparkSession, base_dir: str) -> str:
-    """Hash of (path, bytes, files, modification time) of every input."""
+    """Hash of (path, bytes, modification time) of every input file."""
     parts = [base_dir]
+    sc = spark.sparkContext
     for name in INPUTS:
-        path = f"{base_dir.rstrip('/')}/{name}.parquet"
-        fs, jvm = _fs(spark, path)
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = sc._jvm.org.apache.hadoop.fs.Path(f"{base_dir.rstrip('/')}/{name}.parquet")
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
         if fs.exists(p):
-            cs = fs.getContentSummary(p)
-            parts.append(f"{name}:{cs.getLength()}:{cs.getFileCount()}:"
-                         f"{fs.getFileStatus(p).getModificationTime()}")
+            files = fs.listFiles(p, True)
+            found = []
+            while files.hasNext():
+                f = files.next()
+                found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+            parts += sorted(found)
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -77,10 +84,10 @@ class Warehouse(Layers):
     def __init__(self, spark: SparkSession, base_dir: str, root: str | None = None):
         super().__init__(spark, base_dir)
         self.root = root or (f"{shared_dir(spark)}/strata/warehouse/"
-                             f"{input_signature(spark, base_dir)}")
+                             f"{input_signature(spark, base_dir)}-{plan_version()}")
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    def table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.root}/{name}")
 
     def _computed(self, name: str) -> DataFrame:
         if name in CLEAN_STORED:
@@ -94,31 +101,28 @@ class Warehouse(Layers):
             return Layers.clean(self, feed, keep)
         return self._stored(f"{feed}_clean")
 
-    def build(self, name: str, force: bool = False) -> None:
-        final = self.path(name)
-        if not force and _exists(self.spark, f"{final}/_SUCCESS"):
-            return
-        tmp = f"{final}.tmp-{uuid.uuid4().hex[:12]}"
+    def build(self, name: str, force: bool = False) -> str:
+        """Folder of the stored table, which is built if it is not there."""
+        table = self.table(name)
+        if not force and (folder := table.folder()):
+            return folder
         df = self._computed(name)
         checks = BUILD_CHECKS[name]() if name in BUILD_CHECKS else None
         if checks:
             df, obs = quality.observe(df, checks, f"build_{name}_{uuid.uuid4().hex[:6]}")
-        if name == "fact_sales":
-            storage.write_fact(df, tmp)
-        else:
-            df.write.mode("overwrite").parquet(tmp)
-        if checks:
-            results = quality.observed_results(obs, checks)
-            (self.spark.createDataFrame(results, quality.RESULT_SCHEMA).coalesce(1)
-             .write.mode("overwrite").parquet(f"{tmp}/_quality"))
-        fs, jvm = _fs(self.spark, final)
-        dst, src = jvm.org.apache.hadoop.fs.Path(final), jvm.org.apache.hadoop.fs.Path(tmp)
-        if fs.exists(dst):
-            if not force:          # another session finished first: keep its copy
-                fs.delete(src, True)
-                return
-            fs.delete(dst, True)
-        fs.rename(src, dst)
+
+        def write(folder: str) -> None:
+            if name == "fact_sales":
+                storage.write_fact(df, folder)
+            else:
+                df.write.parquet(folder)
+            if checks:
+                results = quality.observed_results(obs, checks)
+                (self.spark.createDataFrame(results, quality.RESULT_SCHEMA).coalesce(1)
+                 .write.mode("overwrite").parquet(f"{folder}/_quality"))
+
+        table.replace(write)
+        return table.folder()
 
     def build_all(self, force: bool = False, parallel: bool = True) -> None:
         """Build every stored table: the clean layer, then dimensions and
@@ -135,18 +139,13 @@ class Warehouse(Layers):
                     f.result()
 
     def _stored(self, name: str) -> DataFrame:
-        self.build(name)
         # the fact keeps its partition columns (order_year, order_month) so
         # callers filtering on them read only the matching folders
-        return self.spark.read.parquet(self.path(name))
+        return self.spark.read.parquet(self.build(name))
 
     def quality(self, name: str) -> DataFrame:
         """Check results recorded while ``name`` was written."""
-        self.build(name)
-        path = f"{self.path(name)}/_quality"
-        if not _exists(self.spark, path):  # stored by a build without checks
-            return quality.evaluate(self._stored(name), BUILD_CHECKS[name]())
-        return self.spark.read.parquet(path)
+        return self.spark.read.parquet(f"{self.build(name)}/_quality")
 
     @cached_property
     def dim_customers(self) -> DataFrame:

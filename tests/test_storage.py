@@ -58,3 +58,30 @@ def test_store_key_follows_the_inputs(spark, tmp_path):
     assert before != after
     w = Warehouse(spark, str(base))
     assert w.fact_sales.count() == Layers(spark, str(base)).fact_sales.count()
+
+
+def test_new_code_gets_a_new_store_and_a_stopped_build_is_not_seen(spark, monkeypatch):
+    import pytest
+
+    from strata.plans import warehouse
+    from strata.plans.versioned import VersionedTable
+    from strata.session import scratch_path
+    small = "/root/testdata/sf0.001"
+    first = warehouse.Warehouse(spark, small).root
+    monkeypatch.setattr(warehouse, "plan_version", lambda: "other")
+    assert warehouse.Warehouse(spark, small).root != first
+
+    store = warehouse.Warehouse(spark, small, root=scratch_path(spark, "warehouse"))
+
+    def stop(self, manifest, done):
+        raise OSError("stopped before the manifest")
+
+    with monkeypatch.context() as m:
+        m.setattr(VersionedTable, "_mark", stop)
+        with pytest.raises(OSError):
+            store.build("shippers_clean")
+    assert store.table("shippers_clean").folder() is None
+    built = store.build("shippers_clean")
+    assert store.build("shippers_clean") == built
+    assert spark.read.parquet(built).count() == store.clean("shippers").count()
+    assert store.build("shippers_clean", force=True) != built
