@@ -124,7 +124,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[np.ndarray], swapped: list[np.ndarray | None], labels: np.ndarray, penalty: float = 1.0,
-        ridge: float = 1e-3, rounds: int = 400) -> Model:
+        ridge: float = 1e-4, rounds: int = 400) -> Model:
     """Weights from the places of each text, of its swapped form (or None), and labels."""
     y = np.asarray(labels, np.float64)
     weights = np.zeros(1 << BITS, np.float32)
