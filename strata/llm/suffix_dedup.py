@@ -318,7 +318,10 @@ def repeated_runs(keyed: DataFrame, text_col: str, length: int) -> DataFrame:
         if not last:
             mixed = _by_text(read.where(F.col("kind") == MIXED))
             # Whole rows, so that this join's exchange is that of the final one.
-            rows = keyed.join(mixed, ["id", "tag"]).select("id", "tag", "row", "places")
+            # In order, so a task that runs again after a lost executor deals the
+            # same batches: what a batch settles by itself depends on its rows.
+            rows = (keyed.join(mixed, ["id", "tag"]).select("id", "tag", "row", F.sort_array("places").alias("places"))
+                    .sortWithinPartitions("id", "tag"))
     return _by_text(found)
 
 
