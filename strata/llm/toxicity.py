@@ -131,10 +131,12 @@ def fit(rows: list[np.ndarray], swapped: list[np.ndarray | None], labels: np.nda
     if len(y) == 0 or y.min() == y.max():
         share = y.mean() if len(y) else 0.0
         return Model(weights, 40.0 if share == 1 else -40.0)
-    size = np.array([len(r) for r in rows])
-    owner, place = np.repeat(np.arange(len(rows)), size), np.concatenate(rows)
-    ones = np.bincount(place[y[owner] == 1], minlength=1 << BITS)
-    zeros = np.bincount(place[y[owner] == 0], minlength=1 << BITS)
+    counts = np.zeros((2, 1 << BITS))
+    for label in (0, 1):
+        mine = np.flatnonzero(y == label)
+        for i in range(0, len(mine), 256):  # a few texts at a time
+            counts[label] += np.bincount(np.concatenate([rows[k] for k in mine[i:i + 256]]), minlength=1 << BITS)
+    zeros, ones = counts
     n1, n0 = y.sum(), (1 - y).sum()
     pooled = (ones + zeros + 1) / len(y)
     z = (ones / n1 - zeros / n0) / np.sqrt(pooled * np.maximum(1 - pooled, 1 / len(y)) * (1 / n1 + 1 / n0))
@@ -143,9 +145,10 @@ def fit(rows: list[np.ndarray], swapped: list[np.ndarray | None], labels: np.nda
     number[kept] = np.arange(len(kept))
 
     def sparse(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        own = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        at = number[np.concatenate(texts)] if texts else np.zeros(0, np.int64)
-        return own[at >= 0], at[at >= 0]
+        at = [number[t] for t in texts]
+        at = [a[a >= 0] for a in at]
+        own = np.repeat(np.arange(len(at)), [len(a) for a in at])
+        return own, np.concatenate(at) if at else np.zeros(0, np.int64)
 
     x_row, x_col = sparse(rows)
     pairs = [(r, s) for r, s in zip(rows, swapped) if s is not None]
@@ -189,14 +192,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
             other = [swap_identity(t) for t in texts]
-            kind = pa.list_(pa.int32())
+            pack = lambda t: None if t is None else _places(t).astype("<i4").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([_places(t) for t in texts], kind),
-                 pa.array([None if t is None else _places(t) for t in other], kind)], names=["y", "places", "swapped"])
-
-    got = map_batches(sample.select("y", "text"), run, "y int, places array<int>, swapped array<int>").toPandas()
-    return fit([np.asarray(x, np.int64) for x in got["places"]],
-               [None if x is None else np.asarray(x, np.int64) for x in got["swapped"]], got["y"].to_numpy(), penalty)
+                [batch.column(0), pa.array([pack(t) for t in texts], pa.binary()),
+                 pa.array([pack(t) for t in other], pa.binary())], names=["y", "places", "swapped"])
+
+    rows, swapped, y = [], [], []
+    for r in map_batches(sample.select("y", "text"), run, "y int, places binary, swapped binary").toLocalIterator():
+        y.append(r.y)
+        rows.append(np.frombuffer(bytes(r.places), "<i4"))
+        swapped.append(None if r.swapped is None else np.frombuffer(bytes(r.swapped), "<i4"))
+    return fit(rows, swapped, np.array(y), penalty)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
