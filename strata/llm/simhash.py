@@ -196,6 +196,10 @@ def simhash_dedup(docs: DataFrame, max_distance: int = 3, shingle_words: int = 3
     groups = _grouped(docs, max_distance, shingle_words, id_col, text_col)
     keep = materialize(groups.groupBy("root").agg(F.min(F.struct("id", "text_hash")).alias("k"))
                        .select("k.id", "k.text_hash"), docs.sparkSession)
+    # One struct as key (its nulls are equal): the join's exchange also serves
+    # the last step, so the texts are shuffled once.
+    kind = dict(docs.dtypes)[id_col]
+    key = F.struct("id", "text_hash").cast(f"struct<id:{kind},text_hash:bigint>").alias("key")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"))
-    same = [rows["id"].eqNullSafe(keep["id"]), rows["text_hash"] == keep["text_hash"]]
-    return rows.join(keep, same, "left_semi").dropDuplicates(["id", "text_hash"]).select("row.*")
+    return (rows.select("row", key).join(keep.select(key), "key", "left_semi")
+            .dropDuplicates(["key"]).select("row.*"))
