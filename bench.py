@@ -16,6 +16,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -60,6 +61,8 @@ def main(argv):
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "16g")
+             # one process on one machine, so a local folder is shared by all
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-bench-"))
              .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

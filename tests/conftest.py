@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-tests-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     shared_dir(s)

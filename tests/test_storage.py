@@ -85,3 +85,21 @@ def test_new_code_gets_a_new_store_and_a_stopped_build_is_not_seen(spark, monkey
     assert store.build("shippers_clean") == built
     assert spark.read.parquet(built).count() == store.clean("shippers").count()
     assert store.build("shippers_clean", force=True) != built
+
+
+def test_no_shared_folder_is_an_error_on_a_cluster():
+    import types
+
+    import pytest
+
+    from strata import session
+
+    def fake(master):
+        sc = types.SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None)
+        conf = types.SimpleNamespace(get=lambda k, d=None: d, set=lambda k, v: None)
+        return types.SimpleNamespace(sparkContext=sc, conf=conf)
+
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        with pytest.raises(session.NoSharedFolder):
+            session.shared_dir(fake(master))
+    assert session.shared_dir(fake("local[2]"))
