@@ -30,7 +30,8 @@ batch at the shuffle.  Buckets are then read in sorted order as a stream; no
 group is held in memory.  All rounds and the final cut join the documents by
 the same keys, so Spark shuffles the texts once and reuses that exchange.
 
-Documents are known by (id, 20 bits of a hash of the text).  A null text is
+Documents are known by (id, 64-bit hash of the text), so any number of rows may
+share an id, as all null ids do.  A null text is
 empty; texts shorter than `length` have no repeats; a null id sorts first.
 Rows that share an id are the same document as far as "earlier" goes, so two
 equal rows of one id do not remove each other.  Identifiers are compared as
@@ -54,12 +55,13 @@ GRAMS = (32, 72, 92)
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 NULL_ID = -(1 << 63)
 
-#: A row is (bucket, segment, id, place); place packs the kind of row, the
-#: text's hash bits, the start and the run length, from the top.
+#: A row is (bucket, segment, id, tag, place); tag is the text's hash, place
+#: packs the kind of row, `HASH_BITS` spare bits, the start and the run length,
+#: from the top.
 START_BITS, RUN_BITS, HASH_BITS = 30, 12, 20
 SPAN_BITS = START_BITS + RUN_BITS
 KIND_AT = SPAN_BITS + HASH_BITS
-ROW = "bucket long, segment long, id long, place long"
+ROW = "bucket long, segment long, id long, tag long, place long"
 BUCKETED, REPEAT, MIXED = 0, 1, 2
 MAX_LENGTH = 1000
 #: Neighbouring repeats are joined to runs of about this many strings.
@@ -112,8 +114,8 @@ def _starts(offsets: np.ndarray, length: int) -> np.ndarray:
     return np.flatnonzero(ok)
 
 
-def _pack(kind: int, tag: np.ndarray, start: np.ndarray, run: np.ndarray) -> np.ndarray:
-    return (np.int64(kind) << KIND_AT) | (tag << SPAN_BITS) | (start << RUN_BITS) | run
+def _pack(kind: int, spare: np.ndarray | int, start: np.ndarray, run: np.ndarray) -> np.ndarray:
+    return (np.int64(kind) << KIND_AT) | (spare << SPAN_BITS) | (start << RUN_BITS) | run
 
 
 def unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,7 +143,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, at:
     return (row, lo - offsets[row], hi - lo + 1, grams[least[first]].view(np.int64), ident.view(np.int64))
 
 
-def _settle(bucket, segment, ident, place) -> tuple[list[np.ndarray], np.ndarray]:
+def _settle(bucket, segment, ident, tag, place) -> tuple[list[np.ndarray], np.ndarray]:
     """Of rows with equal (bucket, segment): the earliest, and the numbers of the rest."""
     span = place & ((1 << SPAN_BITS) - 1)
     order = np.lexsort((span, ident, segment, bucket))
@@ -153,31 +155,33 @@ def _settle(bucket, segment, ident, place) -> tuple[list[np.ndarray], np.ndarray
     head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     repeat = ~new & ((i != i[head]) | (start != start[head]))
     keep = order[~repeat]
-    return [bucket[keep], segment[keep], ident[keep], place[keep]], order[repeat]
+    return [x[keep] for x in (bucket, segment, ident, tag, place)], order[repeat]
 
 
-def _batch(bucket, segment, ident, place) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (bucket, segment, ident, place)],
-                                      names=["bucket", "segment", "id", "place"])
+def _batch(bucket, segment, ident, tag, place) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (bucket, segment, ident, tag, place)],
+                                      names=["bucket", "segment", "id", "tag", "place"])
 
 
 def _as(kind: int, place: np.ndarray) -> np.ndarray:
     return (place & ((1 << KIND_AT) - 1)) | (np.int64(kind) << KIND_AT)
 
 
-def _repeats(ident: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+def _repeats(ident: np.ndarray, place: np.ndarray, tag: np.ndarray) -> pa.RecordBatch:
     """Repeats take no part in the buckets: they go with their document."""
-    return _batch(ident, np.zeros(len(place), np.int64), ident, _as(REPEAT, place))
+    return _batch(ident, np.zeros(len(place), np.int64), ident, tag, _as(REPEAT, place))
 
 
-def _joined_runs(ident: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Repeats of a batch with neighbouring runs made one."""
-    order = np.lexsort((place, ident))
-    ident, place = ident[order], place[order]
+def _joined_runs(ident: np.ndarray, place: np.ndarray, *tag: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Repeats of a batch with neighbouring runs of a text made one."""
+    order = np.lexsort((place, *tag, ident))
+    ident, place, *tag = (x[order] for x in (ident, place, *tag))
     start, run = unpack(place)
     text = place >> SPAN_BITS
     new = np.ones(len(place), bool)
     new[1:] = (ident[1:] != ident[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + run[:-1])
+    for x in tag:
+        new[1:] |= x[1:] != x[:-1]
     # Long joined runs are cut where they pass a multiple of LONG_RUN.
     total = np.cumsum(run)
     before = total - run
@@ -186,7 +190,7 @@ def _joined_runs(ident: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.n
     new[1:] |= part[1:] != part[:-1]
     first = np.flatnonzero(new)
     length = np.add.reduceat(run, first) if len(first) else run
-    return ident[first], (place[first] & ~np.int64((1 << RUN_BITS) - 1)) | length
+    return ident[first], (place[first] & ~np.int64((1 << RUN_BITS) - 1)) | length, *(x[first] for x in tag)
 
 
 def find_segments(length: int, gram: int, number: int) -> Callable:
@@ -211,12 +215,12 @@ def find_segments(length: int, gram: int, number: int) -> Callable:
                     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                     at = np.unique(np.repeat(doc + start, count) + nth)
                 row, start, n, g, ident = segments(data[off[i]:off[j]], off[i:j + 1] - off[i], length, gram, at)
-                rows.append((g, ident, ids[i + row], _pack(BUCKETED, tags[i + row], start, n)))
+                rows.append((g, ident, ids[i + row], tags[i + row], _pack(BUCKETED, 0, start, n)))
             if rows:
                 columns = [np.concatenate(c) for c in zip(*rows, strict=True)]
                 kept, repeat = _settle(*columns)
                 yield _batch(*kept)
-                yield _repeats(*_joined_runs(columns[2][repeat], columns[3][repeat]))
+                yield _repeats(*_joined_runs(columns[2][repeat], columns[4][repeat], columns[3][repeat]))
 
     return run
 
@@ -236,11 +240,11 @@ def read_buckets(mixed: bool) -> Callable:
         head = None  # (bucket, segment, id, start) that began the last segment
         is_mixed = False
         for batch in batches:
-            b, s, i, p = (c.to_numpy() for c in batch.columns)
+            b, s, i, t, p = (c.to_numpy() for c in batch.columns)
             known = p >> KIND_AT == REPEAT
             if known.any():
-                yield _repeats(i[known], p[known])
-                b, s, i, p = (x[~known] for x in (b, s, i, p))
+                yield _repeats(i[known], p[known], t[known])
+                b, s, i, t, p = (x[~known] for x in (b, s, i, t, p))
             if not len(b):
                 continue
             start = (p & low) >> RUN_BITS
@@ -258,7 +262,7 @@ def read_buckets(mixed: bool) -> Callable:
                 first_id, first_start = i[at], start[at]
             repeat = ~new & ((i != first_id) | (start != first_start))
             if repeat.any():
-                yield _repeats(i[repeat], p[repeat])
+                yield _repeats(i[repeat], p[repeat], t[repeat])
             head = (b[-1], s[-1], first_id[-1], first_start[-1])
             if not mixed:
                 continue
@@ -272,18 +276,18 @@ def read_buckets(mixed: bool) -> Callable:
             if joins:
                 many[0] = is_mixed or segs[0] > 0
                 if many[0] and not is_mixed:
-                    yield _batch(*held[:3], _as(MIXED, held[3]))
+                    yield _batch(*held[:4], _as(MIXED, held[4]))
             out = ~repeat & many[run_no]
             if out.any():
-                yield _batch(b[out], s[out], i[out], _as(MIXED, p[out]))
+                yield _batch(b[out], s[out], i[out], t[out], _as(MIXED, p[out]))
             is_mixed = bool(many[-1])
             tail = (run_no == run_no[-1]) & ~repeat
             if is_mixed:
-                held = [b[-1:], s[-1:], i[-1:], p[-1:]]
+                held = [b[-1:], s[-1:], i[-1:], t[-1:], p[-1:]]
             elif joins and len(segs) == 1:
-                held = [np.concatenate((h, x[tail])) for h, x in zip(held, (b, s, i, p), strict=True)]
+                held = [np.concatenate((h, x[tail])) for h, x in zip(held, (b, s, i, t, p), strict=True)]
             else:
-                held = [x[tail] for x in (b, s, i, p)]
+                held = [x[tail] for x in (b, s, i, t, p)]
 
     return run
 
@@ -297,7 +301,7 @@ def _read(rows: DataFrame, mixed: bool) -> DataFrame:
     ordered = rows.repartition("bucket").sortWithinPartitions(
         "bucket", "segment", "id", F.col("place").bitwiseAND((1 << SPAN_BITS) - 1))
     return map_batches(ordered, read_buckets(mixed), ROW).select(
-        "id", _field(SPAN_BITS, HASH_BITS).alias("tag"), "place", _field(KIND_AT, 2).alias("kind"))
+        "id", "tag", "place", _field(KIND_AT, 2).alias("kind"))
 
 
 def _by_text(found: DataFrame) -> DataFrame:
@@ -328,7 +332,7 @@ def repeated_runs(keyed: DataFrame, text_col: str, length: int) -> DataFrame:
 def _keyed(docs: DataFrame, own: list[str], id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"),
-                       F.xxhash64(text).bitwiseAND((1 << HASH_BITS) - 1).alias("tag"),
+                       F.xxhash64(text).alias("tag"),
                        F.struct(*own).alias("row"))
 
 

@@ -89,6 +89,29 @@ def test_equal_ids_null_ids_extra_columns_and_empty_table(spark):
     assert sd.suffix_dedup(df.limit(0), LENGTH).collect() == []
 
 
+def test_many_texts_without_an_id(spark):
+    r = random.Random(11)
+    word = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    passages = [word(90) for _ in range(5)]
+    docs = [(None, word(r.randint(0, 250)) + (r.choice(passages) if k % 2 else "") + word(r.randint(0, 90)))
+            for k in range(4000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    rows = [(-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+            for r in sd.suffix_dedup(df, LENGTH).collect()]
+    # Rows of one id are one document: a string is kept at its least start.
+    first, want = {}, []
+    for _, t in docs:
+        for s in range(len(t) - LENGTH + 1):
+            g = t[s:s + LENGTH]
+            first[g] = min(first.get(g, s), s)
+    for _, t in docs:
+        gone = {k for s in range(len(t) - LENGTH + 1) if first[t[s:s + LENGTH]] < s for k in range(s, s + LENGTH)}
+        kept = "".join(c for k, c in enumerate(t) if k not in gone)
+        spans = sum(k - 1 not in gone for k in gone)
+        want.append((-1, len(t), len(gone), spans, hashlib.sha256(kept.encode()).hexdigest()))
+    assert sorted(rows) == sorted(want)
+
+
 def test_long_text(spark):
     r = random.Random(9)
     t = "".join(r.choice("abcdefgh ") for _ in range(300_000))
