@@ -13,9 +13,11 @@ code wins.
 Frozen trees become hash tables from byte strings to the code lengths in all
 languages at once, and a task looks all positions of its texts up together.
 
-Learning uses a bounded sample: of the labelled rows given, whole texts of
-`max_text_bytes` at most, chosen by a hash of the text, about
-`sample_bytes` for each label.  Scoring reads whole texts.
+Learning uses a bounded sample: for each label its distinct texts in the order
+of a hash, until `sample_bytes` are reached (the text that reaches them
+included, so every label that has a text has one in the sample).  A text longer
+than `max_text_bytes` takes part with that many bytes, in `RANGES` ranges that
+a hash places over the whole text.  Scoring reads whole texts.
 
 A null text, or one without a letter, is `und` with score 0, and so is every
 text if there are no labelled rows.  Ties go to the first label in order.
@@ -28,12 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.arrow import map_batches, pieces, sum_by_row, text_buffers
+from strata.session import materialize
 
 UNDETERMINED = "und"
+#: Ranges that a long text is learned from.
+RANGES = 10
 HASH = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that begin no ASCII letter and no longer character.
 ASCII_LETTER = np.zeros(256, bool)
@@ -154,23 +159,55 @@ def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def _last_hashes(texts: DataFrame, sample_bytes: int, max_text_bytes: int) -> dict[str, int]:
+    """The last hash of each label's sample, from distinct (label, hash, size) rows.
+
+    The first hashes come to the driver: so many that they are expected to hold
+    the sample and 16 long texts more, and twice as many while they do not.
+    """
+    sizes = {r.label: r["size"] for r in texts.groupBy("label").agg(F.sum("size").alias("size")).collect()}
+    last: dict[str, int] = {}
+    wanted = sample_bytes + 16 * max_text_bytes
+    while left := [x for x in sizes if x not in last]:
+        bound = F.create_map(*[F.lit(y) for x in left
+                               for y in (x, -(1 << 63) + min((1 << 64) - 1, (wanted << 64) // sizes[x]))])
+        so_far = dict.fromkeys(left, 0)
+        for r in sorted(texts.where(F.col("hash") <= bound[F.col("label")]).collect(), key=lambda r: r.hash):
+            if r.label not in last:
+                so_far[r.label] += r["size"]
+                if so_far[r.label] >= min(sample_bytes, sizes[r.label]):
+                    last[r.label] = r.hash
+        wanted *= 2
+    return last
+
+
+def _ranges(max_text_bytes: int) -> Column:
+    """The byte ranges of `text` that are learned from."""
+    raw, step = F.col("text").cast("binary"), max(1, max_text_bytes // RANGES)
+    stride = F.floor(F.octet_length("text") / RANGES).cast("int")
+    return F.when(F.octet_length("text") <= max_text_bytes, F.array(raw)).otherwise(F.transform(
+        F.sequence(F.lit(0), F.lit(RANGES - 1)), lambda i: F.substring(
+            raw, (i * stride + F.pmod(F.xxhash64("text", i), F.greatest(stride - step + 1, F.lit(1))) + 1).cast("int"),
+            F.lit(step))))
+
+
 def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", order: int = 4,
           sample_bytes: int = 400_000, max_text_bytes: int = 100_000) -> Model:
     """Context trees of the labels of `labelled`, from a bounded sample."""
     if not 1 <= order <= 7:
         raise ValueError("order must be 1 to 7")
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).alias("label")).where(
-        f"label is not null and octet_length(text) between 1 and {max_text_bytes:d}")
-    sizes = rows.groupBy("label").agg(F.sum(F.octet_length("text")).alias("size")).collect()
-    if not sizes:
+    rows = (labelled.select(F.col(text_col).alias("text"), F.col(label_col).alias("label"))
+            .where("label is not null and octet_length(text) > 0").withColumn("hash", F.xxhash64("text")))
+    texts = materialize(rows.groupBy("label", "hash").agg(
+        F.max(F.least(F.octet_length("text"), F.lit(max_text_bytes))).cast("long").alias("size")))
+    last = _last_hashes(texts, sample_bytes, max_text_bytes)
+    if not last:
         return Model({}, order)
-    share = F.create_map(*[F.lit(x) for r in sizes
-                           for x in (r.label, min(1.0, sample_bytes / r["size"]))])
-    spread = 1 << 30
-    part = rows.where(F.pmod(F.xxhash64("text"), F.lit(spread)) < share[F.col("label")] * spread)
+    bound = F.create_map(*[F.lit(y) for x in last.items() for y in x])
+    part = rows.where(F.col("hash") <= bound[F.col("label")]).select("label", "hash", _ranges(max_text_bytes).alias("ranges"))
     samples: dict[str, list[bytes]] = {}
-    for r in part.dropDuplicates().collect():
-        samples.setdefault(r.label, []).append(r.text.encode())
+    for r in part.dropDuplicates(["label", "hash"]).collect():
+        samples.setdefault(r.label, []).extend(map(bytes, r.ranges))
     return Model({k: sorted(v) for k, v in samples.items()}, order)
 
 

@@ -65,6 +65,26 @@ def test_identify_whole_texts_and_odd_rows(spark):
         assert 0 <= x.score <= 1 and (x.score == 0) == (x.lang_pred == "und")
 
 
+def test_labels_with_long_texts_or_many_copies_stay(spark, monkeypatch):
+    r = random.Random(3)
+    say = lambda a, n: " ".join("".join(r.choice(a) for _ in range(4)) for _ in range(n))
+    rows = [(say("abcd", 15_000) + " " + say("mnop", 15_000), "long")]
+    others = [say("efgh", 400) for _ in range(4)]
+    rows += [(others[0], "copies")] * 5000 + [(t, "copies") for t in others[1:]]
+    rows += [(say("ijkl", 400), "many") for _ in range(600)]
+    learned = {}
+    monkeypatch.setattr(langid, "Model", lambda samples, order: learned.update(samples) or "model")
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    assert langid.learn(docs) == "model"
+    assert sorted(learned) == ["copies", "long", "many"]
+    assert sorted(learned["copies"]) == sorted(t.encode() for t in others)
+    whole, parts = rows[0][0].encode(), learned["long"]
+    assert len(parts) == langid.RANGES and sum(map(len, parts)) == 100_000 and all(x in whole for x in parts)
+    assert any(b"a" in x for x in parts) and any(b"m" in x for x in parts)
+    size = sum(map(len, learned["many"]))
+    assert 400_000 <= size < 402_000
+
+
 def test_nothing_to_learn_from(spark):
     none = spark.createDataFrame([], "text string, lang string")
     model = langid.learn(none)
