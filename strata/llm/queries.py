@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, langid, licenses, lm, mixing, quality, simhash, sql, suffix_dedup, toxicity
+from strata.llm import chat, decontam, divergence, langid, licenses, lm, mixing, quality, simhash, sql, suffix_dedup, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -100,6 +100,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, F.col("held_out"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read(spark, sf_dir, "documents").select("text", "lang", "source"), min_docs=3, top_terms=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_licenses": op2_licenses,
@@ -111,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_lm_score": op10_lm_score,
+    "op13_divergence": op13_divergence,
 }
 
 #: The models and hashes of the others have no SQL form.
@@ -119,5 +124,6 @@ ORACLE: dict[str, str] = {
     "op4_mix_sources": sql.mix(MIX_WEIGHTS, 0.6, 4, 42),
     "op5_decontaminate": sql.decontaminate(10),
     "op7_chat": sql.chat(EXTRA_TURN),
+    "op13_divergence": sql.divergence(3, 200, divergence.SCALE),
     "op9_quality": sql.quality(20, HOST_LIMIT, quality.MAX_SYMBOLS_PER_WORD, quality.MAX_DUP_LINES, quality.WORD_CHARS),
 }

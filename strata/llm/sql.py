@@ -131,3 +131,30 @@ v AS (SELECT host, {bad} FROM h, (SELECT {prior} FROM h))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT ({dropped}) AS kept
 FROM j JOIN v USING (host)"""
+
+
+def divergence(min_docs: int, top_terms: int, scale: int) -> str:
+    share = lambda count, size, v: f"1 + ({scale}::HUGEINT * ({count} + 1)) // ({size} + {v})"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                     '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= {min_docs}),
+l AS (SELECT lang, count(*) AS v, sum(n) AS size FROM kept GROUP BY 1),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY 1, 2, 3),
+dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n,
+                 sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS size
+          FROM g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, dense.n, {share('dense.n', 'dense.size', 'v')} AS p, {share('lang_n', 'l.size', 'v')} AS q
+      FROM dense JOIN l USING (lang)),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+         FROM p a JOIN p b USING (lang, term) WHERE a.source != b.source GROUP BY 1, 2, 3),
+parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source != b.source
+          LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+          UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= {top_terms}"""
