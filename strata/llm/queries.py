@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, decontam, divergence, langid, licenses, lm, mixing, quality, simhash, sql, suffix_dedup, toxicity
+from strata.llm import alignment, chat, decontam, divergence, langid, licenses, lm, mixing, quality, simhash, sql, suffix_dedup, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -100,6 +100,15 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, F.col("held_out"))
 
 
+#: Folder of the vocabulary files, the same on every executor.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                           f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(read(spark, sf_dir, "documents").select("text", "lang", "source"), min_docs=3, top_terms=200)
 
@@ -115,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_lm_score": op10_lm_score,
+    "op12_alignment": op12_alignment,
     "op13_divergence": op13_divergence,
 }
 
