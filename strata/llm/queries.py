@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import alignment, chat, decontam, divergence, langid, licenses, lm, mixing, quality, simhash, sql, suffix_dedup, toxicity
+from strata.llm import alignment, chat, decontam, divergence, jaccard, langid, licenses, lm, mixing, quality, simhash, sql, suffix_dedup, toxicity
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -100,6 +100,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, F.col("held_out"))
 
 
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(read(spark, sf_dir, "documents").select("doc_id", "text"), percent=85, shingle_words=4)
+
+
 #: Folder of the vocabulary files, the same on every executor.
 TOKENIZERS = "/opt/tokenizers"
 
@@ -124,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_lm_score": op10_lm_score,
+    "op11_jaccard": op11_jaccard,
     "op12_alignment": op12_alignment,
     "op13_divergence": op13_divergence,
 }
