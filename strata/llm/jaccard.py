@@ -10,22 +10,22 @@ Order.  All sets list their tokens in one order: by value, but tokens that many
 sets hold come last, the most frequent at the very end (`frequent_tokens`: the
 `HEAVY` most frequent, a table of fixed size, counted over all sets).  Two sets
 that link share a token among the first few of each; how few follows from their
-sizes.  Only those first tokens, with their places, are rows.
+sizes.  Only those first tokens are rows.
 
 Matrix.  The join goes through groups of similar sets:
 
-1. At each token the sets of one size class are compared with the class's first
-   set there (a star).  Verified stars make preliminary components.
+1. At each token the sets of one size class meet the class's first set there
+   (a star).  Verified stars make preliminary components.
 2. The sets of a component are dealt to groups of about `GROUP` members; a set
-   without a link is a group by itself.  A column of the matrix is a group: its
-   first tokens as rows that a query meets it by, and the union of its members'
-   tokens.
-3. A query set meets the groups of other components that share one of its first
-   tokens and could fit in size.  At a token the sets of the component with
-   most sets there do not query: each pair of components has one side that
-   does.  The overlap of the query with the group's union bounds its overlap
-   with every member; only groups that reach `percent` of the query's tokens
-   are opened, and their members compared one by one.
+   without a link is a group by itself.  A column of the matrix is a group: the
+   first tokens of its members, and the union of all their tokens.
+3. A query set meets the groups of other components by its first tokens.  Of
+   two components only the smaller one's sets query.  How many first tokens
+   two linked sets share at least follows from their sizes too, so groups with
+   fewer in common with the query are left at once; for the others the overlap
+   of the query with the group's union bounds its overlap with every member.
+   Only groups that reach `percent` of the query's tokens are opened, and their
+   members compared one by one.
 
 Components are the smallest ids reachable over the verified links.  Links inside
 a preliminary component need no check of their own, so copies with few changes,
@@ -183,8 +183,13 @@ def described(keyed: DataFrame, shingle_words: int, percent: int, often: int = O
     return map_batches(keyed, run, f"id {kind}, text_hash long, n long, set long, first array<long>")
 
 
-def full_sets(keyed: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
-    """(set, tokens): all tokens of the sets in `wanted` (rows of set, text_hash), as bytes."""
+def full_sets(keyed: DataFrame, sets: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
+    """(set, tokens): all tokens of the sets in `wanted`, as bytes.
+
+    `sets` has (set, text_hash) rows.  One text of each set is read; the list
+    of texts is written first, so that Spark knows its size before it decides
+    whether the texts are shuffled to meet it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,9 +198,10 @@ def full_sets(keyed: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFr
                                               pa.array([s.tobytes() for s in sets], pa.binary())], names=["set", "tokens"])
 
     # Copies are one row already where they are read.
-    texts = (keyed.groupBy("text_hash").agg(F.first("text").alias("text"))
-             .join(wanted.groupBy("set").agg(F.min("text_hash").alias("text_hash")), "text_hash", "left_semi"))
-    return map_batches(texts.select("text"), run, "set long, tokens binary")
+    chosen = _write(sets.select("set", "text_hash").join(wanted.select("set").distinct(), "set", "left_semi")
+                    .groupBy("set").agg(F.min("text_hash").alias("text_hash")).select("text_hash"), "texts")
+    texts = keyed.groupBy("text_hash").agg(F.first("text").alias("text")).join(chosen, "text_hash", "left_semi")
+    return _write(map_batches(texts.select("text"), run, "set long, tokens binary"), "tokens")
 
 
 def _overlap(a: bytes, b: bytes) -> int:
@@ -232,10 +238,15 @@ def _fit(n: Column, m: Column, percent: int) -> Column:
     return (100 * F.least(n, m)) >= percent * F.greatest(n, m)
 
 
-def _early(place: Column, n: Column, m: Column, percent: int) -> Column:
-    """The first shared token of sets of n and m tokens can stand at this place of the first."""
-    least = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent) - F.lit(1e-6))
-    return place <= n - least
+def _shared_least(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """So many first tokens are shared at least by linked sets of n and of low to high tokens.
+
+    Up to the end of the first tokens of one of the two, that one misses no more
+    tokens than its size exceeds the least overlap.  (One less, for rounding.)
+    """
+    low, high = F.greatest(low, F.ceil(n * percent / 100)), F.least(high, F.floor(n * 100 / F.lit(percent)))
+    overlap = lambda m: F.floor((n + m) * percent / F.lit(100 + percent))
+    return F.greatest(F.lit(1), F.least(overlap(low) - F.ceil(n * percent / 100), overlap(high) - F.ceil(high * percent / 100)))
 
 
 def group_unions(tokens: DataFrame, members: DataFrame) -> DataFrame:
@@ -260,33 +271,29 @@ def open_groups(pairs: DataFrame, tokens: DataFrame, members: DataFrame, percent
             ok = [100 * _overlap(q, u) >= percent * (len(q) // 8) for q, u in zip(queries, unions, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "group"]).filter(pa.array(ok, pa.bool_()))
 
-    met = members.join(pairs.select("group").distinct(), "group", "left_semi")
     rows = (pairs.join(tokens.select(F.col("set").alias("a"), "tokens"), "a")
-            .join(group_unions(tokens, met), "group").select("a", "group", "tokens", "union"))
+            .join(group_unions(tokens, members), "group").select("a", "group", "tokens", "union"))
     return map_batches(rows, bound, "a long, group long").join(members.select("group", F.col("set").alias("b")), "group").select("a", "b")
 
 
 def matrix_candidates(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """(a, group): queries and groups of other components that share a first token and fit in size.
+    """(a, group): queries and groups of larger components with enough first tokens in common.
 
-    `shared` are the rows (token, set, n, place) of tokens that more sets hold,
-    `grouped` (set, comp, group).
+    `shared` are the rows (token, set, n) of tokens that more sets hold,
+    `grouped` (set, comp, size, group); of components of one size the one with
+    the smaller id counts as the larger.
     """
     rows = shared.join(grouped, "set")
-    at_token = (rows.groupBy("token", "comp").agg(F.count("*").alias("sets"))
-                .groupBy("token").agg(F.max(F.struct("sets", "comp"))["comp"].alias("largest"), F.count("*").alias("comps"))
-                .where("comps > 1").select("token", "largest"))
-    rows = _write(rows.join(at_token, "token"), "mixed-tokens")
-    queries = rows.where("comp != largest").select("token", F.col("set").alias("a"), F.col("comp").alias("own"), F.col("n").alias("q"),
-                                                   F.col("place").alias("at"))
-    columns = rows.groupBy("token", "group", "comp", "largest").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("place").alias("place"))
-    m = F.least(F.greatest("q", "least"), "most")  # the member size that fits the query best
-    return (queries.join(columns, "token")
-            .where((F.col("comp") != F.col("own")) & ((F.col("comp") == F.col("largest")) | (F.col("comp") < F.col("own")))
-                   & _fit(F.col("q"), m, percent) & _early(F.col("at"), F.col("q"), F.greatest("least", F.ceil(F.col("q") * percent / 100)), percent)
-                   & _early(F.col("place"), F.col("most"), F.col("q"), percent))
-            .select("a", "group").distinct())
+    mixed = rows.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("token")
+    rows = _write(rows.join(mixed, "token", "left_semi"), "mixed-tokens")
+    columns = rows.groupBy("token", "group", "comp", "size").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    queries = rows.select("token", F.col("set").alias("a"), F.col("comp").alias("own"), F.col("size").alias("own_size"), F.col("n").alias("q"))
+    larger = (F.col("size") > F.col("own_size")) | ((F.col("size") == F.col("own_size")) & (F.col("comp") < F.col("own")))
+    fits = _fit(F.col("q"), F.least(F.greatest("q", "low"), F.col("high")), percent)
+    # Members at a token may be some of a group's: the widest range decides.
+    return (queries.join(columns, "token").where(larger & fits)
+            .groupBy("a", "group", "q").agg(F.count("*").alias("common"), F.min("low").alias("low"), F.max("high").alias("high"))
+            .where(F.col("common") >= _shared_least(F.col("q"), F.col("low"), F.col("high"), percent)).select("a", "group"))
 
 
 def jaccard_groups(docs: DataFrame, percent: int = 85, shingle_words: int = 4, id_col: str = "doc_id",
@@ -297,28 +304,30 @@ def jaccard_groups(docs: DataFrame, percent: int = 85, shingle_words: int = 4, i
     sets = _write(described(keyed, shingle_words, percent, often), "sets")
     distinct = sets.where("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("first").alias("first"))
     size_class = F.floor(F.log(F.col("n")) / F.lit(float(np.log(100 / percent)) if percent < 100 else 1.0))
-    rows = distinct.select("set", "n", size_class.alias("class"), F.posexplode("first").alias("place", "token"))
+    rows = distinct.select("set", "n", size_class.alias("class"), F.explode("first").alias("token"))
     holders = F.count("*").over(Window.partitionBy("token"))
-    hub = F.min(F.struct("set", "n", "place")).over(Window.partitionBy("token", "class"))
+    hub = F.min(F.struct("set", "n")).over(Window.partitionBy("token", "class"))
     shared = _write(rows.withColumn("holders", holders).where("holders > 1").drop("holders")
                     .withColumn("hub", hub).drop("class"), "shared")
-    sharing = sets.select("set", "text_hash").join(shared.select("set").distinct(), "set", "left_semi")
-    tokens = _write(full_sets(keyed, sharing, shingle_words), "tokens")
 
-    n, m = F.col("n"), F.col("hub.n")
-    stars = (shared.where((F.col("hub.set") != F.col("set")) & _fit(n, m, percent) & _early(F.col("place"), n, m, percent)
-                          & _early(F.col("hub.place"), m, n, percent))
-             .select(F.col("hub.set").alias("a"), F.col("set").alias("b")).distinct())
+    n, m = F.col("n"), F.col("m")
+    # At some tokens another set is the first: half of what is shared will do.
+    stars = (shared.where(F.col("hub.set") != F.col("set"))
+             .groupBy(F.col("hub.set").alias("a"), F.col("set").alias("b"), F.col("hub.n").alias("m"), "n").agg(F.count("*").alias("common"))
+             .where(_fit(n, m, percent) & (2 * F.col("common") >= _shared_least(n, m, m, percent))).select("a", "b"))
+    stars = _write(stars, "star-pairs")
+    tokens = full_sets(keyed, sets, stars.select(F.col("a").alias("set")).union(stars.select("b")), shingle_words)
     near = _write(verified(stars, tokens, percent), "stars")
     found = components(near, spark).select(F.col("fp").alias("set"), F.col("root").alias("comp"))
-    parts = found.groupBy("comp").agg(F.ceil(F.count("*") / F.lit(group_size)).alias("parts"))
-    of_set = (shared.select("set").distinct().join(found.join(parts, "comp"), "set", "left")
-              .select("set", F.coalesce("comp", "set").alias("comp"),
-                      F.xxhash64(F.coalesce("comp", "set"), F.pmod(F.xxhash64("set"), F.coalesce("parts", F.lit(1)))).alias("group")))
-    of_set = _write(of_set, "groups")
-    queries = _write(matrix_candidates(shared.select("token", "set", "n", "place"), of_set, percent), "queries")
-    opened = open_groups(queries, tokens, of_set.select("set", "group"), percent)
-    far = _write(verified(opened, tokens, percent), "links")
+    sizes = found.groupBy("comp").agg(F.count("*").alias("size"))
+    bucket = F.pmod(F.xxhash64("set"), F.coalesce(F.ceil(F.col("size") / F.lit(group_size)), F.lit(1)))
+    of_set = _write(shared.select("set").distinct().join(found.join(sizes, "comp"), "set", "left").select(
+        "set", F.coalesce("comp", "set").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"),
+        F.xxhash64(F.coalesce("comp", "set"), bucket).alias("group")), "groups")
+    queries = _write(matrix_candidates(shared.select("token", "set", "n"), of_set, percent), "queries")
+    met = _write(of_set.select("set", "group").join(queries.select("group").distinct(), "group", "left_semi"), "met")
+    tokens = full_sets(keyed, sets, met.select("set").union(queries.select("a")), shingle_words)
+    far = _write(verified(open_groups(queries, tokens, met, percent), tokens, percent), "links")
 
     # An edge between two preliminary components joins their roots.
     root = of_set.select("set", "comp")
