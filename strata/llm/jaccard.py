@@ -18,14 +18,16 @@ Matrix.  The join goes through groups of similar sets:
    (a star).  Verified stars make preliminary components.
 2. The sets of a component are dealt to groups of about `GROUP` members; a set
    without a link is a group by itself.  A column of the matrix is a group: the
-   first tokens of its members, and the union of all their tokens.
+   first tokens of its members, and the union of all their tokens, kept as codes
+   of two bytes (four in long sets): equal tokens have equal codes, so a bound by
+   codes holds.
 3. A query set meets the groups of other components by its first tokens.  Of
    two components only the smaller one's sets query.  How many first tokens
    two linked sets share at least follows from their sizes too, so groups with
    fewer in common with the query are left at once; for the others the overlap
    of the query with the group's union bounds its overlap with every member.
-   Only groups that reach `percent` of the query's tokens are opened, and their
-   members compared one by one.
+   Only groups that reach what a link needs are opened, and their members
+   compared one by one.
 
 Components are the smallest ids reachable over the verified links.  Links inside
 a preliminary component need no check of their own, so copies with few changes,
@@ -59,6 +61,10 @@ OFTEN = 16
 #: Members of a group, about.
 GROUP = 32
 PIECE_BYTES = 8 << 20
+#: Size of the filter of texts to be read again.
+FILTER_BITS = 1 << 24
+#: Longer sets have codes of four bytes, others of two.
+LONG_SET = 4096
 _LOWER = np.frombuffer(LOWER, np.uint8)
 BLANK = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 
@@ -171,11 +177,13 @@ def described(keyed: DataFrame, shingle_words: int, percent: int, often: int = O
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = sent.value
         for batch in batches:
-            n, sets, first = [], [], []
+            n, sets, first, seen = [], [], [], set()
             for s in _sets_of(batch.column(2), shingle_words):
                 n.append(len(s))
                 sets.append(set_id(s))
-                first.append(first_tokens(s, percent, *order).view(np.int64))
+                # A set's tokens are sent once a batch.
+                first.append(None if sets[-1] in seen else first_tokens(s, percent, *order).view(np.int64))
+                seen.add(sets[-1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sets, pa.int64()),
                  pa.array(first, pa.list_(pa.int64()))], names=["id", "text_hash", "n", "set", "first"])
@@ -183,27 +191,64 @@ def described(keyed: DataFrame, shingle_words: int, percent: int, often: int = O
     return map_batches(keyed, run, f"id {kind}, text_hash long, n long, set long, first array<long>")
 
 
-def full_sets(keyed: DataFrame, sets: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
-    """(set, tokens): all tokens of the sets in `wanted`, as bytes.
+def text_filter(chosen: DataFrame) -> np.ndarray:
+    """A bitmap of `FILTER_BITS` bits with those of the texts' hashes set."""
+    place = F.pmod(F.col("text_hash"), F.lit(FILTER_BITS)) + 1  # buckets count from one
+    rows = (chosen.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in rows:
+        at = (r.bucket - 1) * 4096
+        out[at:at + 4096] = np.frombuffer(bytes(r.bits), np.uint8)
+    return out
+
+
+def full_sets(keyed: DataFrame, sets: DataFrame, wanted: DataFrame, shingle_words: int, coded: bool = False) -> DataFrame:
+    """(set, tokens): all tokens of the sets in `wanted`, as bytes, or their codes.
 
-    `sets` has (set, text_hash) rows.  One text of each set is read; the list
-    of texts is written first, so that Spark knows its size before it decides
-    whether the texts are shuffled to meet it.
+    `sets` has (set, text_hash) rows.  One text of each set is read; a bitmap of
+    fixed size keeps most other texts out of the shuffle in which they meet.
     """
+    chosen = _write(sets.select("set", "text_hash").join(wanted.select("set").distinct(), "set", "left_semi")
+                    .groupBy("set").agg(F.min("text_hash").alias("text_hash")).select("text_hash"), "texts")
+    sent = keyed.sparkSession.sparkContext.broadcast(text_filter(chosen))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy() % FILTER_BITS
+            bits = sent.value
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(_sets_of(batch.column(0), shingle_words))
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()),
-                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["set", "tokens"])
+            found = list(_sets_of(batch.column(0), shingle_words))
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in found], pa.int64()),
+                                              pa.array([codes(s) if coded else s.tobytes() for s in found], pa.binary())],
+                                             names=["set", "tokens"])
 
-    # Copies are one row already where they are read.
-    chosen = _write(sets.select("set", "text_hash").join(wanted.select("set").distinct(), "set", "left_semi")
-                    .groupBy("set").agg(F.min("text_hash").alias("text_hash")).select("text_hash"), "texts")
-    texts = keyed.groupBy("text_hash").agg(F.first("text").alias("text")).join(chosen, "text_hash", "left_semi")
+    texts = (map_batches(keyed.select("text_hash", "text"), keep, "text_hash long, text string")
+             .groupBy("text_hash").agg(F.first("text").alias("text")).join(chosen, "text_hash", "left_semi"))
     return _write(map_batches(texts.select("text"), run, "set long, tokens binary"), "tokens")
 
 
+def codes(tokens: np.ndarray) -> bytes:
+    """The tokens' upper 2 bytes, of long sets 4, in order, after their number of bytes."""
+    wide = len(tokens) > LONG_SET
+    return bytes([4 if wide else 2]) + (tokens >> np.uint64(32 if wide else 48)).astype(np.uint32 if wide else np.uint16).tobytes()
+
+
+def _codes(data: bytes, width: int) -> np.ndarray:
+    out = np.frombuffer(data, np.uint32 if data[0] == 4 else np.uint16, offset=1)
+    return out >> 16 if width < data[0] else out
+
+
+def overlap_bound(a: bytes, b: bytes) -> int:
+    """So many tokens of `a` at most are among those of `b`, by their codes."""
+    width = min(a[0], b[0])
+    a, b = _codes(a, width), _codes(b, width)
+    return int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
+
+
 def _overlap(a: bytes, b: bytes) -> int:
     a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     if len(a) > len(b):
@@ -249,31 +294,39 @@ def _shared_least(n: Column, low: Column, high: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), F.least(overlap(low) - F.ceil(n * percent / 100), overlap(high) - F.ceil(high * percent / 100)))
 
 
-def group_unions(tokens: DataFrame, members: DataFrame) -> DataFrame:
-    """(group, union): the matrix's columns, the joined tokens of each group's members."""
+def group_unions(coded: DataFrame, members: DataFrame) -> DataFrame:
+    """(group, union): the matrix's columns, the joined codes of each group's members."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            union = [np.unique(np.concatenate([np.frombuffer(t, np.uint64) for t in r])).tobytes()
-                     for r in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(union, pa.binary())], names=["group", "union"])
-
-    rows = tokens.join(members, "set").groupBy("group").agg(F.collect_list("tokens").alias("tokens"))
+            unions = []
+            for sets in batch.column(1).to_pylist():
+                width = min(s[0] for s in sets)
+                unions.append(bytes([width]) + np.unique(np.concatenate([_codes(s, width) for s in sets]))
+                              .astype(np.uint32 if width == 4 else np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(unions, pa.binary())], names=["group", "union"])
+
+    rows = coded.join(members, "set").groupBy("group").agg(F.collect_list("tokens").alias("tokens"))
     return map_batches(rows, run, "group long, union binary")
 
 
-def open_groups(pairs: DataFrame, tokens: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): queries `a` and the members of groups whose union holds `percent` of their tokens."""
+def qualifying(pairs: DataFrame, coded: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The rows (a, group) of (a, group, q, low) whose bound allows a link.
+
+    A member of `low` tokens or more links with a query of q only if they share
+    percent / (100 + percent) of the sum.
+    """
 
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            queries, unions = (batch.column(k).to_pylist() for k in (2, 3))
-            ok = [100 * _overlap(q, u) >= percent * (len(q) // 8) for q, u in zip(queries, unions, strict=True)]
+            q, low, queries, unions = (batch.column(k).to_pylist() for k in (2, 3, 4, 5))
+            ok = [(100 + percent) * overlap_bound(x, u) >= percent * (n + max(m, -(-percent * n // 100)))
+                  for n, m, x, u in zip(q, low, queries, unions, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "group"]).filter(pa.array(ok, pa.bool_()))
 
-    rows = (pairs.join(tokens.select(F.col("set").alias("a"), "tokens"), "a")
-            .join(group_unions(tokens, members), "group").select("a", "group", "tokens", "union"))
-    return map_batches(rows, bound, "a long, group long").join(members.select("group", F.col("set").alias("b")), "group").select("a", "b")
+    rows = (pairs.join(coded.select(F.col("set").alias("a"), "tokens"), "a")
+            .join(group_unions(coded, members), "group").select("a", "group", "q", "low", "tokens", "union"))
+    return map_batches(rows, run, "a long, group long")
 
 
 def matrix_candidates(shared: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
@@ -293,7 +346,7 @@ def matrix_candidates(shared: DataFrame, grouped: DataFrame, percent: int) -> Da
     # Members at a token may be some of a group's: the widest range decides.
     return (queries.join(columns, "token").where(larger & fits)
             .groupBy("a", "group", "q").agg(F.count("*").alias("common"), F.min("low").alias("low"), F.max("high").alias("high"))
-            .where(F.col("common") >= _shared_least(F.col("q"), F.col("low"), F.col("high"), percent)).select("a", "group"))
+            .where(F.col("common") >= _shared_least(F.col("q"), F.col("low"), F.col("high"), percent)).select("a", "group", "q", "low"))
 
 
 def jaccard_groups(docs: DataFrame, percent: int = 85, shingle_words: int = 4, id_col: str = "doc_id",
@@ -302,9 +355,9 @@ def jaccard_groups(docs: DataFrame, percent: int = 85, shingle_words: int = 4, i
     spark = docs.sparkSession
     keyed = _keyed(docs, id_col, text_col)
     sets = _write(described(keyed, shingle_words, percent, often), "sets")
-    distinct = sets.where("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("first").alias("first"))
     size_class = F.floor(F.log(F.col("n")) / F.lit(float(np.log(100 / percent)) if percent < 100 else 1.0))
-    rows = distinct.select("set", "n", size_class.alias("class"), F.explode("first").alias("token"))
+    rows = (sets.where("n > 0").select("set", "n", size_class.alias("class"), F.explode("first").alias("token"))
+            .repartition("token").dropDuplicates(["token", "set"]))
     holders = F.count("*").over(Window.partitionBy("token"))
     hub = F.min(F.struct("set", "n")).over(Window.partitionBy("token", "class"))
     shared = _write(rows.withColumn("holders", holders).where("holders > 1").drop("holders")
@@ -313,11 +366,15 @@ def jaccard_groups(docs: DataFrame, percent: int = 85, shingle_words: int = 4, i
     n, m = F.col("n"), F.col("m")
     # At some tokens another set is the first: half of what is shared will do.
     stars = (shared.where(F.col("hub.set") != F.col("set"))
-             .groupBy(F.col("hub.set").alias("a"), F.col("set").alias("b"), F.col("hub.n").alias("m"), "n").agg(F.count("*").alias("common"))
-             .where(_fit(n, m, percent) & (2 * F.col("common") >= _shared_least(n, m, m, percent))).select("a", "b"))
+             .groupBy(F.col("set").alias("a"), F.col("hub.set").alias("group"), "n", F.col("hub.n").alias("m")).agg(F.count("*").alias("common"))
+             .where(_fit(n, m, percent) & (2 * F.col("common") >= _shared_least(n, m, m, percent)))
+             .select("a", "group", n.alias("q"), m.alias("low")))
     stars = _write(stars, "star-pairs")
-    tokens = full_sets(keyed, sets, stars.select(F.col("a").alias("set")).union(stars.select("b")), shingle_words)
-    near = _write(verified(stars, tokens, percent), "stars")
+    hubs = stars.select(F.col("group").alias("set")).distinct().withColumn("group", F.col("set"))
+    coded = full_sets(keyed, sets, hubs.select("set").union(stars.select("a")), shingle_words, coded=True)
+    near = _write(qualifying(stars, coded, hubs, percent).withColumnRenamed("group", "b"), "near")
+    tokens = full_sets(keyed, sets, near.select(F.col("a").alias("set")).union(near.select("b")), shingle_words)
+    near = _write(verified(near, tokens, percent), "stars")
     found = components(near, spark).select(F.col("fp").alias("set"), F.col("root").alias("comp"))
     sizes = found.groupBy("comp").agg(F.count("*").alias("size"))
     bucket = F.pmod(F.xxhash64("set"), F.coalesce(F.ceil(F.col("size") / F.lit(group_size)), F.lit(1)))
@@ -326,8 +383,10 @@ def jaccard_groups(docs: DataFrame, percent: int = 85, shingle_words: int = 4, i
         F.xxhash64(F.coalesce("comp", "set"), bucket).alias("group")), "groups")
     queries = _write(matrix_candidates(shared.select("token", "set", "n"), of_set, percent), "queries")
     met = _write(of_set.select("set", "group").join(queries.select("group").distinct(), "group", "left_semi"), "met")
-    tokens = full_sets(keyed, sets, met.select("set").union(queries.select("a")), shingle_words)
-    far = _write(verified(open_groups(queries, tokens, met, percent), tokens, percent), "links")
+    coded = full_sets(keyed, sets, met.select("set").union(queries.select("a")), shingle_words, coded=True)
+    opened = _write(qualifying(queries, coded, met, percent).join(met.withColumnRenamed("set", "b"), "group").select("a", "b"), "opened")
+    tokens = full_sets(keyed, sets, opened.select(F.col("a").alias("set")).union(opened.select("b")), shingle_words)
+    far = _write(verified(opened, tokens, percent), "links")
 
     # An edge between two preliminary components joins their roots.
     root = of_set.select("set", "comp")
