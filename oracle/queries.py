@@ -578,6 +578,14 @@ ORACLE["fact_upsert_stored"] = with_model("""
 SELECT f.* FROM fact_sales f
 WHERE NOT EXISTS (SELECT 1 FROM fact_last l WHERE l.orderid = f.orderid AND l.product_id = f.product_id)
 UNION ALL SELECT l.* FROM fact_last l""", order_details_last=_LAST_DETAILS, fact_last=_FACT_LAST)
+ORACLE["fact_upsert_by_feed"] = with_model(f"""
+SELECT f.* REPLACE (
+         CAST(CASE WHEN orderid % 50 = 1 THEN order_date + INTERVAL 1 MONTH ELSE order_date END AS DATE) AS order_date,
+         CASE WHEN orderid % 50 = 2 THEN required_date ELSE shipped_date END AS shipped_date,
+         orderid % 7 = 0 AND orderid % 50 NOT IN (1, 2) AND orderid % 35 <> 0 AS _is_deleted) FROM fact_sales f
+UNION ALL
+SELECT * REPLACE ({sk(['orderid', 'product_id'])} AS fact_sales_sk)
+FROM (SELECT f.* REPLACE (product_id + 10000000 AS product_id) FROM fact_sales f WHERE orderid % 50 = 3) n""")
 ORACLE["fact_soft_delete_stored"] = with_model("""
 SELECT f.* REPLACE (f.orderid IN (SELECT o_orderkey FROM orders GROUP BY o_orderkey
                                   HAVING bool_and(o_orderstatus = 'P')) AS _is_deleted) FROM fact_sales f""")

@@ -67,17 +67,21 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str],
 
 
 def cdc_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-               hash_col: str = "_change_hash", action_col: str | None = None) -> DataFrame:
-    """New target: source rows for new keys and for keys whose hash differs
-    (null-safe), target rows otherwise.  ``action_col`` adds the action
-    (insert / update / keep)."""
+               hash_col: str = "_change_hash", action_col: str | None = None,
+               flag: str = "_is_deleted") -> DataFrame:
+    """New target: source rows for new keys, for keys whose hash differs
+    (null-safe) and for keys that are flagged deleted on one side only (a
+    deleted key that is sent again is back), target rows otherwise.
+    ``action_col`` adds the action (insert / update / keep)."""
     keys = list(keys)
     cols = target.columns
     t = target.select(*keys, F.struct(*[c for c in cols if c not in keys]).alias("_t"))
     s = source.select(*keys, F.struct(*[c for c in cols if c not in keys]).alias("_s"))
     j = _null_safe_join(t, s, keys, "full_outer")
-    take_source = F.col("_s").isNotNull() & (
-        F.col("_t").isNull() | ~F.col(f"_t.{hash_col}").eqNullSafe(F.col(f"_s.{hash_col}")))
+    differs = ~F.col(f"_t.{hash_col}").eqNullSafe(F.col(f"_s.{hash_col}"))
+    if flag in cols:
+        differs = differs | (F.coalesce(F.col(f"_t.{flag}"), F.lit(False)) != F.coalesce(F.col(f"_s.{flag}"), F.lit(False)))
+    take_source = F.col("_s").isNotNull() & (F.col("_t").isNull() | differs)
     picked = j.select(*keys, F.when(take_source, F.col("_s")).otherwise(F.col("_t")).alias("_r"),
                       F.when(F.col("_t").isNull(), "insert")
                       .when(take_source, "update").otherwise("keep").alias("_a"))
@@ -87,17 +91,17 @@ def cdc_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def soft_delete(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],
-                flag: str = "_is_deleted") -> DataFrame:
+                flag: str = "_is_deleted", was: str | None = None) -> DataFrame:
     """Flag target rows whose key is absent from a full source snapshot;
-    values are kept, the flag is OR-ed with an existing one."""
+    values are kept.  A key that the snapshot holds is there (again): its flag
+    is cleared.  ``was`` adds the flag as it was before."""
     keys = list(keys)
     present = snapshot.select(*keys).distinct().withColumn("_present", F.lit(True))
-    j = _null_safe_join(target, present, keys, "left")
-    gone = F.col("_present").isNull()
-    if flag in target.columns:
-        gone = gone | F.coalesce(F.col(flag), F.lit(False))
-    return j.withColumn(flag, gone).drop("_present").select(*target.columns, *(
-        [] if flag in target.columns else [flag]))
+    before = F.coalesce(F.col(flag), F.lit(False)) if flag in target.columns else F.lit(False)
+    j = _null_safe_join(target.withColumn("_before", before), present, keys, "left")
+    return j.withColumn(flag, F.col("_present").isNull()).select(
+        *target.columns, *([] if flag in target.columns else [flag]),
+        *([F.col("_before").alias(was)] if was else []))
 
 
 def apply_delete_feed(target: DataFrame, feed: DataFrame, keys: Sequence[str], op_col: str = "op",

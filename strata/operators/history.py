@@ -112,7 +112,8 @@ def scd2_apply(log: DataFrame | None, batch: DataFrame, keys: Sequence[str], seq
     keys, tracked = list(keys), list(tracked)
     events = event_log(batch, keys, seq, tracked, tiebreak, delete_when)
     merged = events if log is None else log.unionByName(events)
-    merged = _latest_per_instant(merged, keys, seq, tracked, tiebreak, extra=["_is_delete"])
+    # Written once: the log keeps it and the history is built from it.
+    merged = materialize(_latest_per_instant(merged, keys, seq, tracked, tiebreak, extra=["_is_delete"]))
     return merged, scd2_from_log(merged, keys, seq, tracked, tiebreak)
 
 
@@ -130,6 +131,8 @@ def apply_to_table(spark, target: str, batch: DataFrame, keys: Sequence[str], se
     harmless.
     """
     store = BucketStore(spark, target, keys, n_buckets)
+    if batch_id is not None and store.has_applied(batch_id):
+        return
     batch = materialize(batch, spark)
     touched = store.touched(batch)
     if not touched:

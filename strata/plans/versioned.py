@@ -7,9 +7,15 @@ bucket's rows.  Readers follow the newest complete manifest, so they see all
 of a commit or nothing of it, and a commit that failed half-way is only files
 that no manifest names (the next commit uses another folder).
 
+A manifest is one small file, put in its place by a rename that refuses to
+replace another.  A writer numbers its manifest after the one it has read, so
+of two writers that began from the same version one gets `CommitConflict` and
+must begin again; neither can undo the other's rows.
+
 The number of buckets is stored in the manifest: it is chosen when the store
-is made and the same key always finds its bucket again.  Files of old commits
-stay until `vacuum`.
+is made and the same key always finds its bucket again.  Manifests also hold
+each table's schema, so a table without rows can be read.  Every `EXPIRE_EVERY`
+commits the files of all but the last `KEEP` versions are deleted.
 """
 
 from __future__ import annotations
@@ -18,11 +24,18 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 16
+KEEP, EXPIRE_EVERY = 8, 8
+
+
+class CommitConflict(RuntimeError):
+    """Another writer has committed since this one read the store."""
 
 
 def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
@@ -35,6 +48,7 @@ class Manifests:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self._known: dict | None = None
+        self._number: int | None = None
 
     def _fs(self, path: str):
         sc = self.spark.sparkContext
@@ -46,32 +60,72 @@ class Manifests:
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
     def _complete(self) -> list[int]:
-        """Numbers of the manifests whose writing has ended, oldest first."""
-        top = f"{self.path}/manifests"
-        return sorted(int(n) for n in self._children(top)
-                      if n.isdigit() and "_SUCCESS" in self._children(f"{top}/{n}"))
+        """Numbers of the manifests, oldest first."""
+        return sorted(int(n[:-5]) for n in self._children(f"{self.path}/manifests") if n.endswith(".json") and n[:-5].isdigit())
 
     def manifest(self) -> dict | None:
-        """The newest complete manifest, or None for a folder without one.
+        """The newest manifest, or None for a folder without one.
 
         It is read once; an object sees other writers' later commits only
         after one of its own.
         """
-        if self._known is None:
+        if self._number is None:
             done = self._complete()
+            self._number = done[-1] if done else -1
             self._known = self._load(done[-1]) if done else None
         return self._known
 
     def _load(self, number: int) -> dict:
-        row = self.spark.read.option("wholetext", True).text(f"{self.path}/manifests/{number}").first()
-        return json.loads(row[0])
+        fs, p = self._fs(f"{self.path}/manifests/{number}.json")
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _next(self) -> int:
+        self.manifest()
+        return self._number + 1
+
+    def _mark(self, manifest: dict, number: int) -> None:
+        """The last step of a commit: its manifest appears under its number."""
+        sc = self.spark.sparkContext
+        fs, place = self._fs(f"{self.path}/manifests/{number}.json")
+        draft = self._fs(f"{self.path}/manifests/.{uuid.uuid4().hex}")[1]
+        out = fs.create(draft, False)
+        out.write(bytearray(json.dumps(manifest).encode()))
+        out.close()
+        hadoop = sc._jvm.org.apache.hadoop.fs
+        context = hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration())
+        try:
+            context.rename(fs.makeQualified(draft), fs.makeQualified(place), sc._gateway.new_array(hadoop.Options.Rename, 0))
+        except Py4JJavaError as e:
+            fs.delete(draft, False)
+            if fs.exists(place):
+                raise CommitConflict(f"{self.path}: version {number} was committed by another writer") from e
+            raise
+        self._known = self._number = None
+        if number % EXPIRE_EVERY == EXPIRE_EVERY - 1:
+            self.vacuum(KEEP)
+
+    def _folders(self, manifest: dict) -> set[str]:
+        """Data folders that a manifest names."""
+        raise NotImplementedError
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete commits that none of the last `keep` manifests names.
 
-    def _mark(self, manifest: dict, done: list[int]) -> None:
-        """The last step of a commit: its manifest, complete with `_SUCCESS`."""
-        number = (done[-1] + 1) if done else 0
-        (self.spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1)
-         .write.mode("overwrite").text(f"{self.path}/manifests/{number}"))
-        self._known = None
+        Folders with a later number than the oldest of these manifests may
+        belong to a commit under way and stay.
+        """
+        done = self._complete()
+        kept = done[-keep:]
+        named = set().union(*(self._folders(self._load(n)) for n in kept))
+        gone = [c for c in self._children(f"{self.path}/data") if c not in named and int(c[:8]) <= kept[0]] if kept else []
+        for path in [f"{self.path}/data/{c}" for c in gone] + [f"{self.path}/manifests/{n}.json" for n in done[:-keep]]:
+            fs, p = self._fs(path)
+            fs.delete(p, True)
+        return gone
 
 
 class VersionedTable(Manifests):
@@ -79,9 +133,13 @@ class VersionedTable(Manifests):
 
     def replace(self, write: Callable[[str], None]) -> None:
         """`write` fills the folder it is given."""
-        folder = uuid.uuid4().hex[:12]
+        number = self._next()
+        folder = f"{number:08d}-{uuid.uuid4().hex[:8]}"
         write(f"{self.path}/data/{folder}")
-        self._mark({"folder": folder}, self._complete())
+        self._mark({"folder": folder}, number)
+
+    def _folders(self, manifest: dict) -> set[str]:
+        return {manifest["folder"]}
 
     def folder(self) -> str | None:
         """Folder of the current version, or None before the first."""
@@ -93,15 +151,15 @@ class BucketStore(Manifests):
     """Versioned tables under one folder, keyed by the same columns.
 
     `n_buckets` counts only when the store is made; later it is read from the
-    manifest.  It should put a few hundred MB of rows in each bucket.  With
-    `bucket`, rows are dealt by that whole-number expression instead (the
-    months of a fact, say), whose values must be few enough to list.
+    manifest.  It should put a few hundred MB of rows in each bucket.  Tables
+    named in `buckets` are dealt by that whole-number expression instead (a
+    fact by its months, say), whose values must be few enough to list.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], n_buckets: int = DEFAULT_BUCKETS,
-                 bucket: Column | None = None):
+                 buckets: dict[str, Column] | None = None):
         super().__init__(spark, path)
-        self.keys, self._wanted, self._bucket = list(keys), n_buckets, bucket
+        self.keys, self._wanted, self._buckets = list(keys), n_buckets, buckets or {}
 
     @property
     def n_buckets(self) -> int:
@@ -110,68 +168,61 @@ class BucketStore(Manifests):
 
     # -- reading
 
-    def bucket(self) -> Column:
-        return bucket_of(self.keys, self.n_buckets) if self._bucket is None else self._bucket
+    def bucket(self, table: str | None = None) -> Column:
+        return self._buckets.get(table, bucket_of(self.keys, self.n_buckets))
 
-    def touched(self, batch: DataFrame) -> list[int]:
+    def touched(self, batch: DataFrame, table: str | None = None) -> list[int]:
         """Buckets of a batch's keys: at most `n_buckets` small numbers."""
-        return sorted(r[0] for r in batch.select(self.bucket()).distinct().collect())
+        return sorted(r[0] for r in batch.select(self.bucket(table)).distinct().collect())
 
     def read(self, table: str, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        """Rows of a table (of some buckets only), or None if there are none.
+        """Rows of a table (of some buckets only), or None if there never was one.
 
         Only the named buckets' folders are listed and scanned.  With a bucket
-        expression of the store's own, the bucket is a column of the result.
+        expression of the table's own, the bucket is a column of the result.
         """
-        m = self.manifest()
-        held = (m or {"tables": {}})["tables"].get(table, {})
+        m = self.manifest() or {"tables": {}}
+        if table not in m["tables"]:
+            return None
+        held = m["tables"][table]
         if buckets is not None:
             held = {b: c for b, c in held.items() if int(b) in set(buckets)}
+        schema = StructType.fromJson(json.loads(m["schemas"][table]))
         parts = [f"{self.path}/data/{commit}/{table}/{BUCKET}={b}" for b, commit in sorted(held.items())]
-        if not parts:
-            return None
-        if self._bucket is None:
-            return self.spark.read.parquet(*parts)
-        return self.spark.read.parquet(*parts).withColumn(BUCKET, self._bucket)
+        df = self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
+        return df.withColumn(BUCKET, self.bucket(table)) if table in self._buckets else df
 
     # -- writing
 
-    def commit(self, tables: dict[str, DataFrame], touched: Sequence[int], batch_id: int | None = None) -> None:
-        """Replace the touched buckets of each table by the rows given.
+    def commit(self, tables: dict[str, DataFrame], touched: Sequence[int] | dict[str, Sequence[int]],
+               batch_id: int | None = None) -> None:
+        """Replace the touched buckets (of each table) by the rows given.
 
         A bucket with a hot key is split over several tasks and files (the
         rebalance hint cuts partitions that are too large).  A touched bucket
-        without rows becomes empty.
+        without rows becomes empty.  Without a batch id the store keeps the
+        last one.
         """
-        self._known = None
-        done = self._complete()
-        old = self.manifest() or {"n_buckets": self._wanted, "tables": {}}
-        commit = f"{(done[-1] + 1) if done else 0:08d}-{uuid.uuid4().hex[:8]}"
-        placed = {}
+        number = self._next()
+        old = self.manifest() or {"n_buckets": self._wanted, "tables": {}, "schemas": {}, "batch_id": None}
+        commit = f"{number:08d}-{uuid.uuid4().hex[:8]}"
+        placed, schemas = {}, {}
         for name, df in tables.items():
             out = f"{self.path}/data/{commit}/{name}"
-            (df.withColumn(BUCKET, self.bucket()).hint("rebalance", BUCKET)
+            (df.withColumn(BUCKET, self.bucket(name)).hint("rebalance", BUCKET)
              .write.partitionBy(BUCKET).parquet(out))
             written = {n.split("=")[1] for n in self._children(out) if n.startswith(f"{BUCKET}=")}
-            held = {b: c for b, c in old["tables"].get(name, {}).items() if int(b) not in set(touched)}
+            gone = set(touched[name] if isinstance(touched, dict) else touched)
+            held = {b: c for b, c in old["tables"].get(name, {}).items() if int(b) not in gone}
             placed[name] = held | {b: commit for b in written}
-        self._mark({"n_buckets": old["n_buckets"], "batch_id": batch_id,
-                    "tables": {**old["tables"], **placed}}, done)
+            schemas[name] = df.drop(BUCKET).schema.json()
+        self._mark({"n_buckets": old["n_buckets"], "batch_id": old["batch_id"] if batch_id is None else batch_id,
+                    "tables": {**old["tables"], **placed}, "schemas": {**old["schemas"], **schemas}}, number)
+
+    def _folders(self, manifest: dict) -> set[str]:
+        return {c for held in manifest["tables"].values() for c in held.values()}
 
     def has_applied(self, batch_id: int) -> bool:
         """Whether a batch with this or a later number is in the store."""
         m = self.manifest()
         return bool(m) and m.get("batch_id") is not None and m["batch_id"] >= batch_id
-
-    def vacuum(self, keep: int = 2) -> list[str]:
-        """Delete commits that none of the last `keep` manifests names."""
-        done = self._complete()
-        named = set()
-        for n in done[-keep:]:
-            for held in self._load(n)["tables"].values():
-                named.update(held.values())
-        gone = [c for c in self._children(f"{self.path}/data") if c not in named]
-        for path in [f"{self.path}/data/{c}" for c in gone] + [f"{self.path}/manifests/{n}" for n in done[:-keep]]:
-            fs, p = self._fs(path)
-            fs.delete(p, True)
-        return gone

@@ -545,6 +545,24 @@ def q_fact_upsert_stored(spark, base):
     return _read_fact(store)
 
 
+@register("fact_upsert_by_feed")
+def q_fact_upsert_by_feed(spark, base):
+    """A snapshot deletes every seventh order; then a small feed with moved,
+    shipped, new and re-sent deleted lines is written, twice by one batch id."""
+    L, store = _stored_fact(spark, base, "fact-feed")
+    fact = L.fact_sales.drop(*storage.PARTITION_COLUMNS)
+    stored_fact.soft_delete(store, fact.where("orderid % 7 != 0").select("orderid"), ["orderid"])
+    new_key = F.when(F.col("orderid") % 50 == 3, F.col("product_id") + 10_000_000).otherwise(F.col("product_id"))
+    feed = (fact.where("orderid % 50 in (1, 2, 3) or orderid % 35 = 0")
+            .withColumns({"order_date": F.when(F.col("orderid") % 50 == 1, F.add_months("order_date", 1)).otherwise(F.col("order_date")),
+                          "shipped_date": F.when(F.col("orderid") % 50 == 2, F.col("required_date")).otherwise(F.col("shipped_date")),
+                          "product_id": new_key})
+            .withColumn("fact_sales_sk", hashing.surrogate_key(["orderid", "product_id"])))
+    for _ in range(2):
+        stored_fact.upsert(store, feed, batch_id=7)
+    return _read_fact(store)
+
+
 @register("fact_soft_delete_stored")
 def q_fact_soft_delete_stored(spark, base):
     """Lines of orders that a snapshot of closed orders lacks are flagged in

@@ -26,9 +26,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.plans.versioned import BucketStore
+from strata.plans.versioned import BucketStore, CommitConflict
 
 STATE = "state"
+#: Times that a batch is merged again when another writer was faster.
+ATTEMPTS = 3
 
 
 def read_state(spark: SparkSession, target: str, include_tombstones: bool = False):
@@ -56,15 +58,23 @@ def merge_batch(batch: DataFrame, target: str, keys: Sequence[str], seq: str,
                 tiebreak: str | None = None, delete_when=None, n_buckets: int = 16,
                 batch_id: int | None = None) -> None:
     """Merge one batch of changes into the bucketed state at ``target``."""
-    store = BucketStore(batch.sparkSession, target, keys, n_buckets)
-    if batch_id is not None and store.has_applied(batch_id):
-        return
     batch = batch.persist()
     try:
-        touched = store.touched(batch)
-        if touched:
+        for attempt in range(ATTEMPTS):
+            # after a conflict the store is read anew
+            store = BucketStore(batch.sparkSession, target, keys, n_buckets)
+            if batch_id is not None and store.has_applied(batch_id):
+                return
+            touched = store.touched(batch)
+            if not touched:
+                return
             state = store.read(STATE, touched)
-            store.commit({STATE: merge_latest(state, batch, keys, seq, tiebreak, delete_when)}, touched, batch_id)
+            try:
+                store.commit({STATE: merge_latest(state, batch, keys, seq, tiebreak, delete_when)}, touched, batch_id)
+                return
+            except CommitConflict:
+                if attempt == ATTEMPTS - 1:
+                    raise
     finally:
         batch.unpersist()
 

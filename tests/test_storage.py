@@ -103,3 +103,91 @@ def test_no_shared_folder_is_an_error_on_a_cluster():
         with pytest.raises(session.NoSharedFolder):
             session.shared_dir(fake(master))
     assert session.shared_dir(fake("local[2]"))
+
+
+def _fact_rows(spark, data):
+    from pyspark.sql import functions as F
+    return spark.createDataFrame(data, "orderid long, product_id long, order_date string, shipped string, v string").select(
+        "orderid", "product_id", F.to_date("order_date").alias("order_date"), "shipped", "v",
+        F.md5(F.col("v")).alias("_change_hash"), F.lit(False).alias("_is_deleted"))
+
+
+FACT = [(1, 1, "2024-01-05", None, "a"), (2, 1, "2024-01-06", None, "b"), (3, 1, "2024-03-01", None, "c"), (None, None, None, None, "n")]
+
+
+def _state(store):
+    return sorted(((r.orderid, str(r.order_date), r.shipped, r.v, r._is_deleted) for r in store.read("fact_sales").collect()), key=repr)
+
+
+def test_upsert_sees_headers_and_brings_deleted_lines_back(spark):
+    from strata.plans import stored_fact as sf
+    from strata.session import scratch_path
+    store = sf.fact_store(spark, scratch_path(spark, "fact"), n_buckets=4)
+    sf.create(store, _fact_rows(spark, FACT))
+    # the order line's own hash is the same in all of these
+    moved = [(1, 1, "2024-02-05", None, "a"), (2, 1, "2024-01-06", "s", "b")]
+    assert sf.upsert(store, _fact_rows(spark, moved), batch_id=4) == [202401, 202402]
+    assert sf.upsert(store, _fact_rows(spark, FACT), batch_id=4) == []          # that id was applied
+    assert sf.upsert(store, _fact_rows(spark, moved)) == []                     # nothing new
+    assert store.has_applied(4)
+    all_keys = _fact_rows(spark, FACT).select("orderid")
+    assert sf.soft_delete(store, all_keys.where("orderid = 2"), ["orderid"]) == [0, 202402, 202403]
+    assert store.has_applied(4)                                                 # kept by commits without an id
+    assert [r[4] for r in _state(store)] == [True, False, True, True]
+    assert sf.upsert(store, _fact_rows(spark, [FACT[2]])) == [202403]           # sent again: back
+    assert sf.soft_delete(store, all_keys, ["orderid"]) == [0, 202402]          # in the snapshot: back
+    assert _state(store) == sorted([(1, "2024-02-05", None, "a", False), (2, "2024-01-06", "s", "b", False),
+                                    (3, "2024-03-01", None, "c", False), (None, "None", None, "n", False)], key=repr)
+
+
+def test_upsert_reads_only_the_buckets_and_months_it_touches(spark, monkeypatch):
+    from strata.plans import stored_fact as sf
+    from strata.plans.versioned import BucketStore
+    from strata.session import scratch_path
+    store = sf.fact_store(spark, scratch_path(spark, "fact"))
+    sf.create(store, _fact_rows(spark, [(k, 1, f"2024-{k % 12 + 1:02d}-01", None, "x") for k in range(200)]))
+    read, files = BucketStore.read, []
+
+    def spy(self, table, buckets=None):
+        df = read(self, table, buckets)
+        files.extend(f.split("/data/")[1].split("/", 1)[1].rsplit("/", 1)[0] for f in df.inputFiles())
+        return df
+
+    monkeypatch.setattr(BucketStore, "read", spy)
+    assert sf.upsert(store, _fact_rows(spark, [(5, 1, "2024-08-02", None, "x")])) == [202406, 202408]
+    assert {f for f in files if f.startswith("fact")} == {"fact_sales/_bucket=202406", "fact_sales/_bucket=202408"}
+    assert len({f for f in files if f.startswith("locator")}) == 1
+
+
+def test_an_empty_fact_takes_rows(spark):
+    from strata.plans import stored_fact as sf
+    from strata.session import scratch_path
+    store = sf.fact_store(spark, scratch_path(spark, "fact"))
+    sf.create(store, _fact_rows(spark, []))
+    assert _state(store) == [] and sf.soft_delete(store, _fact_rows(spark, FACT), ["orderid"]) == []
+    assert sf.upsert(store, _fact_rows(spark, FACT[:1])) == [202401]
+    assert _state(store) == [(1, "2024-01-05", None, "a", False)]
+
+
+def test_of_two_writers_one_must_begin_again(spark):
+    import pytest
+    from strata.plans.versioned import BucketStore, CommitConflict
+    from strata.session import scratch_path
+    path = scratch_path(spark, "store")
+    rows = lambda ks: spark.createDataFrame([(k, "v") for k in ks], "k long, v string")
+    one, two = BucketStore(spark, path, ["k"], 2), BucketStore(spark, path, ["k"], 2)
+    assert one.read("t") is None and two.read("t") is None
+    one.commit({"t": rows([1])}, [0, 1], batch_id=5)
+    with pytest.raises(CommitConflict):
+        two.commit({"t": rows([2])}, [0, 1])
+    assert [r.k for r in BucketStore(spark, path, ["k"]).read("t").collect()] == [1]
+
+
+def test_old_versions_expire(spark):
+    from strata.plans import versioned
+    from strata.session import scratch_path
+    store = versioned.BucketStore(spark, scratch_path(spark, "store"), ["k"], 1)
+    for n in range(2 * versioned.EXPIRE_EVERY):
+        store.commit({"t": spark.createDataFrame([(1, n)], "k long, n long")}, [0])
+    assert len(store._children(f"{store.path}/data")) == versioned.KEEP == len(store._complete())
+    assert store.read("t").first().n == 2 * versioned.EXPIRE_EVERY - 1
