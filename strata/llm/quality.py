@@ -9,8 +9,8 @@ Soft rules (too many symbols, too many repeated lines, words too short or too
 long) are weak evidence in one document, so they only count together with the
 document's host: for every rule the failures are added up by host, each
 host's rate is shrunk towards the rate of all hosts by a beta prior fitted to
-the hosts' rates (method of moments), and a host whose shrunk rate passes
-`host_limit` is judged bad under that rule.  A document is dropped if it fails
+the hosts' rates (method of moments), and a host whose shrunk rate is over the
+prior's mean by more than `host_margin` of it is judged bad under that rule.  A document is dropped if it fails
 a rule under which its host is bad; a clean document stays whatever its host.
 
 Hosts come to one row each before anything is joined, so a host with a third
@@ -78,8 +78,9 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .drop("_w", "_l", "_h", "_s", "_p"))
 
 
-def host_verdicts(failures: DataFrame, host_limit: float) -> DataFrame:
-    """(host, bad_<rule>): hosts whose shrunk failure rate passes the limit.
+def host_verdicts(failures: DataFrame, host_margin: float) -> DataFrame:
+    """(host, bad_<rule>): hosts whose shrunk failure rate is over the fitted
+    prior's mean by more than the margin (a share of that mean).
 
     `failures` has a host and a boolean fail_<rule> a document.  With m and v
     the mean and variance of the hosts' rates, the prior is
@@ -100,13 +101,18 @@ def host_verdicts(failures: DataFrame, host_limit: float) -> DataFrame:
             shrunk = (F.col(r) + m * s) / (F.col("n") + s)
         else:
             shrunk = F.lit(m)
-        bad.append((shrunk > host_limit).alias(f"bad_{r}"))
+        bad.append((shrunk > m * (1 + host_margin)).alias(f"bad_{r}"))
     return hosts.select("host", *bad)
 
 
 def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", min_words: int = 20,
-          host_limit: float = 0.5) -> DataFrame:
-    """All columns of `docs` but the text, with features, base_failed and kept."""
+          host_margin: float = 0.1) -> DataFrame:
+    """All columns of `docs` but the text, with features, base_failed and kept.
+
+    A document goes if it fails outright, or fails a rule of which its host is
+    bad; one that fails no rule stays whatever its host.  Columns of `docs` with
+    the names of the results are replaced.
+    """
     added = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     own = [c for c in docs.columns if c not in (*added, text_col)]
     rows = docs.select(F.struct(*own).alias("row"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
@@ -120,7 +126,7 @@ def judge(docs: DataFrame, host_col: str = "source", text_col: str = "text", min
         .withColumn("fail_dup_lines", F.col("n_dup_lines") > MAX_DUP_LINES * F.col("n_lines"))
         .withColumn("fail_word_length", F.when(n > 0, (mean < WORD_CHARS[0]) | (mean > WORD_CHARS[1])).otherwise(False)),
         docs.sparkSession)
-    verdicts = host_verdicts(judged.select("host", *[f"fail_{r}" for r in RULES]), host_limit)
+    verdicts = host_verdicts(judged.select("host", *[f"fail_{r}" for r in RULES]), host_margin)
     dropped = F.lit(False)
     for r in RULES:
         dropped = dropped | (F.col(f"fail_{r}") & F.col(f"bad_{r}"))

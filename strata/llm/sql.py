@@ -103,11 +103,11 @@ SELECT conv_id, count(*) AS n_turns,
 FROM n GROUP BY conv_id"""
 
 
-def quality(min_words: int, host_limit: float, symbols: float, lines: float, chars: tuple[float, float]) -> str:
+def quality(min_words: int, host_margin: float, symbols: float, lines: float, chars: tuple[float, float]) -> str:
     rules = ("symbols", "dup_lines", "word_length")
     prior = ", ".join(f"avg({r} / n) AS m_{r}, var_pop({r} / n) AS v_{r}" for r in rules)
     size = lambda r: f"greatest(m_{r} * (1 - m_{r}) / v_{r} - 1, 0)"
-    bad = ", ".join(f"CASE WHEN v_{r} > 1e-12 THEN ({r} + m_{r} * {size(r)}) / (n + {size(r)}) ELSE m_{r} END > {host_limit} AS bad_{r}"
+    bad = ", ".join(f"CASE WHEN v_{r} > 1e-12 THEN ({r} + m_{r} * {size(r)}) / (n + {size(r)}) ELSE m_{r} END > m_{r} * (1 + {host_margin}) AS bad_{r}"
                     for r in rules)
     dropped = " OR ".join(f"(fail_{r} AND bad_{r})" for r in rules)
     return f"""
