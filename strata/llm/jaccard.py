@@ -14,8 +14,8 @@ sizes.  Only those first tokens are rows.
 
 Matrix.  The join goes through groups of similar sets:
 
-1. At each token the sets of one size class meet the class's first set there
-   (a star).  Verified stars make preliminary components.
+1. At each token the sets of one size class meet the one in their middle, whose
+   tokens are the most widely held (a star).  Verified stars make preliminary components.
 2. The sets of a component are dealt to groups of about `GROUP` members; a set
    without a link is a group by itself.  A column of the matrix is a group: the
    first tokens of its members, and the union of all their tokens, kept as codes
@@ -359,13 +359,16 @@ def jaccard_groups(docs: DataFrame, percent: int = 85, shingle_words: int = 4, i
     rows = (sets.where("n > 0").select("set", "n", size_class.alias("class"), F.explode("first").alias("token"))
             .repartition("token").dropDuplicates(["token", "set"]))
     holders = F.count("*").over(Window.partitionBy("token"))
-    hub = F.min(F.struct("set", "n")).over(Window.partitionBy("token", "class"))
-    shared = _write(rows.withColumn("holders", holders).where("holders > 1").drop("holders")
-                    .withColumn("hub", hub).drop("class"), "shared")
+    shared = _write(rows.withColumn("holders", holders).where("holders > 1"), "shared")
+    # The set with the largest share of widely held tokens is nearest to all
+    # the others that hold them.
+    middle = shared.groupBy("set", "n").agg(F.sum(F.log("holders")).alias("held")).select("set", (F.col("held") / F.col("n")).alias("middle"))
+    hub = F.max(F.struct("middle", "set", "n")).over(Window.partitionBy("token", "class"))
+    placed = shared.select("token", "set", "n", "class").join(middle, "set").withColumn("hub", hub)
 
     n, m = F.col("n"), F.col("m")
     # At some tokens another set is the first: half of what is shared will do.
-    stars = (shared.where(F.col("hub.set") != F.col("set"))
+    stars = (placed.where(F.col("hub.set") != F.col("set"))
              .groupBy(F.col("set").alias("a"), F.col("hub.set").alias("group"), "n", F.col("hub.n").alias("m")).agg(F.count("*").alias("common"))
              .where(_fit(n, m, percent) & (2 * F.col("common") >= _shared_least(n, m, m, percent)))
              .select("a", "group", n.alias("q"), m.alias("low")))
