@@ -411,6 +411,7 @@ for _f in ("categories", "products", "customers", "employees", "orders", "order_
         if _f in ("products", "customers", "order_details") else f"SELECT * FROM raw_{_f}")
 ORACLE["ingest_stream_csv"] = "SELECT * FROM events"
 ORACLE["ingest_stream_incremental"] = "SELECT * FROM events"
+ORACLE["ingest_stream_dedup"] = "SELECT * FROM events"
 ORACLE["cdc_stream_apply"] = ORACLE["cdc_apply_latest"]
 
 # ------------------------------------------------------------------ documented marts
@@ -563,6 +564,46 @@ ORACLE["dim_customers_history"] = with_model(
     "SELECT * RENAME (customerid AS customer_id) FROM cust_history", **_CUSTOMERS)
 ORACLE["dim_products_history"] = with_model(
     "SELECT * RENAME (productid AS product_id) FROM prod_history", **_PRODUCTS)
+_EMP_TRACKED = ["employeename", "title", "city", "country", "reportsto"]
+_EMPLOYEE_FEED = f"""
+  SELECT employeeid, {', '.join(_EMP_TRACKED)}, {_T1} AS changed_at, FALSE AS gone FROM employees_clean
+  UNION ALL SELECT employeeid, CASE WHEN employeeid % 3 = 0 THEN employeename || ' II' ELSE employeename END, title, city, country,
+            CASE WHEN employeeid % 5 = 0 THEN 2 ELSE reportsto END, {_T2}, FALSE FROM employees_clean
+            WHERE employeeid % 3 = 0 OR employeeid % 5 = 0
+  UNION ALL SELECT employeeid, {', '.join(_EMP_TRACKED)}, {_T3}, TRUE FROM employees_clean WHERE employeeid % 11 = 0"""
+
+
+def _with_names(own: str, key: str, link: str, names: str, names_key: str, name: str, out: str, fields: str) -> str:
+    """Versions of `own` cut at every start and end of the linked name's versions."""
+    return f"""
+SELECT {fields}, n.{name} AS {out}, s.cut AS _effective_date, s.til AS _end_date, s.til IS NULL AS _is_current,
+       md5(concat_ws('|', CAST(o.{key} AS VARCHAR), CAST(s.cut AS VARCHAR))) AS version_sk
+FROM {own} o JOIN (
+  SELECT {key}, since, cut, least(lead(cut) OVER (PARTITION BY {key}, since ORDER BY cut), _end_date) AS til, _end_date FROM (
+    SELECT DISTINCT o.{key}, o._effective_date AS since, o._end_date, t.cut FROM {own} o JOIN (
+      SELECT {key}, _effective_date AS cut, NULL AS link FROM {own}
+      UNION SELECT NULL, _effective_date, {names_key} FROM {names}
+      UNION SELECT NULL, _end_date, {names_key} FROM {names} WHERE _end_date IS NOT NULL) t
+    ON (t.{key} = o.{key} OR t.link = o.{link}) AND t.cut >= o._effective_date AND (o._end_date IS NULL OR t.cut < o._end_date))) s
+  ON s.{key} = o.{key} AND s.since = o._effective_date
+LEFT JOIN {names} n ON n.{names_key} = o.{link} AND n._effective_date <= s.cut AND (n._end_date IS NULL OR s.cut < n._end_date)"""
+
+
+ORACLE["dim_employees_history"] = with_model(
+    _with_names("emp_history", "employeeid", "reportsto", "mgr_history", "employeeid", "employeename", "manager_name",
+                "o.employeeid AS employee_id, o.employeename AS employee_name, o.title, o.city, o.country, o.reportsto AS reports_to_id"),
+    **_history_of("emp", "employeeid", _EMPLOYEE_FEED, _EMP_TRACKED),
+    **_history_of("mgr", "employeeid", _EMPLOYEE_FEED, ["employeename"]))
+_PRODUCT_CATEGORY = _history_of("prod", "productid", _PRODUCTS["prod_feed"].replace("discontinued, ", "discontinued, categoryid, "),
+                                ["productname", "unitprice", "discontinued", "categoryid"])
+_CATEGORY = _history_of("cat", "categoryid", f"""
+  SELECT categoryid, categoryname, {_T1} AS changed_at, FALSE AS gone FROM categories_clean
+  UNION ALL SELECT categoryid, categoryname || ' II', {_T2}, FALSE FROM categories_clean WHERE categoryid % 2 = 0
+  UNION ALL SELECT categoryid, categoryname, {_T3}, TRUE FROM categories_clean WHERE categoryid % 5 = 0""", ["categoryname"])
+ORACLE["dim_products_category_history"] = with_model(
+    _with_names("prod_history", "productid", "categoryid", "cat_history", "categoryid", "categoryname", "category_name",
+                "o.productid AS product_id, o.productname, o.unitprice, o.discontinued, o.categoryid AS category_id"),
+    **_PRODUCT_CATEGORY, **_CATEGORY)
 ORACLE["fact_sales_versioned"] = with_model("""
 SELECT f.orderid, f.product_id, f.customer_id, f.order_date, f.line_total,
        c.version_sk AS customer_version_sk, c.contacttitle AS customer_contacttitle,

@@ -116,3 +116,16 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], col:
         F.struct(F.last("_v", ignorenulls=True).over(
             _across(keys).rowsBetween(Window.unboundedPreceding, -1)).alias("v")).alias("_carry"))
     return _carry_join(local, carry, keys, "_edge", [(out, "v")]).drop(SLICE)
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+    """``out`` = 1, 2, ... within ``keys`` by ``order`` (a total order inside the key)."""
+    s = sliced(df, keys, order)
+    local = s.withColumn("_local", F.row_number().over(_within(keys, order)))
+    counts = s.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select(
+        *[F.col(k).alias(f"_c_{k}") for k in (*keys, SLICE)],
+        F.coalesce(F.sum("_n").over(_across(keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    cond = reduce(and_, [s[k].eqNullSafe(F.col(f"_c_{k}")) for k in (*keys, SLICE)])
+    return (local.join(before, cond, "left").withColumn(out, F.col("_local") + F.col("_before"))
+            .drop("_local", "_before", SLICE, *[f"_c_{k}" for k in (*keys, SLICE)]))

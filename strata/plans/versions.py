@@ -12,12 +12,13 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators import history
+from strata.operators import history, temporal
 
 #: Times of the feeds: first load, changes, deletes.  Orders begin before the
 #: first load and go on after the deletes.
 FIRST, CHANGED, DELETED = dt.datetime(1996, 1, 1), dt.datetime(1998, 1, 1), dt.datetime(2000, 1, 1)
 CUSTOMER_TRACKED = ["companyname", "contacttitle", "country"]
+EMPLOYEE_TRACKED = ["employeename", "title", "city", "country", "reportsto"]
 PRODUCT_TRACKED = ["productname", "unitprice", "discontinued"]
 
 
@@ -54,6 +55,49 @@ def dim_products_history(products: DataFrame) -> DataFrame:
         .withColumnRenamed("productid", "product_id")
 
 
+def employee_feed(employees: DataFrame) -> DataFrame:
+    """Every third employee gets another name, every fifth another manager,
+    every eleventh goes; the managers among them change their reports' versions."""
+    e = employees.select("employeeid", *EMPLOYEE_TRACKED)
+    number = F.col("employeeid")
+    changed = e.where((number % 3 == 0) | (number % 5 == 0)).withColumns({
+        "employeename": F.when(number % 3 == 0, F.concat("employeename", F.lit(" II"))).otherwise(F.col("employeename")),
+        "reportsto": F.when(number % 5 == 0, F.lit(2)).otherwise(F.col("reportsto")).cast("long")})
+    return _feed(e, changed, e.where(number % 11 == 0))
+
+
+def dim_employees_history(employees: DataFrame) -> DataFrame:
+    """Employee versions with the manager's name of their time.
+
+    A version is split where the manager is renamed or goes; the split is told
+    by the manager's names alone, so a manager's new title splits nothing.
+    """
+    feed = employee_feed(employees)
+    own = history.scd2_from_log(feed, ["employeeid"], "changed_at", EMPLOYEE_TRACKED)
+    names = history.scd2_from_log(feed, ["employeeid"], "changed_at", ["employeename"]).select(
+        F.col("employeeid").alias("manager_id"), F.col("employeename").alias("manager_name"), "_effective_date", "_end_date")
+    return (temporal.temporal_join(own.drop("_change_hash"), names, "reportsto", "manager_id", ["manager_name"], ["employeeid"])
+            .withColumnsRenamed({"employeeid": "employee_id", "employeename": "employee_name", "reportsto": "reports_to_id"}))
+
+
+def category_feed(categories: DataFrame) -> DataFrame:
+    """Every second category is renamed, every fifth goes."""
+    c = categories.select("categoryid", "categoryname")
+    renamed = c.where("categoryid % 2 = 0").withColumn("categoryname", F.concat("categoryname", F.lit(" II")))
+    return _feed(c, renamed, c.where("categoryid % 5 = 0"))
+
+
+def dim_products_category_history(products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Product versions with the category's name of their time."""
+    p = products.select("productid", *PRODUCT_TRACKED, "categoryid")
+    feed = product_feed(p).join(p.select("productid", "categoryid"), "productid")
+    own = history.scd2_from_log(feed, ["productid"], "changed_at", [*PRODUCT_TRACKED, "categoryid"])
+    names = history.scd2_from_log(category_feed(categories), ["categoryid"], "changed_at", ["categoryname"]).select(
+        F.col("categoryid").alias("_category"), F.col("categoryname").alias("category_name"), "_effective_date", "_end_date")
+    return (temporal.temporal_join(own.drop("_change_hash"), names, "categoryid", "_category", ["category_name"], ["productid"])
+            .withColumnsRenamed({"productid": "product_id", "categoryid": "category_id"}))
+
+
 def fact_sales_versioned(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with the customer's and product's version of the order date.
 

@@ -446,6 +446,21 @@ def q_ingest_stream_incremental(spark, base):
     return ingest.read_table(spark, target).drop("ingestion_timestamp")
 
 
+@register("ingest_stream_dedup")
+def q_ingest_stream_dedup(spark, base):
+    """A feed whose second delivery repeats all of the first: each event is
+    stored once, the repeats being in the state or behind the watermark."""
+    src = scratch_path(spark, "csv-events-twice")
+    target, ckpt = scratch_path(spark, "bronze-dedup"), scratch_path(spark, "ckpt-dedup")
+    early = F.coalesce(F.col("ts") < F.lit(SNAPSHOT_CUT), F.lit(True))
+    for part in (early, F.lit(True)):
+        _stage_events(spark, base, where=part, path=src)
+        stream = ingest.csv_stream(spark, src, EVENT_SCHEMA, max_files_per_trigger=64)
+        once = ingest.deduplicated(stream, ["event_id"], "ts", delay="30 days")
+        ingest.run_to_end(ingest.write_incremental(ingest.stamp(once), target, ckpt))
+    return ingest.read_table(spark, target).drop("ingestion_timestamp")
+
+
 @register("cdc_stream_apply")
 def q_cdc_stream_apply(spark, base):
     """Change feed applied micro-batch by micro-batch (a week of daily files
@@ -516,6 +531,17 @@ def q_dim_products_history(spark, base):
     return versions.dim_products_history(Warehouse(spark, base).clean("products"))
 
 
+@register("dim_employees_history")
+def q_dim_employees_history(spark, base):
+    return versions.dim_employees_history(Warehouse(spark, base).clean("employees"))
+
+
+@register("dim_products_category_history")
+def q_dim_products_category_history(spark, base):
+    L = Warehouse(spark, base)
+    return versions.dim_products_category_history(L.clean("products"), L.clean("categories"))
+
+
 @register("fact_sales_versioned")
 def q_fact_sales_versioned(spark, base):
     L = Warehouse(spark, base)

@@ -69,6 +69,20 @@ def raw_feed_stream(spark: SparkSession, path: str, feed: str, **kw) -> DataFram
     return stamp(csv_stream(spark, path, feed_schema(feed), **kw))
 
 
+def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """Each key once, however often a source delivers it.
+
+    A key is remembered until the watermark (the latest event time less
+    ``delay``) has passed its event time by ``delay``; a repeat that comes even
+    later is behind the watermark and dropped for that.  So the state holds the
+    keys of about two delays, not of all time.  A *new* row behind the watermark
+    is lost: choose a delay longer than a source's lateness.  Rows without an
+    event time never expire and are not dropped as late.
+    """
+    timed = stream.withColumn("_event_time", F.col(event_time).cast("timestamp")).withWatermark("_event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+
+
 def write_incremental(stream: DataFrame, target: str, checkpoint: str,
                       partition_by: Sequence[str] = (), available_now: bool = True):
     """Append a stream to a parquet table, resumable from ``checkpoint``.

@@ -110,3 +110,24 @@ def test_stream_events_are_logged(spark):
         assert sum(e.get("input_rows") or 0 for e in log.events()) == 2
     finally:
         progress.detach(spark, log)
+
+
+def test_dedup_over_runs_drops_repeats_and_bounds_its_state(spark):
+    src, target, ckpt = (scratch_path(spark, n) for n in ("src", "tgt", "ckpt"))
+    day = lambda n: D(2024, 1, 1) + dt.timedelta(days=n)
+    sent, state = [], []
+    for run in range(6):
+        new = [(100 * run + k, day(30 * run + k), "a") for k in range(20)]
+        # the last delivery again, a key of long ago, and the same row twice
+        _drop(spark, src, new + sent[-20:] + sent[:3] + new[:2])
+        sent += new
+        query = ingest.write_incremental(ingest.deduplicated(ingest.csv_stream(spark, src, SCHEMA), ["k"], "ts", "40 days"), target, ckpt)
+        ingest.run_to_end(query)
+        state.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = sorted((r["k"], r["ts"]) for r in ingest.read_table(spark, target).collect())
+    assert got == [(k, t) for k, t, _ in sent]
+    assert max(state) <= 80 < len(sent)                              # about two delays of keys
+    # a new row behind the watermark is lost, as documented
+    _drop(spark, src, [(9999, day(1), "late"), (9998, day(175), "new")])
+    ingest.run_to_end(ingest.write_incremental(ingest.deduplicated(ingest.csv_stream(spark, src, SCHEMA), ["k"], "ts", "40 days"), target, ckpt))
+    assert {r["k"] for r in ingest.read_table(spark, target).collect()} - {k for k, _, _ in sent} == {9998}
