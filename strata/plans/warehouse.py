@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import inspect
+import sys
 import uuid
 from functools import cached_property
 
@@ -53,12 +54,12 @@ INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 #: Modules whose code decides what the stored tables hold.
-BUILDERS = (clean, dims, storage, feeds, columns, dedupe, hashing)
+BUILDERS = (clean, dims, storage, feeds, columns, dedupe, hashing, quality, layers)
 
 
 def plan_version() -> str:
     """Hash of the code the stored tables are built by."""
-    return hashlib.sha1("".join(inspect.getsource(m) for m in BUILDERS).encode()).hexdigest()[:8]
+    return hashlib.sha1("".join(inspect.getsource(m) for m in (*BUILDERS, sys.modules[__name__])).encode()).hexdigest()[:8]
 
 
 def input_signature(spark: SparkSession, base_dir: str) -> str:
