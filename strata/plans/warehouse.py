@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions import hashing
 from strata.operators import columns, dedupe, quality
-from strata.plans import clean, dims, storage
+from strata.plans import clean, dims, layers, storage
 from strata.plans.layers import Layers
 from strata.plans.versioned import VersionedTable
 from strata.session import shared_dir
