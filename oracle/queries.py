@@ -642,3 +642,9 @@ ORACLE["ingest_schema_evolution"] = (
 ORACLE["fact_saved_with_statistics"] = with_model("""
 SELECT CAST(year(order_date) AS INT) AS order_year, count(*) AS lines, count(DISTINCT orderid) AS orders,
        CAST(sum(line_total) AS DECIMAL(28,2)) AS sales FROM fact_sales GROUP BY 1""")
+ORACLE["layers_incremental"] = with_model("""
+SELECT f.* REPLACE (orderid % 11 = 0 AS _is_deleted) FROM fact_sales f
+WHERE orderid % 11 <> 0
+   OR (orderid % 3 < 2 AND EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = f.orderid AND l.l_partkey = f.product_id
+                                   AND CAST(l.l_quantity AS INT) % 3 < 2))""")
+ORACLE["layers_incremental_history"] = ORACLE["dim_customers_history"]

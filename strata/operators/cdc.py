@@ -34,6 +34,16 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
         .drop(*[f"_r_{k}" for k in keys])
 
 
+def by_key(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows whose key the other table has (``left_semi``) or lacks
+    (``left_anti``); a NULL key is a key like any other."""
+    r = others.select(*[F.col(k).alias(f"_x_{k}") for k in keys])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_x_{k}"))
+    return rows.join(r, cond, how)
+
+
 def apply_changes(feed: DataFrame, keys: Sequence[str], seq: str, tiebreak: str | None = None,
                   delete_when: Column | str | None = None) -> DataFrame:
     """Type-1 state after an ordered change feed: per key the change with the

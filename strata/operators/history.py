@@ -136,6 +136,8 @@ def apply_to_table(spark, target: str, batch: DataFrame, keys: Sequence[str], se
     batch = materialize(batch, spark)
     touched = store.touched(batch)
     if not touched:
+        if batch_id is not None:
+            store.commit({}, touched, batch_id)
         return
     log, history = scd2_apply(store.read(LOG, touched), batch, keys, seq, tracked, tiebreak, delete_when)
     store.commit({LOG: log, HISTORY: history}, touched, batch_id)

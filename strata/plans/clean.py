@@ -129,26 +129,39 @@ SPECS: dict[str, CleanSpec] = {
 INGEST_COL = "ingestion_timestamp"
 
 
-def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = False,
-          keep: str = "first", money: str = MONEY) -> DataFrame:
-    """Run the cleaning chain on one raw feed.
-
-    ``keep="last"`` keeps the last row of a key instead (the last re-sent
-    version of a record).  ``money`` is the type of derived amounts."""
+def typed(raw: DataFrame, spec: CleanSpec, strict_casts: bool = False) -> DataFrame:
+    """Raw rows with standard names, trimmed, cast and filled."""
     ops.validate_required_columns(raw, spec.required)
     df = ops.standardize_columns(raw)
     if spec.trim:
         df = ops.normalize_strings(df)
     df = ops.cast_columns(df, spec.casts, strict=strict_casts)
-    df = ops.handle_nulls(df, spec.fills)
-    # newest ingest first; then every business column ascending, nulls first
+    return ops.handle_nulls(df, spec.fills)
+
+
+def deduplicated(df: DataFrame, spec: CleanSpec, keep: str = "first") -> DataFrame:
+    """One typed row a key: newest ingest first, then every business column
+    ascending, nulls first.  The winner of winners is the winner of all."""
     order = [f"-{INGEST_COL}"] if INGEST_COL in df.columns else []
-    df = remove_duplicates(df, subset=spec.key, keep=keep, order_by=order)
+    return remove_duplicates(df, subset=spec.key, keep=keep, order_by=order)
+
+
+def finished(df: DataFrame, spec: CleanSpec, as_of=None, money: str = MONEY) -> DataFrame:
+    """Derived, audit and hash columns of deduplicated rows."""
     if spec.derive is not None:
         df = spec.derive(df, money)
     df = ops.add_audit_columns(df, source=spec.source_tag, as_of=as_of)
     return ops.create_hash_column(df, spec.hash_columns)
 
 
+def clean(raw: DataFrame, spec: CleanSpec, as_of=None, strict_casts: bool = False,
+          keep: str = "first", money: str = MONEY) -> DataFrame:
+    """Run the cleaning chain on one raw feed.
+
+    ``keep="last"`` keeps the last row of a key instead (the last re-sent
+    version of a record).  ``money`` is the type of derived amounts."""
+    return finished(deduplicated(typed(raw, spec, strict_casts), spec, keep), spec, as_of, money)
+
+
 def clean_table(raw: DataFrame, feed: str, as_of=None, keep: str = "first", money: str = MONEY) -> DataFrame:
     return clean(raw, SPECS[feed], as_of=as_of, keep=keep, money=money)

@@ -651,3 +651,39 @@ def q_fact_saved_with_statistics(spark, base):
     return spark.read.table(name).groupBy("order_year").agg(
         F.count(F.lit(1)).alias("lines"), F.count_distinct("orderid").alias("orders"),
         F.sum("line_total").cast("decimal(28,2)").alias("sales"))
+
+
+# ---------------------------------------------------------------- layers in increments
+from strata.plans.incremental import IncrementalLayers  # noqa: E402
+
+
+@register("layers_incremental")
+def q_layers_incremental(spark, base):
+    """The fact after three batches: headers come by order number, lines by
+    quantity (so before and after their header, and repeats of a line in other
+    batches than the first); the last batch deletes every eleventh order."""
+    L = Layers(spark, base)
+    layers = IncrementalLayers(spark, scratch_path(spark, "increments"), {})
+    orders, lines = (L.raw(f).withColumn("ingestion_timestamp", F.lit(ops.FIXED_CLOCK).cast("timestamp"))
+                     for f in IncrementalLayers.SALES)
+    number = F.col("orderID").cast("bigint")
+    for n in range(3):
+        raws = {"orders": orders.where(F.pmod(number, F.lit(3)) == n),
+                "order_details": lines.where(F.pmod(F.col("quantity").cast("int"), F.lit(3)) == n)}
+        gone = {"orders": orders.where(number % 11 == 0).select(number.alias("orderid"))} if n == 2 else {}
+        layers.apply(n, versions.CHANGED, raws, gone)
+    return _stable(layers.read_fact())
+
+
+@register("layers_incremental_history")
+def q_layers_incremental_history(spark, base):
+    """Customer versions after three batches: all, the changed third, deletes."""
+    raw = Layers(spark, base).raw("customers")
+    number = F.col("customerID").cast("bigint")
+    layers = IncrementalLayers(spark, scratch_path(spark, "increments"), {"customers": versions.CUSTOMER_TRACKED})
+    changed = raw.where(number % 3 == 0).withColumn("contactTitle", F.concat("contactTitle", F.lit(" II")))
+    gone = raw.where(number % 11 == 0).select(F.col("customerID").alias("customerid"))
+    for n, (at, rows, deletes) in enumerate(((versions.FIRST, raw, {}), (versions.CHANGED, changed, {}),
+                                             (versions.DELETED, raw.limit(0), {"customers": gone}))):
+        layers.apply(n, at, {"customers": rows.withColumn("ingestion_timestamp", F.lit(at).cast("timestamp"))}, deletes)
+    return layers.read_history("customers").withColumnRenamed("customerid", "customer_id")
