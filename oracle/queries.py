@@ -648,3 +648,12 @@ WHERE orderid % 11 <> 0
    OR (orderid % 3 < 2 AND EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = f.orderid AND l.l_partkey = f.product_id
                                    AND CAST(l.l_quantity AS INT) % 3 < 2))""")
 ORACLE["layers_incremental_history"] = ORACLE["dim_customers_history"]
+_EXPECTED = [("no_error", "drop", "event_type <> 'error'"), ("value_at_least_ten", "drop", "value >= 10"),
+             ("even_user", "warn", "user_id % 2 = 0")]
+_BROKEN = [f"NOT coalesce({p}, FALSE)" for _, _, p in _EXPECTED]
+_BROKEN_NAMES = "concat_ws(',', " + ", ".join(f"CASE WHEN {b} THEN '{n}' END" for (n, _, _), b in zip(_EXPECTED, _BROKEN)) + ")"
+ORACLE["ingest_expectations"] = (
+    f"SELECT *, {_BROKEN_NAMES} AS _dq_failures, CASE WHEN {_BROKEN[0]} OR {_BROKEN[1]} THEN 'rejected' ELSE 'good' END AS part FROM events")
+ORACLE["ingest_expectation_metrics"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS \"check\", '{a}' AS action, count(*) FILTER (WHERE NOT coalesce({p}, FALSE)) AS failed, count(*) AS total FROM events"
+    for n, a, p in [("has_id", "fail", "event_id IS NOT NULL"), *_EXPECTED])

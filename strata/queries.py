@@ -687,3 +687,41 @@ def q_layers_incremental_history(spark, base):
                                              (versions.DELETED, raw.limit(0), {"customers": gone}))):
         layers.apply(n, at, {"customers": rows.withColumn("ingestion_timestamp", F.lit(at).cast("timestamp"))}, deletes)
     return layers.read_history("customers").withColumnRenamed("customerid", "customer_id")
+
+
+# ---------------------------------------------------------------- expectations on the way in
+from strata.streaming import expectations as expect  # noqa: E402
+
+EVENT_EXPECTATIONS = [
+    expect.Expectation("has_id", "event_id IS NOT NULL", expect.FAIL),
+    expect.Expectation("no_error", "event_type <> 'error'", expect.DROP),
+    expect.Expectation("value_at_least_ten", "value >= 10", expect.DROP),
+    expect.Expectation("even_user", "user_id % 2 = 0", expect.WARN),
+]
+
+
+def _checked_events(spark, base):
+    """Two runs on one checkpoint, the second with the later files."""
+    src = scratch_path(spark, "checked-csv")
+    target, ckpt = scratch_path(spark, "checked-events"), scratch_path(spark, "ckpt-checked")
+    early = F.coalesce(F.col("ts") < F.lit(SNAPSHOT_CUT), F.lit(True))
+    for part in (early, ~early):
+        _stage_events(spark, base, where=part, path=src)
+        stream = ingest.csv_stream(spark, src, EVENT_SCHEMA, max_files_per_trigger=64)
+        ingest.run_to_end(expect.write_checked(stream, target, ckpt, EVENT_EXPECTATIONS))
+    return target
+
+
+@register("ingest_expectations")
+def q_ingest_expectations(spark, base):
+    """Good and rejected events with the rules that each broke."""
+    target = _checked_events(spark, base)
+    return expect.read_good(spark, target).withColumn("part", F.lit("good")).unionByName(
+        expect.read_rejected(spark, target).withColumn("part", F.lit("rejected")))
+
+
+@register("ingest_expectation_metrics")
+def q_ingest_expectation_metrics(spark, base):
+    """Failed and total rows of each rule, over all batches."""
+    return expect.read_metrics(spark, _checked_events(spark, base)).groupBy("check", "action").agg(
+        F.sum("failed").alias("failed"), F.sum("total").alias("total"))
