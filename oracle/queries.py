@@ -657,3 +657,20 @@ ORACLE["ingest_expectations"] = (
 ORACLE["ingest_expectation_metrics"] = " UNION ALL ".join(
     f"SELECT '{n}' AS \"check\", '{a}' AS action, count(*) FILTER (WHERE NOT coalesce({p}, FALSE)) AS failed, count(*) AS total FROM events"
     for n, a, p in [("has_id", "fail", "event_id IS NOT NULL"), *_EXPECTED])
+
+
+def _attributed(name: str, key: str, dimension: str, tracked: list[str]) -> str:
+    """Changes between adjacent versions of one history, a SELECT a column."""
+    w = f"OVER (PARTITION BY {key} ORDER BY _effective_date)"
+    return " UNION ALL ".join(f"""
+SELECT '{dimension}' AS dimension, CAST({key} AS VARCHAR) AS key, _effective_date, '{c}' AS "column", old_value, new_value
+FROM (SELECT {key}, _effective_date, lag(_end_date) {w} AS before, lag(CAST({c} AS VARCHAR)) {w} AS old_value,
+             CAST({c} AS VARCHAR) AS new_value FROM {name}_history)
+WHERE before = _effective_date AND old_value IS DISTINCT FROM new_value""" for c in tracked)
+
+
+_CHANGES = (_attributed("cust", "customerid", "customers", ["companyname", "contacttitle", "country"])
+            + " UNION ALL " + _attributed("prod", "productid", "products", ["productname", "unitprice", "discontinued"]))
+ORACLE["dim_history_changes"] = with_model(_CHANGES, **_CUSTOMERS, **_PRODUCTS)
+ORACLE["dim_history_change_counts"] = with_model(f"""
+SELECT dimension, "column", count(*) AS changes, count(DISTINCT key) AS keys_changed FROM ({_CHANGES}) GROUP BY ALL""", **_CUSTOMERS, **_PRODUCTS)

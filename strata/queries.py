@@ -218,10 +218,10 @@ def q_dq_freshness(spark, base):
                            dq.row_count()])
 
 
-def _per_table(frames):
+def _per_table(frames, column="table"):
     out = None
     for name, df in frames:
-        df = df.select(F.lit(name).alias("table"), "*")
+        df = df.select(F.lit(name).alias(column), "*")
         out = df if out is None else out.unionByName(df)
     return out
 
@@ -725,3 +725,28 @@ def q_ingest_expectation_metrics(spark, base):
     """Failed and total rows of each rule, over all batches."""
     return expect.read_metrics(spark, _checked_events(spark, base)).groupBy("check", "action").agg(
         F.sum("failed").alias("failed"), F.sum("total").alias("total"))
+
+
+# ---------------------------------------------------------------- change attribution
+from strata.operators import attribution  # noqa: E402
+
+
+def _attributed(spark, base):
+    """dimension -> changes of its versions, keyed by a text."""
+    L = Warehouse(spark, base)
+    for name, key, df, tracked in (
+            ("customers", "customer_id", versions.dim_customers_history(L.clean("customers")), versions.CUSTOMER_TRACKED),
+            ("products", "product_id", versions.dim_products_history(L.clean("products")), versions.PRODUCT_TRACKED)):
+        changes = attribution.version_changes(df, [key], tracked)
+        yield name, changes.withColumn("key", F.col(key).cast("string")).drop(key)
+
+
+@register("dim_history_changes")
+def q_dim_history_changes(spark, base):
+    """Old and new value of every column that changed between versions."""
+    return _per_table(_attributed(spark, base), "dimension")
+
+
+@register("dim_history_change_counts")
+def q_dim_history_change_counts(spark, base):
+    return _per_table(((name, attribution.changes_by_column(df, ["key"])) for name, df in _attributed(spark, base)), "dimension")
