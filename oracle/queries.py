@@ -674,3 +674,6 @@ _CHANGES = (_attributed("cust", "customerid", "customers", ["companyname", "cont
 ORACLE["dim_history_changes"] = with_model(_CHANGES, **_CUSTOMERS, **_PRODUCTS)
 ORACLE["dim_history_change_counts"] = with_model(f"""
 SELECT dimension, "column", count(*) AS changes, count(DISTINCT key) AS keys_changed FROM ({_CHANGES}) GROUP BY ALL""", **_CUSTOMERS, **_PRODUCTS)
+ORACLE["dim_dates_holidays"] = f"""
+SELECT * REPLACE (CASE WHEN strftime(full_date, '%m-%d') IN ('01-01', '12-25') THEN 1 ELSE 0 END AS is_holiday)
+FROM ({ORACLE["dim_dates_calendar"]}) c"""

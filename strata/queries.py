@@ -750,3 +750,12 @@ def q_dim_history_changes(spark, base):
 @register("dim_history_change_counts")
 def q_dim_history_change_counts(spark, base):
     return _per_table(((name, attribution.changes_by_column(df, ["key"])) for name, df in _attributed(spark, base)), "dimension")
+
+
+@register("dim_dates_holidays")
+def q_dim_dates_holidays(spark, base):
+    """The calendar with a holiday table: both fixed days of every order year."""
+    orders = Layers(spark, base).clean("orders")
+    holidays = orders.select(F.year("orderdate").alias("y")).where("y IS NOT NULL").distinct().select(
+        F.explode(F.array(F.make_date("y", F.lit(1), F.lit(1)), F.make_date("y", F.lit(12), F.lit(25)))).alias("holiday_date"))
+    return dimplans.dim_dates_calendar(orders, holidays)
