@@ -169,6 +169,62 @@ def test_an_empty_fact_takes_rows(spark):
     assert _state(store) == [(1, "2024-01-05", None, "a", False)]
 
 
+def test_hashes_travel_as_bytes_and_come_back_as_they_were(spark):
+    from pyspark.sql import functions as F
+
+    from strata.functions import hashing
+    texts = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "0123456789abcdef" * 2 + "\n", "", "x", "\x01", "é", None]
+    df = spark.createDataFrame([(i, t, b"ab") for i, t in enumerate(texts)], "i int, _change_hash string, fact_sales_sk binary")
+    kinds = []
+
+    def step(d):
+        kinds.append(dict(d.dtypes)["_change_hash"])
+        assert d.where("i = 0").select(F.octet_length("_change_hash")).first()[0] == 17
+        return d.repartition(3)
+
+    out = hashing.packed_during(df, step)
+    assert kinds == ["binary"] and out.schema == df.schema
+    assert [r._change_hash for r in out.orderBy("i").collect()] == texts
+
+
+def test_stored_fact_has_the_hashes_of_the_computed_one_and_none_is_shuffled(spark, monkeypatch):
+    from strata.plans import storage
+    from strata.plans.layers import Layers
+    from strata.plans.warehouse import Warehouse
+    from strata.session import scratch_path
+    base, dealt, during = "/root/testdata/sf0.001", [], storage.hashing.packed_during
+
+    def spy(df, step):
+        return during(df, lambda d: dealt.append(d.columns) or step(d))
+
+    w = Warehouse(spark, base, root=scratch_path(spark, "warehouse"))
+    w.build("order_details_clean"), w.build("orders_clean")
+    monkeypatch.setattr(storage.hashing, "packed_during", spy)
+    stored = w.fact_sales
+    assert not {"fact_sales_sk", "_change_hash"} & set(dealt[-1])
+    columns = ["orderid", "product_id", "fact_sales_sk", "_change_hash"]
+    want = Layers(spark, base).fact_sales
+    assert stored.columns == [*want.columns, *storage.PARTITION_COLUMNS]
+    assert sorted(map(tuple, stored.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+
+
+def test_steps_leave_no_staged_rows_behind(spark, monkeypatch):
+    from pathlib import Path
+
+    from pyspark.sql import DataFrame
+
+    from strata.plans import stored_fact as sf
+    from strata.session import scratch_path, shared_dir
+    held = lambda: {p.name for p in Path(shared_dir(spark)).glob("strata/staged-*")}
+    before, copies, checkpoint = held(), [], DataFrame.checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda self, *a, **k: copies.append(1) or checkpoint(self, *a, **k))
+    store = sf.fact_store(spark, scratch_path(spark, "fact"), n_buckets=4)
+    sf.create(store, _fact_rows(spark, FACT))
+    sf.soft_delete(store, _fact_rows(spark, FACT[:2]), ["orderid"])
+    sf.upsert(store, _fact_rows(spark, FACT))
+    assert held() == before and not copies
+
+
 def test_of_two_writers_one_must_begin_again(spark):
     import pytest
     from strata.plans.versioned import BucketStore, CommitConflict
