@@ -52,6 +52,21 @@ def _ascending_proxies(df: DataFrame, name: str, desc: bool) -> list[Column] | N
     return [col.isNull(), down]
 
 
+def rank(df: DataFrame, columns: Sequence[str], order_by: Sequence = (), prefix: str = "") -> Column:
+    """The total order of ``remove_duplicates`` as a value: of two rows of a
+    key the one with the smaller rank is kept first.  ``prefix`` stands before
+    the names of the columns in ``df``."""
+    order = [_order_item(df, s) for s in order_by]
+    parts = []
+    for name, desc in order:
+        found = _ascending_proxies(df, f"{prefix}{name}", desc)
+        if found is None:
+            raise ValueError(f"{name}: descending text has no rank value")
+        parts += found
+    parts += [F.col(f"`{prefix}{c}`") for c in columns if c not in [n for n, _ in order]]
+    return F.struct(*[p.alias(f"_{i}") for i, p in enumerate(parts)])
+
+
 def remove_duplicates(df: DataFrame, subset: Sequence[str] | None = None,
                       keep: str = "first", order_by: Sequence | None = None) -> DataFrame:
     """Keep one row per ``subset`` key.

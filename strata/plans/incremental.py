@@ -29,13 +29,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import hashing
 from strata.operators import cdc, history
-from strata.operators.dedupe import remove_duplicates
+from strata.operators.dedupe import rank
 from strata.plans import clean, dims, stored_fact
 from strata.plans.versioned import DEFAULT_BUCKETS, BucketStore
-from strata.session import materialize
+from strata.session import Staged
 
-CHANGE, CHANGED_AT, NEW = "_change", "_changed_at", "_is_new"
+CHANGE, CHANGED_AT = "_change", "_changed_at"
+NEW, HELD, GONE = "_is_new", "_is_held", "_is_gone"
 INSERT, UPDATE, DELETE = "insert", "update", "delete"
 
 
@@ -63,39 +65,50 @@ class CleanStore:
         """Merge a batch of raw rows of every feed; `at` is the changes' time."""
         if self.store.has_applied(batch_id):
             return
-        rows, gone = {}, {}
-        for feed in self.feeds:
-            spec = clean.SPECS[feed]
-            rows[feed] = materialize(clean.deduplicated(clean.typed(raws[feed], spec), spec))
-            kinds = rows[feed].schema
-            listed = deletes.get(feed, rows[feed].limit(0))
-            gone[feed] = materialize(listed.select(*[F.col(k).cast(kinds[k].dataType).alias(k) for k in spec.key]).distinct())
-        touched = sorted({b for part in (rows, gone) for df in part.values() for b in self.store.touched(df)})
-        tables, replaced = {}, {}
-        for feed in self.feeds:
-            table, changes = self._merged(feed, rows[feed], gone[feed], touched)
-            tables |= {feed: table, f"{feed}_changes": changes.withColumn(CHANGED_AT, F.lit(at).cast("timestamp"))}
-            replaced |= {feed: touched, f"{feed}_changes": range(self.store.n_buckets)}
-        self.store.commit(tables, replaced, batch_id)
-
-    def _merged(self, feed: str, rows: DataFrame, gone: DataFrame, touched: Sequence[int]) -> tuple[DataFrame, DataFrame]:
-        """(rows of the touched buckets, change set) after the batch."""
+        with Staged(self.store.spark) as staged:
+            rows, gone = {}, {}
+            for feed in self.feeds:
+                spec = clean.SPECS[feed]
+                rows[feed] = staged.keep(clean.deduplicated(clean.typed(raws[feed], spec), spec))
+                kinds = rows[feed].schema
+                listed = deletes.get(feed, rows[feed].limit(0))
+                gone[feed] = staged.keep(listed.select(*[F.col(k).cast(kinds[k].dataType).alias(k) for k in spec.key]).distinct())
+            touched = sorted({b for part in (rows, gone) for df in part.values() for b in self.store.touched(df)})
+            tables, replaced = {}, {}
+            for feed in self.feeds:
+                merged = staged.keep(self._merged(feed, rows[feed], gone[feed], touched))
+                stays = F.col(CHANGE).isNull() | (F.col(CHANGE) != DELETE)
+                changes = merged.where(F.col(CHANGE).isNotNull()).withColumn(CHANGED_AT, F.lit(at).cast("timestamp"))
+                tables |= {feed: merged.where(stays).drop(CHANGE), f"{feed}_changes": changes}
+                replaced |= {feed: touched, f"{feed}_changes": range(self.store.n_buckets)}
+            self.store.commit(tables, replaced, batch_id)
+
+    def _merged(self, feed: str, rows: DataFrame, gone: DataFrame, touched: Sequence[int]) -> DataFrame:
+        """Rows of the touched buckets after the batch, and the deleted ones as
+        they were, with what the batch did to them (NULL: nothing).  Stored and
+        new rows meet once, in one join on the key."""
         spec = clean.SPECS[feed]
         keys = list(spec.key)
         held = self.read(feed, touched)
         if held is None:
             held = clean.finished(rows.limit(0), spec)
-        old = cdc.by_key(held, rows, keys, "left_semi")
-        # Of equal rows the stored one stays: a repeat changes nothing.
-        rivals = old.select(*rows.columns).withColumn(NEW, F.lit(1)).unionByName(rows.withColumn(NEW, F.lit(2)))
-        order = [f"-{clean.INGEST_COL}"] if clean.INGEST_COL in rows.columns else []
-        won = remove_duplicates(rivals, keys, "first", order).where(F.col(NEW) == 2).drop(NEW)
-        fresh = materialize(cdc.by_key(clean.finished(won, spec), gone, keys, "left_anti"))
-        updates = cdc.by_key(fresh, old, keys, "left_semi").withColumn(CHANGE, F.lit(UPDATE))
-        inserts = cdc.by_key(fresh, old, keys, "left_anti").withColumn(CHANGE, F.lit(INSERT))
-        removed = cdc.by_key(held, gone, keys, "left_semi").withColumn(CHANGE, F.lit(DELETE))
-        kept = cdc.by_key(cdc.by_key(held, fresh, keys, "left_anti"), gone, keys, "left_anti")
-        return kept.unionByName(fresh), updates.unionByName(inserts).unionByName(removed)
+        values = [c for c in rows.columns if c not in keys]
+        made = [c for c in held.columns if c not in rows.columns]  # by clean.finished
+        batch = cdc._null_safe_join(rows.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in values], F.lit(True).alias(NEW)),
+                                    gone.withColumn(GONE, F.lit(True)), keys, "full_outer")
+        both = hashing.packed_during(held.withColumn(HELD, F.lit(True)), lambda d: cdc._null_safe_join(d, batch, keys, "full_outer"))
+        # The rank of the cleaning layer; of equal rows the stored one stays: a repeat changes nothing.
+        order = [f"-{clean.INGEST_COL}"] if clean.INGEST_COL in values else []
+        wins = F.col(NEW).isNotNull() & (F.col(HELD).isNull() | (rank(both, values, order, "_n_") < rank(both, values, order)))
+        both = both.withColumn(NEW, wins & F.col(GONE).isNull())
+        change = (F.when(F.col(NEW) & F.col(HELD).isNotNull(), UPDATE).when(F.col(NEW), INSERT)
+                  .when(F.col(HELD).isNotNull() & F.col(GONE).isNotNull(), DELETE))
+        chosen = both.where(F.col(NEW) | F.col(HELD).isNotNull()).select(
+            *keys, *[F.when(F.col(NEW), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in values],
+            *[F.col(c).alias(f"_h_{c}") for c in made], NEW, change.alias(CHANGE))
+        done = clean.finished(chosen, spec)
+        return done.select(*[F.when(F.col(NEW), F.col(c)).otherwise(F.col(f"_h_{c}")).alias(c) if c in made else c
+                             for c in held.columns], CHANGE)
 
 
 def advance_history(source: CleanStore, feed: str, target: str, tracked: Sequence[str]) -> None:
@@ -121,18 +134,27 @@ def advance_fact(sales: CleanStore, fact: BucketStore) -> list[int]:
     if batch_id is None or fact.has_applied(batch_id):
         return []
     changes = {feed: sales.changes(feed) for feed in sales.feeds}
-    orders = materialize(changes["orders"].select("orderid").union(changes["order_details"].select("orderid")).distinct())
-    buckets = sales.store.touched(orders)
-    now = {feed: cdc.by_key(sales.read(feed, buckets), orders, ["orderid"], "left_semi") for feed in sales.feeds}
-    rows = materialize(dims.fact_sales(now["order_details"], now["orders"]))
-    if fact.manifest() is None:
-        stored_fact.create(fact, rows, batch_id)
-        return []
-    before = {feed: now[feed].unionByName(changes[feed].where(F.col(CHANGE) == DELETE).drop(CHANGE, CHANGED_AT)) for feed in sales.feeds}
-    lost = cdc.by_key(dims.fact_sales(before["order_details"], before["orders"]), rows, stored_fact.KEYS, "left_anti")
-    lost = materialize(lost.withColumn(stored_fact.FLAG, F.lit(True)))
-    known = fact.read(stored_fact.LOCATOR, fact.touched(lost))
-    return stored_fact.upsert(fact, rows.unionByName(cdc.by_key(lost, known, stored_fact.KEYS, "left_semi")), batch_id)
+    with Staged(fact.spark) as staged:
+        def orders_of(parts):
+            return staged.keep(parts["orders"].select("orderid").union(parts["order_details"].select("orderid")).distinct())
+
+        orders = orders_of(changes)
+        buckets = sales.store.touched(orders)
+        now = {feed: hashing.packed_during(sales.read(feed, buckets), lambda d: cdc.by_key(d, orders, ["orderid"], "left_semi"))
+               for feed in sales.feeds}
+        rows = staged.keep(dims.fact_sales(now["order_details"], now["orders"]))
+        if fact.manifest() is None:
+            stored_fact.create(fact, rows, batch_id)
+            return []
+        removed = {feed: df.where(F.col(CHANGE) == DELETE).drop(CHANGE, CHANGED_AT) for feed, df in changes.items()}
+        short = orders_of(removed)
+        if not short.isEmpty():  # only orders with something removed have lost lines
+            before = {feed: cdc.by_key(now[feed], short, ["orderid"], "left_semi").unionByName(removed[feed]) for feed in sales.feeds}
+            lost = cdc.by_key(dims.fact_sales(before["order_details"], before["orders"]), rows, stored_fact.KEYS, "left_anti")
+            lost = staged.keep(lost.withColumn(stored_fact.FLAG, F.lit(True)))
+            known = fact.read(stored_fact.LOCATOR, fact.touched(lost))
+            rows = rows.unionByName(cdc.by_key(lost, known, stored_fact.KEYS, "left_semi"))
+        return stored_fact.upsert(fact, rows, batch_id)
 
 
 class IncrementalLayers:
@@ -166,6 +188,12 @@ class IncrementalLayers:
     def _history(self, feed: str) -> str:
         return f"{self.path}/{feed}_history"
 
+    def vacuum(self, keep: int = 1) -> None:
+        """Delete all but the last versions of every store, for a caller that
+        knows of no reader of older ones."""
+        for store in (self.sales.store, self.fact, *(d.store for d in self.dimensions.values())):
+            store.vacuum(keep)
+
     def read_fact(self) -> DataFrame:
         return self.fact.read(stored_fact.TABLE).drop("_bucket")
 

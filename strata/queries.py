@@ -674,6 +674,7 @@ def q_layers_incremental(spark, base):
                 "order_details": lines.where(F.pmod(F.col("quantity").cast("int"), F.lit(3)) == n)}
         gone = {"orders": orders.where(number % 11 == 0).select(number.alias("orderid"))} if n == 2 else {}
         layers.apply(n, versions.CHANGED, raws, gone)
+        layers.vacuum(1)  # nobody else reads these stores
     return _stable(layers.read_fact())
 
 

@@ -95,3 +95,23 @@ def test_history_takes_change_sets(spark):
                   for r in layers.read_history("customers").collect()), key=repr)
     assert got == sorted([("A", "one", 1, 2), ("A", "two", 2, None), ("B", "one", 1, 3), (None, "one", 1, None)], key=repr)
     assert incremental.CleanStore(spark, f"{layers.path}/customers", ["customers"], ["customerid"]).last_batch() == 3
+
+
+def test_a_batch_stages_nothing_for_good_and_old_versions_can_go(spark, monkeypatch):
+    from pathlib import Path
+
+    from strata.session import shared_dir
+    held = lambda: {p.name for p in Path(shared_dir(spark)).glob("strata/staged-*")}
+    before, copies, frame = held(), [], type(spark.range(1))
+    checkpoint = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a, **k: copies.append(1) or checkpoint(self, *a, **k))
+    layers = IncrementalLayers(spark, scratch_path(spark, "inc"), {}, n_buckets=2)
+    layers.apply(0, AT[2], _raws(spark, AT[2], [(1, "2020-01-05", "1"), (2, "2020-01-06", "1")], [(1, 1, 5), (2, 1, 5)]))
+    # an older line loses, a deleted order stays away though the batch sends it
+    layers.apply(1, AT[1], _raws(spark, AT[1], [(2, "2020-01-07", "4")], [(1, 1, 9), (1, 2, 3)]), _ids(spark, 2))
+    assert {(r.orderid, r.productid, r._change) for r in layers.sales.changes("order_details").collect()} == {(1, 2, "insert")}
+    assert [(r.orderid, str(r.freight), r._change) for r in layers.sales.changes("orders").collect()] == [(2, "1.00", "delete")]
+    layers.vacuum(1)
+    assert _fact(layers) == [(1, 1, 5, "1.00", False), (1, 2, 3, "1.00", False), (2, 1, 5, "1.00", True)]
+    assert len(layers.fact._complete()) == len(layers.sales.store._complete()) == 1
+    assert held() == before and not copies
