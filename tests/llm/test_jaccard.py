@@ -1,6 +1,7 @@
 """Token-group matrix against all pairs of plain sets."""
 
 import re
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 
 from strata.llm import jaccard as jc
 from strata.llm import queries
+from strata.session import shared_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -110,3 +112,12 @@ def test_query_equals_plain(spark):
     docs = duckdb.sql("SELECT doc_id, text FROM read_parquet('/root/testdata/sf0.01/documents.parquet')").fetchall()
     got = sorted((tuple(r) for r in queries.op11_jaccard(spark, "/root/testdata/sf0.01").collect()), key=repr)
     assert got == plain(docs)
+
+
+def test_tables_of_finished_steps_are_gone(spark):
+    root = Path(shared_dir(spark), "strata")
+    before = set(root.iterdir()) if root.exists() else set()
+    df = spark.createDataFrame(ODD, "doc_id long, text string").repartition(3)
+    out = jc.jaccard_groups(df)
+    assert sorted(p.name.rsplit("-", 1)[0] for p in set(root.iterdir()) - before) == ["jaccard-groups", "jaccard-sets"]
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == plain(ODD)
