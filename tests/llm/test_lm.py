@@ -249,6 +249,20 @@ def test_weights_and_curves_learn_from_every_training_byte(spark, monkeypatch, t
     assert total[0, lm.PAIRS:].sum() == pytest.approx(8 * size)
 
 
+def test_the_start_too_takes_every_training_byte(spark, monkeypatch):
+    """No stretch is chosen: the sums of both steps are over all places of the different texts."""
+    r = random.Random(9)
+    rows = [(i, text(r, 300), i % 4 == 0) for i in range(40)] + [(50, "copy é", False), (51, "copy é", False)]
+    places = []
+    for name in ("begin", "move"):
+        step = getattr(lm.Mixer, name, None)
+        monkeypatch.setattr(lm.Mixer, name, lambda self, total, step=step: places.append(total[0, lm.PAIRS:].sum()) or step(self, total), raising=False)
+    monkeypatch.setattr(lm, "_stretches", lambda below: pytest.fail("a share of the texts"))
+    lm.score(spark.createDataFrame(rows, "doc_id long, text string, held boolean").repartition(5), F.col("held"), tune_bytes=200)
+    size = sum(len(marked(t)) for t in {t for _, t, h in rows if not h})
+    assert places == [pytest.approx(8 * size)] * 2
+
+
 def test_nothing_to_learn_from_and_empty_table(spark):
     df = spark.createDataFrame([(1, "abc", True)], "doc_id long, text string, held boolean")
     x = lm.score(df, F.col("held")).first()
