@@ -247,3 +247,43 @@ def test_old_versions_expire(spark):
         store.commit({"t": spark.createDataFrame([(1, n)], "k long, n long")}, [0])
     assert len(store._children(f"{store.path}/data")) == versioned.KEEP == len(store._complete())
     assert store.read("t").first().n == 2 * versioned.EXPIRE_EVERY - 1
+
+
+def test_derived_hashes_are_stored_only_where_they_differ(spark):
+    from strata.functions import hashing
+    from strata.plans import stored_fact as sf
+    from strata.session import scratch_path
+    own = [None, "", "-", "=", "ab" * 16]
+    df = spark.createDataFrame([(i, 1, 2, "3.00", h) for i, h in enumerate(own)] + [(9, 1, None, "3.00", "")],
+                               "orderid long, product_id long, order_quantity int, unit_price string, _change_hash string")
+    df = df.withColumns({"discount_rate": F.lit(0), "order_date": F.to_date(F.lit("2024-01-05")), "_is_deleted": F.lit(False),
+                         "fact_sales_sk": hashing.surrogate_key(["orderid", "product_id"])})
+    line = hashing.change_hash(["orderid", "product_id", "order_quantity", "unit_price", "discount_rate"])
+    df = df.withColumn("_change_hash", F.when(F.col("orderid") == 9, line).otherwise(F.col("_change_hash")))
+    store = sf.fact_store(spark, scratch_path(spark, "fact"), n_buckets=2)
+    sf.create(store, df)
+    columns = ["orderid", "fact_sales_sk", "_change_hash"]
+    want = sorted(map(tuple, df.select(columns).collect()))
+    state = lambda: sorted(map(tuple, store.read("fact_sales").select(columns).collect()))
+    assert state() == want
+    held = {r.orderid: r for r in store.as_stored().read("fact_sales").collect()}
+    assert held[9]._change_hash is None and all(r.fact_sales_sk is None for r in held.values())
+    # rows that stay, and changed ones, keep theirs through a rewrite of their month
+    assert sf.upsert(store, df.where("orderid = 1").withColumn("unit_price", F.lit("4.00"))) == [202401]
+    assert state() == want
+    assert sf.upsert(store, df.where("orderid in (0, 9)")) == []
+    assert sf.soft_delete(store, df.where("orderid != 2"), ["orderid"]) == [202401]
+    assert state() == want
+
+
+def test_stored_clean_tables_and_fact_hold_no_hashes(spark):
+    from strata.plans.layers import Layers
+    from strata.plans.warehouse import Warehouse
+    from strata.session import scratch_path
+    w = Warehouse(spark, SMALL, root=scratch_path(spark, "warehouse"))
+    for name, key in (("order_details_clean", ["orderid", "productid"]), ("shippers_clean", ["shipperid"])):
+        assert "_change_hash" not in spark.read.parquet(w.build(name)).columns
+        got, want = w.clean(name[:-6]), Layers(spark, SMALL).clean(name[:-6])
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.select(*key, "_change_hash").collect())) == sorted(map(tuple, want.select(*key, "_change_hash").collect()))
+    assert not {"fact_sales_sk", "_change_hash"} & set(spark.read.parquet(w.build("fact_sales")).columns)
