@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import hashing
+from strata.operators import cdc
 from strata.operators import sequence as seqops
 from strata.plans.versioned import BucketStore
 from strata.session import materialize
@@ -148,6 +149,10 @@ def read_history(spark, target: str, keys: Sequence[str]) -> DataFrame | None:
     return BucketStore(spark, target, keys).read(HISTORY)
 
 
+#: Versions of a key, at most, that its facts are joined with all at once.
+FEW_VERSIONS = 64
+
+
 def asof_join(facts: DataFrame, history: DataFrame, keys: Sequence[str], at: str,
               version_cols: Sequence[str], prefix: str = "") -> DataFrame:
     """Each fact row with the version of its key valid at ``facts[at]``.
@@ -156,10 +161,16 @@ def asof_join(facts: DataFrame, history: DataFrame, keys: Sequence[str], at: str
     and version starts are merged into one stream ordered by (key, time,
     version before fact) and the latest version start is carried forward
     to the facts (``sequence.fill_forward``): linear in rows, no pairs.
+    Where no key has more than `FEW_VERSIONS` versions (one small aggregate
+    tells), a key's versions are one sorted array instead, and the facts are
+    shuffled once and copied nowhere.
     """
     keys = list(keys)
     vcols = list(version_cols) + ["_effective_date", "_end_date"]
     fact_cols = [c for c in facts.columns if c not in keys and c != at]
+    most = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if (most or 0) <= FEW_VERSIONS:
+        return _asof_in_array(facts, history, keys, at, fact_cols, vcols, prefix)
     vers = history.select(
         *keys, F.col("_effective_date").cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
         F.struct(*[F.col(c) for c in vcols]).alias("_v"),
@@ -170,7 +181,22 @@ def asof_join(facts: DataFrame, history: DataFrame, keys: Sequence[str], at: str
         F.lit(None).cast(vers.schema["_v"].dataType).alias("_v"), *fact_cols, at)
     stream = vers.unionByName(fx)
     filled = seqops.fill_forward(stream, keys, ["_t", "_kind"], "_v", "_cur")
-    hit = filled.where(F.col("_kind") == 1)
+    return _valid_versions(filled.where(F.col("_kind") == 1), keys, at, fact_cols, vcols, prefix)
+
+
+def _asof_in_array(facts, history, keys, at, fact_cols, vcols, prefix) -> DataFrame:
+    version = F.struct(F.col("_effective_date").cast("timestamp").alias("_t"), *vcols)
+    versions = history.select(*keys, version.alias("_v")).groupBy(*keys).agg(F.sort_array(F.collect_list("_v")).alias("_versions"))
+    hashes = [c for c in facts.columns if c in hashing.HASHES or c.endswith("_sk")]
+    joined = hashing.packed_during(facts, lambda d: cdc._null_safe_join(d, versions, keys, "left"), hashes)
+    joined = joined.withColumn("_t", F.col(at).cast("timestamp"))
+    # A start without a time is before all others, a fact without one meets no other.
+    begun = F.filter("_versions", lambda v: F.coalesce(v["_t"] <= F.col("_t"), v["_t"].isNull()))
+    return _valid_versions(joined.withColumn("_cur", F.try_element_at(begun, F.lit(-1))), keys, at, fact_cols, vcols, prefix)
+
+
+def _valid_versions(hit, keys, at, fact_cols, vcols, prefix) -> DataFrame:
+    """Facts with the version in ``_cur``, if it is still valid at ``_t``."""
     valid = F.col("_cur").isNotNull() & (
         F.col("_cur._end_date").isNull() | (F.col("_t") < F.col("_cur._end_date").cast("timestamp")))
     return hit.select(

@@ -216,3 +216,42 @@ def test_delete_feed_flags_keys(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     feed = spark.createDataFrame([(1, "U"), (2, "D")], "k int, op string")
     assert rows(cdc.apply_delete_feed(target, feed, ["k"])) == [(1, "a", False), (2, "b", True)]
+
+
+def test_few_versions_of_a_key_are_joined_without_a_copy_of_the_facts(spark, monkeypatch):
+    import datetime as dt
+
+    t = lambda d: dt.datetime(2024, 1, d)
+    h = spark.createDataFrame(
+        [(1, t(2), t(5), "a"), (1, t(5), None, "b"), (2, t(3), t(4), "c"), (None, t(1), None, "n"), (3, None, t(9), "early"), (3, t(9), None, "late")],
+        "id int, _effective_date timestamp, _end_date timestamp, name string")
+    facts = spark.createDataFrame(
+        [(f, k, d and t(d), "ab" * 16) for f, (k, d) in enumerate([(1, 1), (1, 2), (1, 4), (1, 5), (1, 9), (1, None), (2, 3), (2, 4), (None, 7), (None, None),
+                                                                   (3, 1), (3, 9), (3, None), (4, 4), (1, 2)])],
+        "f int, id int, at timestamp, x_sk string")
+    copies, frame = [], type(spark.range(1))
+    checkpoint = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda self, *a, **k: copies.append(1) or checkpoint(self, *a, **k))
+    got = history.asof_join(facts, h, ["id"], "at", ["name"], prefix="v_")
+    few = sorted(map(tuple, got.collect()), key=repr)
+    assert not copies
+    monkeypatch.setattr(history, "FEW_VERSIONS", 0)
+    streamed = history.asof_join(facts, h, ["id"], "at", ["name"], prefix="v_")
+    assert copies and got.dtypes == streamed.dtypes and few == sorted(map(tuple, streamed.collect()), key=repr)
+    assert [r.v_name for r in got.orderBy("f").collect()] == [None, "a", "a", "b", "b", None, "c", None, "n", None, "early", "late", None, None, "a"]
+
+
+def test_upsert_compares_derived_hashes_and_shuffles_none(spark):
+    from strata.functions import hashing
+    derived = {"_change_hash": hashing.Derived(("k", "v"), hashing.CHANGE_NULL), "sk": hashing.Derived(("k",), hashing.KEY_NULL)}
+
+    def table(data):
+        return spark.createDataFrame(data, "k int, v string").withColumns({c: d.of() for c, d in derived.items()})
+
+    old, new = table([(1, "a"), (2, "b"), (None, "n"), (4, None)]), table([(1, "a"), (2, "c"), (None, None), (3, "d"), (4, None)])
+    plain = cdc.cdc_upsert(old, new, ["k"], action_col="a")
+    out = cdc.cdc_upsert(old, new, ["k"], action_col="a", derived=derived)
+    assert out.columns == plain.columns and rows(out) == rows(plain)
+    assert {(r.k, r.a) for r in out.collect()} == {(1, "keep"), (2, "update"), (None, "update"), (3, "insert"), (4, "keep")}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan[plan.index("Join"):]
