@@ -5,8 +5,9 @@
 A clean store (``CleanStore``) holds the clean tables of feeds that share a
 bucket key.  Merging a batch reads the buckets of the batch's keys, lets stored
 and new rows of a key compete under the cleaning layer's own order, and commits
-the buckets together with a *change set*: the rows that the batch inserted,
-updated or deleted.  The next layer reads the change set instead of the table:
+the buckets.  The rows that the batch inserted, updated or deleted are marked
+in them, and are the *change set* of the buckets' last commit (deleted rows lie
+in their buckets until these are written again).  The next layer reads the change set instead of the table:
 the histories take it as events, and the fact is rebuilt for the orders in it
 (of the clean tables only these orders' buckets are read, of the fact only the
 months that the key locator names).  After any number of batches the layers
@@ -29,7 +30,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import hashing
 from strata.operators import cdc, history
 from strata.operators.dedupe import rank
 from strata.plans import clean, dims, stored_fact
@@ -47,15 +47,18 @@ class CleanStore:
 
     def __init__(self, spark: SparkSession, path: str, feeds: Sequence[str], keys: Sequence[str],
                  n_buckets: int = DEFAULT_BUCKETS):
-        self.feeds, self.store = list(feeds), BucketStore(spark, path, keys, n_buckets)
+        self.feeds = list(feeds)
+        self.store = BucketStore(spark, path, keys, n_buckets, derived={feed: clean.derived_hashes(feed) for feed in feeds})
 
-    def read(self, feed: str, buckets: Sequence[int] | None = None) -> DataFrame | None:
-        return self.store.read(feed, buckets)
+    def read(self, feed: str, buckets: Sequence[int] | None = None, as_stored: bool = False) -> DataFrame | None:
+        rows = (self.store.as_stored() if as_stored else self.store).read(feed, buckets)
+        return rows if rows is None else rows.where(F.col(CHANGE).isNull() | (F.col(CHANGE) != DELETE)).drop(CHANGE, CHANGED_AT)
 
-    def changes(self, feed: str) -> DataFrame | None:
+    def changes(self, feed: str, as_stored: bool = False) -> DataFrame | None:
         """Rows that the last batch inserted or updated (as they are now) or
         deleted (as they were), with the kind and the batch's time."""
-        return self.store.read(f"{feed}_changes")
+        rows = (self.store.as_stored() if as_stored else self.store).read(feed, self.store.fresh(feed))
+        return rows if rows is None else rows.where(F.col(CHANGE).isNotNull())
 
     def last_batch(self) -> int | None:
         m = self.store.manifest()
@@ -74,29 +77,28 @@ class CleanStore:
                 listed = deletes.get(feed, rows[feed].limit(0))
                 gone[feed] = staged.keep(listed.select(*[F.col(k).cast(kinds[k].dataType).alias(k) for k in spec.key]).distinct())
             touched = sorted({b for part in (rows, gone) for df in part.values() for b in self.store.touched(df)})
-            tables, replaced = {}, {}
-            for feed in self.feeds:
-                merged = staged.keep(self._merged(feed, rows[feed], gone[feed], touched))
-                stays = F.col(CHANGE).isNull() | (F.col(CHANGE) != DELETE)
-                changes = merged.where(F.col(CHANGE).isNotNull()).withColumn(CHANGED_AT, F.lit(at).cast("timestamp"))
-                tables |= {feed: merged.where(stays).drop(CHANGE), f"{feed}_changes": changes}
-                replaced |= {feed: touched, f"{feed}_changes": range(self.store.n_buckets)}
-            self.store.commit(tables, replaced, batch_id)
+            since = F.when(F.col(CHANGE).isNotNull(), F.lit(at).cast("timestamp"))
+            tables = {feed: self._merged(feed, rows[feed], gone[feed], touched).withColumn(CHANGED_AT, since) for feed in self.feeds}
+            self.store.commit(tables, touched, batch_id, as_stored=self.feeds)
 
     def _merged(self, feed: str, rows: DataFrame, gone: DataFrame, touched: Sequence[int]) -> DataFrame:
         """Rows of the touched buckets after the batch, and the deleted ones as
         they were, with what the batch did to them (NULL: nothing).  Stored and
-        new rows meet once, in one join on the key."""
+        new rows meet once, in one join on the key; of the columns that
+        ``clean.finished`` makes only the times are carried, the others follow
+        from the values again."""
         spec = clean.SPECS[feed]
         keys = list(spec.key)
-        held = self.read(feed, touched)
+        hashes = clean.derived_hashes(feed)
+        held = self.read(feed, touched, as_stored=True)
         if held is None:
             held = clean.finished(rows.limit(0), spec)
-        values = [c for c in rows.columns if c not in keys]
-        made = [c for c in held.columns if c not in rows.columns]  # by clean.finished
+        columns, values = held.columns, [c for c in rows.columns if c not in keys]
+        made = [c for c in ("_loaded_at", "_processing_timestamp") if c in columns and c not in rows.columns]
+        held = held.select(*keys, *values, *made)
         batch = cdc._null_safe_join(rows.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in values], F.lit(True).alias(NEW)),
                                     gone.withColumn(GONE, F.lit(True)), keys, "full_outer")
-        both = hashing.packed_during(held.withColumn(HELD, F.lit(True)), lambda d: cdc._null_safe_join(d, batch, keys, "full_outer"))
+        both = cdc._null_safe_join(held.withColumn(HELD, F.lit(True)), batch, keys, "full_outer")
         # The rank of the cleaning layer; of equal rows the stored one stays: a repeat changes nothing.
         order = [f"-{clean.INGEST_COL}"] if clean.INGEST_COL in values else []
         wins = F.col(NEW).isNotNull() & (F.col(HELD).isNull() | (rank(both, values, order, "_n_") < rank(both, values, order)))
@@ -106,9 +108,9 @@ class CleanStore:
         chosen = both.where(F.col(NEW) | F.col(HELD).isNotNull()).select(
             *keys, *[F.when(F.col(NEW), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in values],
             *[F.col(c).alias(f"_h_{c}") for c in made], NEW, change.alias(CHANGE))
-        done = clean.finished(chosen, spec)
+        done = clean.finished(chosen, spec).withColumns({c: F.lit(None).cast("string") for c in hashes})  # as it is stored
         return done.select(*[F.when(F.col(NEW), F.col(c)).otherwise(F.col(f"_h_{c}")).alias(c) if c in made else c
-                             for c in held.columns], CHANGE)
+                             for c in columns], CHANGE)
 
 
 def advance_history(source: CleanStore, feed: str, target: str, tracked: Sequence[str]) -> None:
@@ -133,28 +135,33 @@ def advance_fact(sales: CleanStore, fact: BucketStore) -> list[int]:
     batch_id = sales.last_batch()
     if batch_id is None or fact.has_applied(batch_id):
         return []
-    changes = {feed: sales.changes(feed) for feed in sales.feeds}
+    changes = {feed: sales.changes(feed, as_stored=True) for feed in sales.feeds}
+
+    def fact_of(parts):
+        # The line's hash follows from the fact's columns too, so none is carried.
+        rows = dims.fact_sales(parts["order_details"], parts["orders"])
+        return rows.withColumns({c: F.lit(None).cast("string") for c in dims.FACT_HASHES})
+
     with Staged(fact.spark) as staged:
         def orders_of(parts):
             return staged.keep(parts["orders"].select("orderid").union(parts["order_details"].select("orderid")).distinct())
 
         orders = orders_of(changes)
         buckets = sales.store.touched(orders)
-        now = {feed: hashing.packed_during(sales.read(feed, buckets), lambda d: cdc.by_key(d, orders, ["orderid"], "left_semi"))
-               for feed in sales.feeds}
-        rows = staged.keep(dims.fact_sales(now["order_details"], now["orders"]))
+        now = {feed: cdc.by_key(sales.read(feed, buckets, as_stored=True), orders, ["orderid"], "left_semi") for feed in sales.feeds}
+        rows = staged.keep(fact_of(now))
         if fact.manifest() is None:
-            stored_fact.create(fact, rows, batch_id)
+            stored_fact.create(fact, rows, batch_id, True)
             return []
         removed = {feed: df.where(F.col(CHANGE) == DELETE).drop(CHANGE, CHANGED_AT) for feed, df in changes.items()}
         short = orders_of(removed)
         if not short.isEmpty():  # only orders with something removed have lost lines
             before = {feed: cdc.by_key(now[feed], short, ["orderid"], "left_semi").unionByName(removed[feed]) for feed in sales.feeds}
-            lost = cdc.by_key(dims.fact_sales(before["order_details"], before["orders"]), rows, stored_fact.KEYS, "left_anti")
+            lost = cdc.by_key(fact_of(before), rows, stored_fact.KEYS, "left_anti")
             lost = staged.keep(lost.withColumn(stored_fact.FLAG, F.lit(True)))
             known = fact.read(stored_fact.LOCATOR, fact.touched(lost))
             rows = rows.unionByName(cdc.by_key(lost, known, stored_fact.KEYS, "left_semi"))
-        return stored_fact.upsert(fact, rows, batch_id)
+        return stored_fact.upsert(fact, rows, batch_id, True)
 
 
 class IncrementalLayers:

@@ -115,3 +115,22 @@ def test_a_batch_stages_nothing_for_good_and_old_versions_can_go(spark, monkeypa
     assert _fact(layers) == [(1, 1, 5, "1.00", False), (1, 2, 3, "1.00", False), (2, 1, 5, "1.00", True)]
     assert len(layers.fact._complete()) == len(layers.sales.store._complete()) == 1
     assert held() == before and not copies
+
+
+def test_a_batch_writes_each_row_of_the_clean_tables_once(spark):
+    layers = IncrementalLayers(spark, scratch_path(spark, "inc"), {}, n_buckets=2)
+    layers.apply(0, AT[0], _raws(spark, AT[0], [(1, "2020-01-05", "1"), (2, "2020-01-06", "1")], [(1, 1, 5), (2, 1, 7)]))
+    layers.apply(1, AT[1], _raws(spark, AT[1], [], [(1, 1, 6)]), _ids(spark, 2))
+    tables = layers.sales.store.manifest()["tables"]
+    assert set(tables) == {"orders", "order_details"}
+    assert {(r.orderid, r._change) for r in layers.sales.changes("orders").collect()} == {(2, "delete")}
+    assert {(r.orderid, r.quantity, r._change) for r in layers.sales.changes("order_details").collect()} == {(1, 6, "update")}
+    assert [r.orderid for r in layers.sales.read("orders").collect()] == [1]
+    # an older change set is not seen again, a row deleted then stays away
+    layers.apply(2, AT[2], _raws(spark, AT[2], [], [(1, 2, 1)]))
+    assert {(r.orderid, r.productid, r._change) for r in layers.sales.changes("order_details").collect()} == {(1, 2, "insert")}
+    assert layers.sales.changes("orders").collect() == []
+    assert [r.orderid for r in layers.sales.read("orders").collect()] == [1]
+    line = layers.sales.read("order_details").where("productid = 1").first()
+    assert line._change_hash == spark.sql("select md5('1|1|6|2.00|0.0000')").first()[0] and str(line.line_total) == "12.00"
+    assert {(r.orderid, r.product_id): r._change_hash for r in layers.read_fact().collect()}[(1, 1)] == line._change_hash
